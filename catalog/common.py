@@ -95,7 +95,7 @@ SQL_TOKEN = r"(?:[\p{L}\p{M}_]+(?:[.''’:·][\p{L}\p{M}_]+)*|[\p{N}_]+(?:[.,;''
 
 
 def sql_tokens(text: str) -> str:
-    return f"unnest(list_filter(regexp_extract_all({text}, '{SQL_TOKEN}'), t -> replace(t, '_', '') <> ''))"
+    return f"unnest(list_filter(regexp_extract_all({text}, '{SQL_TOKEN}'), lambda t: replace(t, '_', '') <> ''))"
 
 
 def sql_light_stem(t: str) -> str:

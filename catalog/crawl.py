@@ -63,7 +63,8 @@ QUERIES = {
 
 _KEY = "regexp_replace(url, '#.*$', '')"
 _LINKS = f"""links as (select distinct regexp_replace(regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || {sql_unescape('raw')}, '#.*$', '') as url_key
-    from (select url, unnest(regexp_extract_all(html, '(?i)<a\\s[^>]*?href="([^"]*)"', 1)) as raw from pages))"""
+    from (select url, unnest(regexp_extract_all(html, '(?i)<a\\s[^>]*?href="([^"]*)"', 1)) as raw
+      from pages where page_id in (select max(page_id) from pages group by regexp_replace(url, '#.*$', ''))))"""
 
 ORACLES = {
     "crawl_reach": f"""with recursive edges as (

@@ -17,12 +17,13 @@ from pyspark.sql import functions as F
 from ladle.functions.analysis import LIGHT_ENGLISH, Analyzer, bag_tokens, tokens
 from ladle.functions.values import index_name
 from ladle.operators.sizing import small
-from ladle.operators.upsert import has_table
+from ladle.operators.upsert import bucket_count, has_table
 from ladle.session import settle
 
 FIELDS = ("title", "ingredient")
 DOC_BUCKET = -1
-TERM_BUCKETS = 16
+# Documents per term bucket of an index.
+DOCS_PER_BUCKET = 2_000_000
 
 _POSTINGS = "field string, term string, _id string, tf bigint, dl bigint, source string, bucket int"
 _TERMS = "field string, term string, df bigint, source string, bucket int"
@@ -90,8 +91,10 @@ def _write(df: DataFrame, path: str, partition: list[str], order: list[str], rep
 
 
 def build_index(recipes: DataFrame, path: str, analyzer: Analyzer = LIGHT_ENGLISH,
-                buckets: int = TERM_BUCKETS, fields: tuple[str, ...] = FIELDS) -> Index:
+                buckets: int | None = None, fields: tuple[str, ...] = FIELDS) -> Index:
     """Index all of `recipes` (one row per document) at `path`, replacing what is there."""
+    if buckets is None:
+        buckets = bucket_count(recipes.count(), DOCS_PER_BUCKET, 4)
     rows = _bucketed(posting_rows(recipes, analyzer, fields), buckets)
     _write_tables(recipes.sparkSession, rows, path, buckets, None)
     return open_index(recipes.sparkSession, path)
@@ -147,7 +150,7 @@ def open_index(spark: SparkSession, path: str) -> Index:
     postings = spark.read.schema(_POSTINGS).parquet(f"{path}/postings").where(real)
     corpus = (spark.read.schema(_CORPUS).parquet(f"{path}/corpus_stats").where(real)
                    .withColumn("avgdl", F.col("total_len") / F.col("n_docs")))
-    buckets = corpus.agg(F.max("buckets")).first()[0] or TERM_BUCKETS
+    buckets = corpus.agg(F.max("buckets")).first()[0] or 1
     return Index(
         postings=postings.where(F.col("bucket") != DOC_BUCKET),
         doc_len=postings.where(F.col("bucket") == DOC_BUCKET).select("source", "field", "_id", "dl"),

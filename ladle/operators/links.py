@@ -7,17 +7,25 @@ from pyspark.sql import functions as F
 
 from ladle.functions.urls import is_absolute, resolve, url_key
 from ladle.operators import select as s
+from ladle.operators.extract import newest_per_key
 from ladle.operators.sizing import small
 from ladle.operators.tree import parse_pages
 
 
-def links(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
-    """One row per anchor: page columns, `pre`, `href`, absolute `link` and its `link_key`."""
+def links(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), newest: bool = False) -> DataFrame:
+    """One row per anchor: page columns, `pre`, `href`, absolute `link` and its `link_key`.
+
+    `newest` keeps only the latest stored page of each URL key.
+    """
     anchors = s.select(F.col("nodes"), s.both(s.is_tag("a"), s.has_attr("href")))
-    found = parse_pages(pages.select(*keep, "html")).select(
-        *keep, F.explode(F.transform(
-            anchors, lambda n: F.struct(n["pre"].alias("pre"), n["attrs"]["href"].alias("href")))).alias("a"))
-    linked = found.select(*keep, "a.pre", "a.href", resolve(F.col("url"), F.col("a.href")).alias("link"))
+    needed = [c for c in dict.fromkeys([*keep, "url", *(["page_id"] if newest else [])])]
+    per_page = parse_pages(pages.select(*needed, "html")).select(
+        *needed, F.transform(anchors, lambda n: F.struct(
+            n["pre"].alias("pre"), n["attrs"]["href"].alias("href"))).alias("anchors"))
+    if newest:
+        per_page = newest_per_key(per_page.withColumn("url_key", url_key(F.col("url"))))
+    linked = (per_page.select(*keep, F.col("url").alias("_base"), F.explode("anchors").alias("a"))
+                      .select(*keep, "a.pre", "a.href", resolve(F.col("_base"), F.col("a.href")).alias("link")))
     return linked.where(is_absolute(F.col("link"))).withColumn("link_key", url_key(F.col("link")))
 
 
@@ -39,12 +47,6 @@ def unvisited(found: DataFrame, visited: DataFrame) -> DataFrame:
     return fresh.join(visited.select("url_key"), "url_key", "left_anti")
 
 
-def page_edges(pages: DataFrame) -> DataFrame:
-    """`src, dst` URL keys of all links."""
-    return (links(pages).select(url_key(F.col("url")).alias("src"), F.col("link_key").alias("dst"))
-                        .distinct())
-
-
 def restrict(pages: DataFrame, keys: DataFrame) -> DataFrame:
     """Pages whose key is in `keys(url_key)`."""
     return (pages.withColumn("url_key", url_key(F.col("url")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ladle.operators.links import links, restrict
 from ladle.operators.sizing import small
 from ladle.session import scratch
 
@@ -40,8 +41,6 @@ def crawl(seeds: DataFrame, pages: DataFrame, max_depth: int) -> DataFrame:
 
     Only pages that the frontier reaches are parsed, level by level.
     """
-    from ladle.operators.links import links, restrict
-
     spark = seeds.sparkSession
     base = scratch(spark, "crawl")
     level = lambda d: f"{base}/depth={d}"
@@ -49,7 +48,7 @@ def crawl(seeds: DataFrame, pages: DataFrame, max_depth: int) -> DataFrame:
     for depth in range(1, max_depth + 1):
         frontier = spark.read.schema("url_key string").parquet(level(depth - 1))
         visited = spark.read.schema("url_key string, depth int").parquet(base)
-        found = links(restrict(pages, frontier))
+        found = links(restrict(pages, frontier), newest=True)
         (found.select(F.col("link_key").alias("url_key")).distinct()
               .join(visited.select("url_key"), "url_key", "left_anti")
               .write.parquet(level(depth)))

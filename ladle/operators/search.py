@@ -9,7 +9,7 @@ from ladle.functions.analysis import LIGHT_ENGLISH, Analyzer, tokens
 from ladle.functions.values import index_name, matches_pattern
 from ladle.operators.index import Index, term_bucket
 from ladle.operators.sizing import BROADCAST_ROWS, fits_broadcast, measure, small
-from ladle.operators.upsert import id_bucket
+from ladle.operators.upsert import id_bucket, id_buckets
 from ladle.session import settle
 
 # Scoring constants and defaults of the search server.
@@ -132,7 +132,7 @@ def with_documents(hits: DataFrame, queries: DataFrame, documents: DataFrame, k:
     bounded = measure(queries.select("query_id"))[0] * k <= BROADCAST_ROWS // 10
     key = ["source", "_id"]
     if "id_bucket" in documents.columns:
-        hits = hits.withColumn("id_bucket", id_bucket())
+        hits = hits.withColumn("id_bucket", id_bucket(id_buckets(documents)))
         key.append("id_bucket")
     return documents.join(F.broadcast(hits) if bounded else hits, key)
 

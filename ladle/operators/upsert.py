@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +13,8 @@ from ladle.schemas import RECIPE
 from ladle.session import settle
 
 KEY = ("source", "_id")
-ID_BUCKETS = 16
+# Documents per id bucket of one table: an upsert rewrites whole buckets.
+DOCS_PER_BUCKET = 5_000_000
 BODY = [f for f in RECIPE.fieldNames() if f != "_id"]
 
 
@@ -24,10 +25,21 @@ def latest(recipes: DataFrame, version: str = "version") -> DataFrame:
     return recipes.withColumn("_rank", F.row_number().over(last)).where("_rank = 1").drop("_rank")
 
 
-def id_bucket(buckets: int = ID_BUCKETS):
+def bucket_count(rows: int, per_bucket: int, least: int) -> int:
+    """Buckets grow with the table, within what a file system lists quickly."""
+    return max(least, min(1024, -(-rows // per_bucket)))
+
+
+def id_bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64("_id"), F.lit(buckets)).cast("int")
 
 
+def id_buckets(docs: DataFrame) -> int:
+    """Bucket count of a written table: the same in every row, so one row tells it."""
+    row = docs.select("id_buckets").first()
+    return row["id_buckets"] if row else 1
+
+
 def _write_documents(docs: DataFrame, path: str, replace_all: bool) -> None:
     (docs.hint("rebalance", "source", "id_bucket")
          .sortWithinPartitions("source", "id_bucket", "_id")
@@ -44,7 +56,7 @@ def has_table(spark: SparkSession, path: str) -> bool:
 
 
 def upsert(recipes: DataFrame, path: str, recreate: bool = False,
-           buckets: int = ID_BUCKETS) -> DataFrame:
+           buckets: int | None = None) -> DataFrame:
     """Write the last version of `recipes(source, version, recipe fields)` into the table at
     `path`; returns `source, documents` written. `recreate` empties the table first.
 
@@ -53,9 +65,13 @@ def upsert(recipes: DataFrame, path: str, recreate: bool = False,
     the rows survive a failure between delete and rename.
     """
     spark = recipes.sparkSession
-    fresh = settle(latest(recipes).select("source", "_id", *BODY).withColumn("id_bucket", id_bucket(buckets)),
-                   "upsert-new")
+    fresh = settle(latest(recipes).select("source", "_id", *BODY), "upsert-new")
     merging = not recreate and has_table(spark, path)
+    if merging:
+        buckets = id_buckets(documents(spark, path))
+    elif buckets is None:
+        buckets = bucket_count(fresh.count(), DOCS_PER_BUCKET, 1)
+    fresh = fresh.withColumn("id_bucket", id_bucket(buckets)).withColumn("id_buckets", F.lit(buckets))
     if merging:
         # One row per touched partition; DISTINCT is combined before its shuffle.
         touched = fresh.select("source", "id_bucket").distinct()
@@ -71,7 +87,8 @@ def upsert(recipes: DataFrame, path: str, recreate: bool = False,
 
 def documents(spark: SparkSession, path: str) -> DataFrame:
     """The table, with declared types: a source named 007 stays text."""
-    schema = T.StructType([*RECIPE.fields, T.StructField("source", T.StringType()),
+    schema = T.StructType([*RECIPE.fields, T.StructField("id_buckets", T.IntegerType()), 
+                           T.StructField("source", T.StringType()),
                            T.StructField("id_bucket", T.IntegerType())])
     return spark.read.schema(schema).parquet(path)
 

@@ -2,99 +2,123 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):"
-_AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
+# The splitting pattern of RFC 3986, appendix B: scheme, authority, path, query, fragment.
+_PARTS = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(\?[^#]*)?(#(?s:.*))?$"
+_ABSOLUTE = r"^[A-Za-z][A-Za-z0-9+.-]*:"
 
 # Default port per scheme.
 _DEFAULT_PORTS = {"http": "80", "https": "443", "ftp": "21", "ws": "80", "wss": "443"}
 
 
-def _group(url: Column, pattern: str, group: int = 1) -> Column:
-    return F.regexp_extract(url, pattern, group)
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Bind `value` once: a nested expression would repeat it at every use."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def scheme(url: Column) -> Column:
-    return F.lower(_group(url, _SCHEME))
+def _parts(url: Column) -> Column:
+    names = ("scheme", "authority", "path", "query", "fragment")
+    return F.struct(*[F.regexp_extract(url, _PARTS, i + 1).alias(n) for i, n in enumerate(names)])
+
 
+def _host(authority: Column) -> Column:
+    return F.lower(F.regexp_replace(authority, r"^.*@|:\d*$", ""))
 
-def authority(url: Column) -> Column:
-    return _group(url, _AUTHORITY)
+
+def scheme(url: Column) -> Column:
+    return F.lower(F.regexp_extract(url, _PARTS, 1))
 
 
 def host(url: Column) -> Column:
     """Host name without user-info and port, lower case."""
-    return F.lower(F.regexp_replace(authority(url), r"^.*@|:\d*$", ""))
+    return _host(F.regexp_extract(url, _PARTS, 2))
 
 
 def path(url: Column) -> Column:
     """Absolute path; '/' when the URL names only a host."""
-    found = _group(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)")
-    return F.when(found == "", F.lit("/")).otherwise(found)
+    return F.coalesce(F.nullif(F.regexp_extract(url, _PARTS, 3), F.lit("")), F.lit("/"))
 
 
 def is_absolute(url: Column) -> Column:
     """Any scheme counts, `mailto:` included."""
-    return F.coalesce(url.rlike(_SCHEME), F.lit(False))
+    return F.coalesce(url.rlike(_ABSOLUTE), F.lit(False))
+
+
+def _site(p: Column) -> Column:
+    """Scheme and authority: host in lower case, default port dropped, user-info kept."""
+    port = F.regexp_extract(p["authority"], r":(\d+)$", 1)
+    low = F.lower(p["scheme"])
+    usual = F.lit(False)
+    for name, number in _DEFAULT_PORTS.items():
+        usual = usual | ((low == name) & (port == number))
+    return F.concat(low, F.lit("://"), F.regexp_extract(p["authority"], r"^(.*@)", 1),
+                    _host(p["authority"]),
+                    F.when((port == "") | usual, F.lit("")).otherwise(F.concat(F.lit(":"), port)))
+
+
+def _canonical(p: Column, fragment: Column) -> Column:
+    slash = F.when(p["path"].startswith("/"), F.lit("")).otherwise(F.lit("/"))
+    tail = F.concat(p["query"], fragment)
+    return (F.when((p["scheme"] != "") & (p["authority"] != ""),
+                   F.concat(_site(p), slash, p["path"], tail))
+             .when(p["scheme"] != "", F.concat(F.lower(p["scheme"]), F.lit(":"), p["path"], tail))
+             .otherwise(F.concat(p["path"], tail)))
 
 
 def url_key(url: Column) -> Column:
     """Identity of a URL: scheme and host in lower case, default port and fragment dropped."""
-    bare = F.regexp_replace(url, r"#.*$", "")
-    login = _group(authority(bare), r"^(.*@)")
-    port = _group(authority(bare), r":(\d+)$")
-    usual = F.lit("")
-    for name, number in _DEFAULT_PORTS.items():
-        usual = F.when(scheme(bare) == name, F.lit(number)).otherwise(usual)
-    shown_port = F.when((port == "") | (port == usual), F.lit("")).otherwise(F.concat(F.lit(":"), port))
-    rest = _group(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(.*)$")
-    rest = F.when(rest.startswith("/"), rest).otherwise(F.concat(F.lit("/"), rest))
-    full = F.concat(scheme(bare), F.lit("://"), login, host(bare), shown_port, rest)
-    opaque = F.concat(scheme(bare), F.lit(":"), _group(bare, r"^[^:]*:(.*)$"))
-    return (F.when(bare.rlike(_AUTHORITY), full)
-             .when(is_absolute(bare), opaque)
-             .otherwise(bare))
+    return _let(_parts(url), lambda p: _canonical(p, F.lit("")))
+
+
+def absolute(url: Column) -> Column:
+    """Canonical spelling of a URL, its fragment kept."""
+    return _let(_parts(url), lambda p: _canonical(p, p["fragment"]))
 
 
 def resolve(base: Column, ref: Column) -> Column:
-    """Absolute form of `ref` seen on the page `base`."""
-    ref = F.regexp_replace(ref, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
-    root = F.concat(scheme(base), F.lit("://"), authority(base))
-    query = _group(base, r"^[^?#]*(\?[^#]*)")
-    page = F.concat(root, path(base))
-    folder = F.concat(root, F.regexp_replace(path(base), r"[^/]*$", ""))
-    joined = (
-        F.when(is_absolute(ref), ref)
-         .when(ref.startswith("//"), F.concat(scheme(base), F.lit(":"), ref))
-         .when(ref.startswith("/"), F.concat(root, ref))
-         .when(ref.startswith("?"), F.concat(page, ref))
-         .when(ref.startswith("#"), F.concat(page, query, ref))
-         .when(ref == "", F.concat(page, query))
-         .otherwise(F.concat(folder, ref))
+    """Absolute form of `ref` seen on the page `base` (RFC 3986, section 5)."""
+    bare = F.regexp_replace(ref, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    both = F.struct(_parts(base).alias("b"), bare.alias("ref"), _parts(bare).alias("r"))
+    return _let(both, _resolved)
+
+
+def _resolved(v: Column) -> Column:
+    b, r = v["b"], v["r"]
+    root = F.concat(F.lower(b["scheme"]), F.lit("://"), b["authority"])
+    folder = F.regexp_replace(F.when(b["path"] == "", F.lit("/")).otherwise(b["path"]), r"[^/]*$", "")
+    page = F.when(b["path"] == "", F.lit("/")).otherwise(b["path"])
+    tail = F.concat(r["query"], r["fragment"])
+    return (
+        F.when((r["scheme"] != "") & (r["authority"] == ""), v["ref"])
+         .when(r["scheme"] != "", F.concat(r["scheme"], F.lit("://"), r["authority"],
+                                           _without_dots(r["path"]), tail))
+         .when(v["ref"].startswith("//"), F.concat(F.lower(b["scheme"]), F.lit("://"), r["authority"],
+                                                   _without_dots(r["path"]), tail))
+         .when(r["path"].startswith("/"), F.concat(root, _without_dots(r["path"]), tail))
+         .when(r["path"] != "", F.concat(root, _without_dots(F.concat(folder, r["path"])), tail))
+         .when(r["query"] != "", F.concat(root, page, tail))
+         .otherwise(F.concat(root, page, b["query"], r["fragment"]))
     )
-    return F.when(is_absolute(ref) & ~ref.rlike(_AUTHORITY), ref).otherwise(_without_dots(joined))
-
-
-def _without_dots(url: Column) -> Column:
-    """Remove `.` and `..` segments of the path; untouched where there are none."""
-    tail = _group(url, r"^[^?#]*([?#].*)$")
-    where = path(url)
-    segments = F.slice(F.split(where, "/"), 2, F.size(F.split(where, "/")))
-    # One left fold over the segments: `..` drops the last kept one, `.` adds none.
-    kept = F.aggregate(
-        segments,
-        F.array().cast("array<string>"),
-        lambda kept, s: F.when(s == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0))))
-                         .when(s == ".", kept)
-                         .otherwise(F.concat(kept, F.array(s))))
-    # A last segment that is a dot names its folder.
-    ends_open = where.rlike(r"/\.{1,2}$")
-    slash = F.when(ends_open & (F.size(kept) > 0), F.lit("/")).otherwise(F.lit(""))
-    clean = F.concat(scheme(url), F.lit("://"), authority(url), F.lit("/"),
-                     F.array_join(kept, "/"), slash, tail)
-    return F.when(where.rlike(r"/\.{1,2}(/|$)"), clean).otherwise(url)
+
+
+def _without_dots(where: Column) -> Column:
+    """Remove `.` and `..` segments; a path without any is left as it is."""
+    # One left fold over the segments: `..` drops the last kept one, `.` adds none. The fold
+    # starts after the leading slash; a last segment that is a dot names its folder.
+    def fold(w: Column) -> Column:
+        kept = F.aggregate(
+            F.slice(F.split(w, "/"), 2, F.greatest(F.size(F.split(w, "/")) - 1, F.lit(0))),
+            F.array().cast("array<string>"),
+            lambda seen, s: F.when(s == "..", F.slice(seen, 1, F.greatest(F.size(seen) - 1, F.lit(0))))
+                             .when(s == ".", seen)
+                             .otherwise(F.concat(seen, F.array(s))))
+        folder = F.when(w.rlike(r"/\.{1,2}$") & ~w.rlike(r"^/\.{1,2}$"), F.lit("/")).otherwise(F.lit(""))
+        return F.regexp_replace(F.concat(F.lit("/"), F.array_join(kept, "/"), folder), "^/+$", "/")
+    return _let(where, lambda w: F.when(w.rlike(r"/\.{1,2}(/|$)"), fold(w)).otherwise(w))
 
 
 def recipe_url(prefix: str, recipe_id: Column) -> Column:
@@ -105,11 +129,6 @@ def document_id(url: Column, recipe_id: Column) -> Column:
     return F.concat(host(url), F.lit("-"), recipe_id.cast("string"))
 
 
-def absolute(url: Column) -> Column:
-    """Canonical spelling of a URL, its fragment kept."""
-    return F.concat(url_key(url), _group(url, r"(#.*)$"))
-
-
 def store_key(url: Column) -> Column:
     """Object key of a stored page: absolute form, '/', absolute path."""
     return F.concat(absolute(url), F.lit("/"), path(url))

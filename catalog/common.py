@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ladle.operators import select as s
 from ladle.operators.extract import Layout
 from ladle.operators.index import Index, build_index
+from ladle.operators.sizing import spread
 from ladle.operators.upsert import upsert
 from ladle.session import scratch
 
@@ -31,6 +32,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def given_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages for heavy per-row work."""
+    return spread(table(spark, sf_dir, "pages"))
+
+
 def recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as recipes: the first line is the title, the others are ingredients."""
     lines = F.split("text", "\n")
@@ -44,7 +50,7 @@ def recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def numbered_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages under the URL of their id, as if fetched by id."""
-    return table(spark, sf_dir, "pages").withColumn(
+    return given_pages(spark, sf_dir).withColumn(
         "url", F.concat(F.lit(URL_PREFIX), F.col("page_id").cast("string")))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.common import sql_unescape, table
+from catalog.common import given_pages, sql_unescape, table
 from ladle.functions.urls import url_key
 from ladle.operators.reach import crawl, reach
 from ladle.session import scratch
@@ -20,7 +20,7 @@ def crawl_reach(spark, sf_dir):
     part = F.concat(F.lit("p"), F.col("l_partkey").cast("string"))
     there = items.select(order.alias("src"), part.alias("dst"))
     back = items.select(part.alias("src"), order.alias("dst"))
-    edges = there.unionByName(back).distinct()
+    edges = there.unionByName(back)
     parts = table(spark, sf_dir, "part")
     best = parts.agg(F.max("p_retailprice").alias("p_retailprice"))
     seeds = parts.join(best, "p_retailprice", "left_semi").select(
@@ -30,7 +30,7 @@ def crawl_reach(spark, sf_dir):
 
 def page_crawl(spark, sf_dir):
     """All pages as seeds: their links are one hop away."""
-    pages = table(spark, sf_dir, "pages")
+    pages = given_pages(spark, sf_dir)
     return crawl(pages.select(url_key(F.col("url")).alias("url_key")), pages, 2)
 
 

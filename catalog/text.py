@@ -11,6 +11,7 @@ from ladle.functions.values import index_name, matches_pattern
 from ladle.operators.index import field_tokens, posting_rows
 from ladle.operators.search import (no_results, query_terms, result_lines, scores, search,
                                     with_documents)
+from ladle.operators.sizing import spread
 from ladle.operators.upsert import docs_per_source, documents, latest, outcome, upsert
 from ladle.session import scratch
 
@@ -62,7 +63,7 @@ def bad_rows_report(spark, sf_dir):
 
 
 def token_counts(spark, sf_dir):
-    found = field_tokens(recipes(spark, sf_dir)).select("field", F.explode("tokens").alias("token"))
+    found = field_tokens(spread(recipes(spark, sf_dir))).select("field", F.explode("tokens").alias("token"))
     return found.groupBy("field", "token").agg(F.count("*").alias("n"))
 
 

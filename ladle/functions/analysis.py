@@ -12,19 +12,21 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ladle.functions.binding import let
 from ladle.functions.porter import porter
 from ladle.operators.sizing import small
-from ladle.session import ship_package
 
 # Word breaks after UAX #29: letter runs join over . ' ’ : ·, digit runs over . , ; ' ’,
-# neighbouring letter and digit runs are one token, Han and Hiragana stand alone.
-# Every quantifier is possessive: the plain form overflows the stack on long tokens.
-_IDEOGRAPH = r"[\p{IsHan}\p{IsHiragana}]"
-_LETTER = r"[\p{L}\p{M}_&&[^\p{IsHan}\p{IsHiragana}]]"
+# neighbouring letter and digit runs are one token, Han and Hiragana stand alone; a run of
+# underscores alone is no token. Every quantifier is possessive: the plain form overflows the
+# stack on long tokens. Han and Hiragana are ranges, since a script test per letter is slow.
+_IDEOGRAPHS = (r"\x{2E80}-\x{2FD5}\x{3005}\x{3007}\x{3021}-\x{3029}\x{3038}-\x{303B}\x{3041}-\x{3096}"
+               r"\x{309D}-\x{309F}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAD9}\x{20000}-\x{323AF}")
+_LETTERS = rf"[\p{{L}}\p{{M}}_&&[^{_IDEOGRAPHS}]]++"
+_DIGITS = r"[\p{N}_]++"
 TOKEN = (
-    rf"{_IDEOGRAPH}\p{{M}}*+"
-    rf"|(?:{_LETTER}++(?:[.'’:·]{_LETTER}++)*+"
-    r"|[\p{N}_]++(?:[.,;'’][\p{N}_]++)*+)++"
+    rf"[{_IDEOGRAPHS}]\p{{M}}*+"
+    rf"|(?=_*+[^_])(?:{_LETTERS}(?:[.'’:·]{_LETTERS})*+|{_DIGITS}(?:[.,;'’]{_DIGITS})*+)++"
 )
 MAX_TOKEN = 255
 
@@ -38,10 +40,10 @@ ENGLISH_STOP_WORDS = (
 def tokens(text: Column) -> Column:
     """Array of raw tokens in order; longer ones are cut every 255 characters."""
     found = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
-    found = F.filter(found, lambda t: F.translate(t, "_", "") != "")
     cut = F.flatten(F.transform(
         found, lambda t: F.regexp_extract_all(t, F.lit(rf"(?s).{{1,{MAX_TOKEN}}}"), F.lit(0))))
-    return F.when(F.exists(found, lambda t: F.length(t) > MAX_TOKEN), cut).otherwise(found)
+    may_be_long = text.rlike(rf"(?<!\S)\S{{{MAX_TOKEN + 1}}}")
+    return F.when(may_be_long, cut).otherwise(found)
 
 
 def bag_tokens(lines: Column) -> Column:
@@ -60,7 +62,7 @@ def light_stem(t: Column) -> Column:
 
 
 def strip_possessive(t: Column) -> Column:
-    return F.regexp_replace(t, r"['’＇][sS]$", "")
+    return F.when(t.endswith("s") | t.endswith("S"), F.regexp_replace(t, r"['’＇][sS]$", "")).otherwise(t)
 
 
 def _fold_pairs() -> tuple[str, str, dict[str, str]]:
@@ -90,7 +92,7 @@ def fold_ascii(t: Column) -> Column:
     wide = F.translate(t, _FOLD_FROM, _FOLD_TO)
     for letter, pair in _FOLD_DOUBLE.items():
         wide = F.replace(wide, F.lit(letter), F.lit(pair))
-    return F.when(t.rlike(r"^[\x00-\x7f]*+$"), t).otherwise(wide)
+    return F.when(F.octet_length(t) == F.length(t), t).otherwise(wide)
 
 
 @dataclass(frozen=True)
@@ -107,15 +109,20 @@ class Analyzer:
     english: bool = False
     lexicon: DataFrame | None = None
 
-    def finish(self, t: Column, root: Column | None = None) -> Column:
-        """Term of a raw token."""
-        if self.lowercase_first:
-            t = F.lower(t)
+    def steps(self, root: Column | None = None) -> list[Callable[[Column], Column]]:
+        """The chain as single steps, each to be applied to the value of the one before."""
+        chain: list[Callable[[Column], Column]] = [F.lower] if self.lowercase_first else []
         if self.stem is not None:
-            stemmed = self.stem(t)
-            t = stemmed if root is None else F.coalesce(root, stemmed)
-        t = strip_possessive(t)
-        return fold_ascii(F.lower(t))
+            stem = self.stem
+            chain.append(stem if root is None else lambda t: F.coalesce(root, stem(t)))
+        chain += [strip_possessive, F.lower, fold_ascii]
+        return chain + [porter] if self.english else chain
+
+    def finish(self, t: Column) -> Column:
+        """Term of a raw token as one expression (dictionary stems need `terms`)."""
+        for step in self.steps():
+            t = let(t, step)
+        return t
 
     def kept(self, found: Column) -> Column:
         """Raw tokens of one text that survive the stop filter."""
@@ -125,18 +132,16 @@ class Analyzer:
 
     def terms(self, df: DataFrame, token: str = "token") -> DataFrame:
         """Replace the column `token` by its `term`, row by row."""
-        if self.lexicon is None:
-            out = df.withColumn("term", self.finish(F.col(token)))
-        else:
+        out, root = df, None
+        if self.lexicon is not None:
             key = F.lower(F.col(token)) if self.lowercase_first else F.col(token)
             roots = self.lexicon.groupBy(F.col("token").alias("_key")).agg(F.min("root").alias("_root"))
-            out = (df.withColumn("_key", key).join(small(roots), "_key", "left")
-                     .withColumn("term", self.finish(F.col(token), F.col("_root")))
-                     .drop("_key", "_root"))
-        if self.english:
-            ship_package(df.sparkSession)
-            out = out.withColumn("term", porter(F.col("term")))
-        return out.drop(token)
+            out = out.withColumn("_key", key).join(small(roots), "_key", "left").drop("_key")
+            root = F.col("_root")
+        out = out.withColumnRenamed(token, "term")
+        for step in self.steps(root):  # one projection per step keeps each in generated code
+            out = out.withColumn("term", step(F.col("term")))
+        return out.drop("_root")
 
 
 LIGHT_ENGLISH = Analyzer()

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ladle.functions.binding import let
+
 # The splitting pattern of RFC 3986, appendix B: scheme, authority, path, query, fragment.
 _PARTS = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(\?[^#]*)?(#(?s:.*))?$"
 _ABSOLUTE = r"^[A-Za-z][A-Za-z0-9+.-]*:"
@@ -15,11 +15,6 @@ _ABSOLUTE = r"^[A-Za-z][A-Za-z0-9+.-]*:"
 _DEFAULT_PORTS = {"http": "80", "https": "443", "ftp": "21", "ws": "80", "wss": "443"}
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Bind `value` once: a nested expression would repeat it at every use."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _parts(url: Column) -> Column:
     names = ("scheme", "authority", "path", "query", "fragment")
     return F.struct(*[F.regexp_extract(url, _PARTS, i + 1).alias(n) for i, n in enumerate(names)])
@@ -71,19 +66,19 @@ def _canonical(p: Column, fragment: Column) -> Column:
 
 def url_key(url: Column) -> Column:
     """Identity of a URL: scheme and host in lower case, default port and fragment dropped."""
-    return _let(_parts(url), lambda p: _canonical(p, F.lit("")))
+    return let(_parts(url), lambda p: _canonical(p, F.lit("")))
 
 
 def absolute(url: Column) -> Column:
     """Canonical spelling of a URL, its fragment kept."""
-    return _let(_parts(url), lambda p: _canonical(p, p["fragment"]))
+    return let(_parts(url), lambda p: _canonical(p, p["fragment"]))
 
 
 def resolve(base: Column, ref: Column) -> Column:
     """Absolute form of `ref` seen on the page `base` (RFC 3986, section 5)."""
     bare = F.regexp_replace(ref, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
     both = F.struct(_parts(base).alias("b"), bare.alias("ref"), _parts(bare).alias("r"))
-    return _let(both, _resolved)
+    return let(both, _resolved)
 
 
 def _resolved(v: Column) -> Column:
@@ -118,7 +113,7 @@ def _without_dots(where: Column) -> Column:
                              .otherwise(F.concat(seen, F.array(s))))
         folder = F.when(w.rlike(r"/\.{1,2}$") & ~w.rlike(r"^/\.{1,2}$"), F.lit("/")).otherwise(F.lit(""))
         return F.regexp_replace(F.concat(F.lit("/"), F.array_join(kept, "/"), folder), "^/+$", "/")
-    return _let(where, lambda w: F.when(w.rlike(r"/\.{1,2}(/|$)"), fold(w)).otherwise(w))
+    return let(where, lambda w: F.when(w.rlike(r"/\.{1,2}(/|$)"), fold(w)).otherwise(w))
 
 
 def recipe_url(prefix: str, recipe_id: Column) -> Column:

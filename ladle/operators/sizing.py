@@ -29,3 +29,13 @@ def fits_broadcast(df: DataFrame, times: int = 1) -> bool:
 def small(df: DataFrame) -> DataFrame:
     """`df` with a broadcast hint if it fits, otherwise as it is (shuffle join, AQE skew split)."""
     return F.broadcast(df) if fits_broadcast(df) else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a scan over at least as many tasks as there are cores.
+
+    A large input has more partitions than cores and is left alone; a single big row group
+    would otherwise keep heavy per-row work on one core.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

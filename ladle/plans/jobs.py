@@ -9,6 +9,7 @@ from ladle.operators.batching import batches
 from ladle.operators.extract import RECIPE_SITE, Layout, extract
 from ladle.operators.index import Index, ensure_index, open_index, refresh_index
 from ladle.operators.search import TOP, search, with_documents
+from ladle.operators.sizing import spread
 from ladle.operators.upsert import documents, has_table, outcome, upsert
 from ladle.session import settle
 from ladle.sources.batches import (batch_results, parse_batches, quarantine, scan_text, successes,
@@ -22,7 +23,7 @@ def extract_range(spark: SparkSession, start: int, end: int, pages: DataFrame, p
     """Ids `[start, end)` -> results -> batches landed below `path`. An empty range lands nothing."""
     if end <= start:
         return
-    results = extract(id_range(spark, start, end, url_prefix), pages, layout)
+    results = extract(id_range(spark, start, end, url_prefix), spread(pages), layout)
     write_batches(batches(results, batch_size, start), path, source, clean, objects)
 
 

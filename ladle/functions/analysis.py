@@ -26,7 +26,7 @@ _LETTERS = rf"[\p{{L}}\p{{M}}_&&[^{_IDEOGRAPHS}]]++"
 _DIGITS = r"[\p{N}_]++"
 TOKEN = (
     rf"[{_IDEOGRAPHS}]\p{{M}}*+"
-    rf"|(?=_*+[^_])(?:{_LETTERS}(?:[.'’:·]{_LETTERS})*+|{_DIGITS}(?:[.,;'’]{_DIGITS})*+)++"
+    rf"|(?=_*+[\p{{L}}\p{{M}}\p{{N}}])(?:{_LETTERS}(?:[.'’:·]{_LETTERS})*+|{_DIGITS}(?:[.,;'’]{_DIGITS})*+)++"
 )
 MAX_TOKEN = 255
 

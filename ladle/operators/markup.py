@@ -49,6 +49,9 @@ IMPLIED = {
     "tfoot": (_words("tbody thead tfoot"), _words("table template html")),
 }
 
+_TABLE_PARTS = _words("table tr tbody thead tfoot td th")
+_TABLE_SCOPE = _words("table template html")
+
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW | RAW_DECODED}
 
 
@@ -83,6 +86,7 @@ class Page:
         self._runs: list[str] = []
         self._chars = 0
         self._open: list[int] = []
+        self._depths: dict[str, list[int]] = {}  # open elements per tag, by their depth
         self._foreign = 0
         self._scan(markup)
         self.text = "".join(self._runs)
@@ -109,26 +113,29 @@ class Page:
         self.inner_from.append(inner)
         self.inner_to.append(inner)
         if not leaf:
+            self._depths.setdefault(tag, []).append(len(self._open))
             self._open.append(node)
             self._foreign += tag in ("svg", "math")
 
     def _pop_through(self, depth: int, at: int) -> None:
         while len(self._open) > depth:
             node = self._open.pop()
+            self._depths[self.tag[node]].pop()
             self.post[node] = len(self.tag) - 1
             self.text_to[node] = self._chars
             self.inner_to[node] = at
             self._foreign -= self.tag[node] in ("svg", "math")
 
+    def _innermost(self, tags) -> int:
+        return max((at[-1] for t in tags if (at := self._depths.get(t))), default=-1)
+
     def _find_open(self, wanted, barrier) -> int:
-        """Depth of the innermost open element in `wanted`, unless a barrier is met first."""
-        for depth in range(len(self._open) - 1, -1, -1):
-            tag = self.tag[self._open[depth]]
-            if tag in wanted:
-                return depth
-            if tag in barrier:
-                return -1
-        return -1
+        """Depth of the innermost open element in `wanted`, -1 if a barrier lies above it.
+
+        Looks at a fixed number of tags, never along the open elements.
+        """
+        found = self._innermost(wanted)
+        return found if found >= 0 and found >= self._innermost(barrier) else -1
 
     def _close_open(self, wanted, barrier, at: int) -> bool:
         depth = self._find_open(wanted, barrier)
@@ -152,9 +159,7 @@ class Page:
         if tag in VOID and not self._foreign:
             return
         # A block's end tag closes what is open inside it; an inline one stops at blocks.
-        barrier = SCOPE - {tag} if tag in SPECIAL else SPECIAL
-        if tag in ("table", "tr", "tbody", "thead", "tfoot", "td", "th"):
-            barrier = _words("table template html") - {tag}
+        barrier = _TABLE_SCOPE if tag in _TABLE_PARTS else SCOPE if tag in SPECIAL else SPECIAL
         if not self._close_open((tag,), barrier, at) and tag == "p" and not self._foreign:
             self._push("p", {}, after, leaf=True)
 

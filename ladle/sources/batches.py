@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import posixpath
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,16 +34,26 @@ def write_batches(batches: DataFrame, path: str, source: str, clean: bool = Fals
         writer.mode("overwrite" if clean else "append").partitionBy("source").text(path)
 
 
+def _below(path: str) -> Column:
+    """Path of a scanned file below the folder `path`."""
+    root = posixpath.normpath(re.sub(r"^[a-z0-9]+:/*", "/", path)).lstrip("./")
+    plain = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return F.get(F.split(plain, rf"/\Q{root}\E/", 2), F.lit(1))
+
+
 def scan_text(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
-    """`source, file, body` of every landed file below `path`, nested folders included."""
-    reader = spark.read.schema("value string").option("recursiveFileLookup", "true")
-    raw = reader.option("wholetext", str(whole_files).lower()).text(path)
-    root = path.rstrip("/").split(":", 1)[-1].lstrip("/") + "/"
-    file = F.col("_metadata.file_path")
-    below = F.element_at(F.split(file, rf"\Q{root}\E", 2), 2)
-    source = F.nullif(F.regexp_extract(below, r"^(?:source=)?([^/]+)/", 1), F.lit(""))
-    return (raw.select(source.alias("source"), below.alias("file"), F.col("value").alias("body"))
-               .where(F.col("source").isNotNull() & (F.trim("body") != "")))
+    """`source, file, body` of every landed file below `path`, nested folders included.
+
+    The source is the first folder, plain or as `source=...`; a file in the root has none and
+    is ignored.
+    """
+    raw = (spark.read.schema("value string").option("recursiveFileLookup", "true")
+                .text(path, wholetext=whole_files))
+    folder = F.regexp_extract(_below(path), r"^([^/]+)/", 1)
+    named = F.url_decode(F.replace(F.substr(folder, F.lit(len("source=") + 1)), F.lit("+"), F.lit("%2B")))
+    source = F.when(folder.startswith("source="), named).otherwise(folder)
+    return (raw.select(source.alias("source"), _below(path).alias("file"), F.col("value").alias("body"))
+               .where((F.col("source") != "") & (F.trim("body") != "")))
 
 
 def parse_batches(raw: DataFrame) -> DataFrame:

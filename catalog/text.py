@@ -68,7 +68,7 @@ def token_counts(spark, sf_dir):
 
 
 def _term_counts(spark, sf_dir, analyzer):
-    rows = posting_rows(recipes(spark, sf_dir), analyzer).where(F.col("term") != "")
+    rows = posting_rows(recipes(spark, sf_dir), analyzer, doc_rows=False)
     return rows.groupBy("field", "term").agg(F.sum("tf").alias("n"))
 
 
@@ -270,8 +270,8 @@ ORACLES = {
     "analyzed_terms": f"{_TOKENS} select field, {sql_term('token')} as term, count(*) as n from t group by all",
     "lowercase_first_terms": f"""{_TOKENS}, l as (select field, lower(token) as token from t)
         select field, {sql_term('token')} as term, count(*) as n from l group by all""",
-    "stopword_terms": f"""{_TOKENS}, a as (select field, {sql_term('token')} as term from t)
-        select field, term, count(*) as n from a where term not in ({_STOPS}) group by all""",
+    "stopword_terms": f"""{_TOKENS} select field, {sql_term('token')} as term, count(*) as n from t
+        where lower(token) not in ({_STOPS}) group by all""",
     "analyzed_queries": f"""with {_QUERIES} select query_id, {sql_term('tok')} as term, count(*) as qtf
         from (select query_id, {sql_tokens('query')} as tok from asked) group by all""",
     "postings": f"""with {SQL_INDEX} select t.source, t.field, t.term, t._id, t.tf, l.dl from tf t

@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ladle.functions.binding import let
 from ladle.functions.porter import porter
 from ladle.operators.sizing import small
 
@@ -118,17 +117,12 @@ class Analyzer:
         chain += [strip_possessive, F.lower, fold_ascii]
         return chain + [porter] if self.english else chain
 
-    def finish(self, t: Column) -> Column:
-        """Term of a raw token as one expression (dictionary stems need `terms`)."""
-        for step in self.steps():
-            t = let(t, step)
-        return t
-
     def kept(self, found: Column) -> Column:
-        """Raw tokens of one text that survive the stop filter."""
+        """Raw tokens of one text that survive the stop filter, which looks at words as
+        written: a stemmed `was` or `this` would no longer be recognised."""
         if not self.stop_words:
             return found
-        return F.filter(found, lambda t: ~self.finish(t).isin(list(self.stop_words)))
+        return F.filter(found, lambda t: ~F.lower(t).isin(list(self.stop_words)))
 
     def terms(self, df: DataFrame, token: str = "token") -> DataFrame:
         """Replace the column `token` by its `term`, row by row."""

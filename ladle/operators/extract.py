@@ -5,16 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ladle.functions.urls import document_id, url_key
+from ladle.functions.urls import document_id, recipe_url, url_key
 from ladle.functions.values import (clean_title, collapse_space, keep_not_blank, retryable,
                                     trim_space)
 from ladle.operators import select as s
 from ladle.operators.sizing import small
 from ladle.operators.tree import parse_pages
 from ladle.schemas import RECIPE
+from ladle.sources.ids import id_range
 
 Finder = Callable[[Column], Column]
 
@@ -99,18 +100,39 @@ def lookup_pages(keys: DataFrame, pages: DataFrame) -> DataFrame:
     return wanted.join(newest_per_key(stored), "url_key", "left")
 
 
-def extract(ids: DataFrame, pages: DataFrame, layout: Layout = RECIPE_SITE) -> DataFrame:
+def extract(ids: DataFrame, pages: DataFrame, layout: Layout = RECIPE_SITE,
+            narrowed: bool = False) -> DataFrame:
     """Results for `ids(recipe_id, url)`: every id gives a row, with or without a page.
 
     Pages are parsed where they lie and only the extracted fields travel to the join.
+    `narrowed` says that `pages` holds no page outside `ids`.
     """
     wanted = ids.withColumn("url_key", url_key(F.col("url")))
     stored = with_http_status(pages).withColumn("url_key", url_key(F.col("url"))).drop("url")
-    stored = stored.join(small(wanted.select("url_key").distinct()), "url_key", "left_semi")
+    if not narrowed:
+        stored = stored.join(small(wanted.select("url_key").distinct()), "url_key", "left_semi")
     fields = newest_per_key(extract_fields(stored, layout))
     return classify(wanted.join(fields, "url_key", "left"))
 
 
+def pages_of_range(pages: DataFrame, start: int, end: int, prefix: str) -> DataFrame:
+    """Pages whose URL is `prefix` and an id in `[start, end)`: told from the URL alone, so a
+    range of any size needs no join to pick its pages."""
+    key, head = url_key(F.col("url")), url_key(F.lit(prefix))
+    number = F.try_to_number(F.substr(key, F.length(head) + 1), F.lit("9" * 19)).cast("bigint")
+    return (pages.withColumn("_id", number)
+                 .where(F.col("_id").between(start, end - 1)
+                        & (key == url_key(recipe_url(prefix, F.col("_id")))))
+                 .drop("_id"))
+
+
+def extract_range(spark: SparkSession, start: int, end: int, pages: DataFrame, prefix: str,
+                  layout: Layout = RECIPE_SITE) -> DataFrame:
+    """Results for the ids `[start, end)` under a URL prefix; no rows for an empty range."""
+    return extract(id_range(spark, start, end, prefix), pages_of_range(pages, start, end, prefix),
+                   layout, narrowed=True)
+
+
 def classify(assembled: DataFrame) -> DataFrame:
     """Status, and the recipe exactly where the status is success."""
     status = status_of(F.col("http_status"), F.col("ingredient"), F.col("steps"))

@@ -50,16 +50,17 @@ def field_tokens(recipes: DataFrame, fields: tuple[str, ...] = FIELDS,
 
 
 def posting_rows(recipes: DataFrame, analyzer: Analyzer = LIGHT_ENGLISH,
-                 fields: tuple[str, ...] = FIELDS) -> DataFrame:
-    """Term counts per document and field, plus the document row with term ''.
+                 fields: tuple[str, ...] = FIELDS, doc_rows: bool = True) -> DataFrame:
+    """Term counts per document and field; `doc_rows` adds the document row with term ''.
 
     The short text is placed by document once; counting the exploded tokens then needs no
     shuffle of its own, since a document is already whole in its partition.
     """
     placed = recipes.select("source", "_id", *fields).repartition("source", "_id")
     bags = field_tokens(placed, fields, analyzer)
+    bag = F.concat("tokens", F.array(F.lit(""))) if doc_rows else F.col("tokens")
     spread = bags.select("source", "_id", "field", F.size("tokens").cast("bigint").alias("dl"),
-                         F.explode(F.concat("tokens", F.array(F.lit("")))).alias("token"))
+                         F.explode(bag).alias("token"))
     return (analyzer.terms(spread)
             .groupBy("source", "_id", "field", "dl", "term").agg(F.count("*").alias("tf")))
 

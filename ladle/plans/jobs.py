@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ladle.functions.analysis import LIGHT_ENGLISH, Analyzer
 from ladle.operators.batching import batches
-from ladle.operators.extract import RECIPE_SITE, Layout, extract
+from ladle.operators.extract import RECIPE_SITE, Layout, extract_range
 from ladle.operators.index import Index, ensure_index, open_index, refresh_index
 from ladle.operators.search import TOP, search, with_documents
 from ladle.operators.sizing import spread
@@ -14,16 +14,15 @@ from ladle.operators.upsert import documents, has_table, outcome, upsert
 from ladle.session import settle
 from ladle.sources.batches import (batch_results, parse_batches, quarantine, scan_text, successes,
                                    write_batches)
-from ladle.sources.ids import id_range
 
 
-def extract_range(spark: SparkSession, start: int, end: int, pages: DataFrame, path: str,
+def extract_and_land(spark: SparkSession, start: int, end: int, pages: DataFrame, path: str,
                   url_prefix: str, source: str = "all-recipes", layout: Layout = RECIPE_SITE,
                   batch_size: int = 100, clean: bool = False, objects: bool = False) -> None:
     """Ids `[start, end)` -> results -> batches landed below `path`. An empty range lands nothing."""
     if end <= start:
         return
-    results = extract(id_range(spark, start, end, url_prefix), spread(pages), layout)
+    results = extract_range(spark, start, end, spread(pages), url_prefix, layout)
     write_batches(batches(results, batch_size, start), path, source, clean, objects)
 
 

@@ -19,10 +19,12 @@ def sequence_ids(df: DataFrame, order: list[str], start: int = 0, name: str = "i
     """Number rows `start+1 ...` in `order` without a single-partition window.
 
     Rows are range-partitioned and written once; each partition then only needs the count of
-    the partitions before it, a table with one row per partition.
+    the partitions before it, a table with one row per partition. The row's place in the
+    input breaks ties, so equal values may fill several partitions.
     """
-    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
     mono = F.monotonically_increasing_id()
+    placed = df.withColumn("_tie", mono)
+    placed = placed.repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
     placed = settle(placed.withColumn("_part", F.shiftright(mono, 33).cast("int"))
                           .withColumn("_row", mono.bitwiseAND(F.lit((1 << 33) - 1))))
     counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))

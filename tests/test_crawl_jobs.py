@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from ladle.operators.reach import crawl, reach
 from ladle.operators.search import result_lines
-from ladle.plans.jobs import extract_range, index_all, search_documents
+from ladle.plans.jobs import extract_and_land, index_all, search_documents
 from ladle.streaming.frontier import crawl_until_idle, first_seen
 
 PAGES = "page_id bigint, url string, html string"
@@ -58,9 +58,9 @@ def page(i, title):
 def test_jobs_end_to_end(spark, tmp_path, rows):
     landed, base = str(tmp_path / "landed"), str(tmp_path / "base")
     pages = spark.createDataFrame([page(i, f"Pie{i}") for i in range(1, 121)], PAGES)
-    extract_range(spark, 5, 5, pages, landed, PREFIX)
+    extract_and_land(spark, 5, 5, pages, landed, PREFIX)
     assert not (tmp_path / "landed").exists()
-    extract_range(spark, 1, 131, pages, landed, PREFIX)
+    extract_and_land(spark, 1, 131, pages, landed, PREFIX)
     (tmp_path / "landed" / "source=all-recipes" / "bad.txt").write_text("<html>")
     report = index_all(spark, landed, base, recreate=True)
     assert rows(report) == [("all-recipes", 120, 0, True)]
@@ -72,7 +72,7 @@ def test_jobs_end_to_end(spark, tmp_path, rows):
     assert rows(result_lines(hits.where("query_id = 1")), "section", "line") == [
         ("ingredient", "Pie7 flour"), ("step", "Bake."), ("title", "Pie7")]
     # A later run rewrites one page and adds another; the rest stays.
-    extract_range(spark, 7, 8, spark.createDataFrame([page(7, "Cake7")], PAGES), landed, PREFIX)
+    extract_and_land(spark, 7, 8, spark.createDataFrame([page(7, "Cake7")], PAGES), landed, PREFIX)
     index_all(spark, landed, base)
     titles = search_documents(spark, queries, base).where("query_id = 1")
     assert titles.count() == 0

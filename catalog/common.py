@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.operators import select as s
 from ladle.operators.extract import Layout
-from ladle.operators.index import Index, build_index
+from ladle.operators.index import Index, build_index, open_index
 from ladle.operators.sizing import spread
-from ladle.operators.upsert import upsert
+from ladle.operators.upsert import documents, upsert
 from ladle.session import scratch
 
 URL_PREFIX = "https://pages.example/recipe/"
@@ -58,21 +56,18 @@ def last_id(spark: SparkSession, sf_dir: str) -> int:
     return table(spark, sf_dir, "pages").agg(F.max("page_id")).first()[0]
 
 
-@lru_cache(maxsize=None)
-def _built(app_id: str, sf_dir: str) -> tuple[str, str]:
-    spark = SparkSession.active()
-    base = scratch(spark, "catalog")
-    docs = f"{base}/documents"
-    upsert(recipes(spark, sf_dir).withColumn("version", F.lit(0)), docs)
-    build_index(recipes(spark, sf_dir), f"{base}/index")
-    return docs, f"{base}/index"
+_BUILT: dict[tuple[str, str], tuple[str, str]] = {}
 
 
 def built_index(spark: SparkSession, sf_dir: str) -> tuple[Index, str]:
     """Index and document table of the given documents, written once per application."""
-    from ladle.operators.index import open_index
-
-    docs, index = _built(spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BUILT:
+        base = scratch(spark, "catalog")
+        upsert(recipes(spark, sf_dir).withColumn("version", F.lit(0)), f"{base}/documents")
+        build_index(documents(spark, f"{base}/documents"), f"{base}/index")
+        _BUILT[key] = (f"{base}/documents", f"{base}/index")
+    docs, index = _BUILT[key]
     return open_index(spark, index), docs
 
 

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from catalog.common import (SQL_FIELDS, SQL_INDEX, SQL_RECIPES, bench_queries, built_index, recipes,
                             sql_finish, sql_term, sql_tokens, table)
 from ladle.functions.analysis import ANALYZERS, ENGLISH_STOP_WORDS, LIGHT_ENGLISH, Analyzer
-from ladle.functions.values import index_name, matches_pattern
-from ladle.operators.index import field_tokens, posting_rows
+from ladle.operators.index import field_tokens, index_view, posting_rows
 from ladle.operators.search import (no_results, query_terms, result_lines, scores, search,
                                     with_documents)
 from ladle.operators.sizing import spread
@@ -175,8 +174,7 @@ def result_page(spark, sf_dir):
 def wildcard_indexes(spark, sf_dir):
     """Documents behind an index pattern."""
     _, docs = built_index(spark, sf_dir)
-    found = documents(spark, docs).withColumn("index_name", index_name(F.col("source")))
-    return found.where(matches_pattern(F.col("index_name"), "recipes-from-src1*")).select("index_name", "_id")
+    return index_view(documents(spark, docs), "recipes-from-src1*").select("index_name", "_id")
 
 
 QUERIES = {

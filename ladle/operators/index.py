@@ -15,12 +15,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.functions.analysis import LIGHT_ENGLISH, Analyzer, bag_tokens, tokens
-from ladle.functions.values import index_name
+from ladle.functions.values import index_name, matches_pattern
 from ladle.operators.sizing import small
 from ladle.operators.upsert import bucket_count, has_table
 from ladle.session import settle
 
 FIELDS = ("title", "ingredient")
+ALL_INDEXES = "recipes-from-*"
 DOC_BUCKET = -1
 # Documents per term bucket of an index.
 DOCS_PER_BUCKET = 2_000_000
@@ -81,6 +82,19 @@ class Index:
                     .withColumn("index_name", index_name(F.col("source"))))
 
 
+def index_view(docs: DataFrame, pattern: str = ALL_INDEXES, name: str | None = None) -> DataFrame:
+    """Documents of all indexes whose name matches `pattern`, as one view.
+
+    All indexes are one table, so the pattern becomes a filter on the partition column;
+    `name` registers the view for SQL.
+    """
+    found = (docs.withColumn("index_name", index_name(F.col("source")))
+                 .where(matches_pattern(index_name(F.col("source")), pattern)))
+    if name:
+        found.createOrReplaceTempView(name)
+    return found
+
+
 def _write(df: DataFrame, path: str, partition: list[str], order: list[str], replace_all: bool) -> None:
     """Rebalance splits a hot source over many tasks and merges small ones; rows are sorted by
     term inside every file so that row groups and pages of other terms are skipped."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ladle.functions.analysis import LIGHT_ENGLISH, Analyzer, tokens
 from ladle.functions.values import index_name, matches_pattern
-from ladle.operators.index import Index, term_bucket
+from ladle.operators.index import ALL_INDEXES, Index, term_bucket
 from ladle.operators.sizing import BROADCAST_ROWS, fits_broadcast, measure, small
 from ladle.operators.upsert import id_bucket, id_buckets
 from ladle.session import settle
@@ -16,7 +16,6 @@ from ladle.session import settle
 K1, B = 1.2, 0.75
 BOOSTS = {"title": 2.0, "ingredient": 1.0}
 TOP = 10
-ALL_INDEXES = "recipes-from-*"
 
 # A term with more postings than this in one source is split over several join partitions.
 HOT_POSTINGS = 1_000_000

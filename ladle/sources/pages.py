@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.functions.urls import host, store_key, url_key
 
+# Hosts are too many to be folders of their own; a hash of the host is the partition.
+HOST_BUCKETS = 32
+
 
 def keyed_pages(pages: DataFrame) -> DataFrame:
     url = F.col("url")
@@ -15,13 +18,22 @@ def keyed_pages(pages: DataFrame) -> DataFrame:
                  .withColumn("store_key", store_key(url)))
 
 
-def store_pages(pages: DataFrame, path: str, mode: str = "append") -> None:
-    """Write pages partitioned by host. The rebalance hint lets a large host fill many
-    tasks and files while small hosts share one."""
-    (keyed_pages(pages).hint("rebalance", "host")
-        .sortWithinPartitions("host", "url_key")
-        .write.mode(mode).partitionBy("host").parquet(path))
+def _bucket(name: Column) -> Column:
+    return F.pmod(F.xxhash64(name), F.lit(HOST_BUCKETS)).cast("int")
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def store_pages(pages: DataFrame, path: str, mode: str = "append") -> None:
+    """Write pages by host. The rebalance hint lets a large host fill many tasks and files;
+    inside a file pages are sorted, so a reader of one host skips the other row groups."""
+    (keyed_pages(pages).withColumn("host_bucket", _bucket(F.col("host")))
+        .hint("rebalance", "host_bucket")
+        .sortWithinPartitions("host_bucket", "host", "url_key")
+        .write.mode(mode).partitionBy("host_bucket").parquet(path))
+
+
+def read_pages(spark: SparkSession, path: str, only_host: str | None = None) -> DataFrame:
+    """Stored pages; `only_host` prunes to the host's partition and row groups."""
+    pages = spark.read.parquet(path)
+    if only_host is not None:
+        pages = pages.where((F.col("host_bucket") == _bucket(F.lit(only_host))) & (F.col("host") == only_host))
+    return pages.drop("host_bucket")

@@ -50,6 +50,17 @@ def test_stream_dedupe_with_a_hot_key(spark, tmp_path, rows):
     assert got.count() == 51 and got.select("url_key").distinct().count() == 51
 
 
+def test_bounded_dedupe(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.sql("""select 'http://h.example/#' || id as url, timestamp'2024-01-01' + make_dt_interval(0, 0, id) as ts
+                 from range(5)""").write.parquet(source)
+    stream = spark.readStream.schema("url string, ts timestamp").parquet(source)
+    query = (first_seen(stream, horizon="1 hour").writeStream.format("parquet")
+             .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(out))
+    query.awaitTermination()
+    assert spark.read.schema("url string, ts timestamp, url_key string").parquet(out).count() == 1
+
+
 def page(i, title):
     return (i, PREFIX + str(i), f"<title>{title} | Allrecipes</title><b class=recipe-ingred_txt>{title} flour</b>"
                                 "<b class=recipe-directions__list--item>Bake.</b>")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import ladle.operators.search as search_module
-from ladle.operators.index import build_index, ensure_index, open_index, refresh_index
+from ladle.operators.index import build_index, ensure_index, index_view, open_index, refresh_index
 from ladle.operators.search import no_results, result_lines, scores, search, search_one, with_documents
 
 DOCS = [("a", "1", "apple pie", ["apple", "flour butter"]),
@@ -114,3 +114,10 @@ def test_ensure_keeps_or_recreates(spark, tmp_path, rows):
     assert ensure_index(other, path).names().count() == 2
     assert rows(ensure_index(other, path, recreate=True).names(), "index_name", "documents") == [("recipes-from-a", 1)]
     assert open_index(spark, path).buckets == 4
+
+
+def test_index_view(spark, rows):
+    docs = spark.createDataFrame(DOCS, SCHEMA)
+    index_view(docs, "recipes-from-b*", name="some_recipes")
+    assert rows(spark.sql("select index_name, _id from some_recipes")) == [("recipes-from-b", "1"), ("recipes-from-b", "2")]
+    assert index_view(docs).count() == 5

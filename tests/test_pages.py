@@ -162,3 +162,4 @@ def test_store_pages(spark, tmp_path, rows):
     store_pages(pages, str(tmp_path / "p"))
     assert rows(read_pages(spark, str(tmp_path / "p")), "page_id", "host", "store_key") == [
         (1, "a.example", "http://a.example/p?q//p"), (2, "b.example", "http://b.example///")]
+    assert rows(read_pages(spark, str(tmp_path / "p"), only_host="b.example"), "page_id") == [(2,)]

@@ -104,10 +104,26 @@ def scores(queries: DataFrame, index: Index, fields: dict[str, float] | None = N
 def search(queries: DataFrame, index: Index, fields: dict[str, float] | None = None, k: int = TOP,
            scope: str = "index", pattern: str = ALL_INDEXES,
            analyzer: Analyzer = LIGHT_ENGLISH) -> DataFrame:
-    """Top `k` per query; equal scores are ordered by source and id."""
-    found = scores(queries, index, fields, scope, pattern, analyzer)
+    """Top `k` per query; equal scores are ordered by source and id.
+
+    Equal query texts are scored once, under their lowest id, and their hits copied at the end:
+    a text asked very often costs one query, not one pass over its postings per copy.
+    """
+    asked = queries.where(F.coalesce(F.col("query"), F.lit("")) != "").select("query_id", "query")
+    once = asked.groupBy("query").agg(F.min("query_id").alias("query_id"))
+    found = scores(once, index, fields, scope, pattern, analyzer)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "source", "_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    hits = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    copies = asked.join(small(once.withColumnRenamed("query_id", "_asked_as")), "query").drop("query")
+    hits = hits.withColumnRenamed("query_id", "_asked_as")
+    return copies.join(_bounded_hits(hits, queries, k), "_asked_as").select(
+        "query_id", "source", "_id", "score", "rank")
+
+
+def _bounded_hits(hits: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """Broadcast hits when `k` rows for every query are few."""
+    few = measure(queries.select("query_id"))[0] * k <= BROADCAST_ROWS // 10
+    return F.broadcast(hits) if few else hits
 
 
 def search_one(text: str, index: Index, k: int = TOP, **options) -> DataFrame:
@@ -128,12 +144,11 @@ def no_results(queries: DataFrame, hits: DataFrame) -> DataFrame:
 def with_documents(hits: DataFrame, queries: DataFrame, documents: DataFrame, k: int = TOP) -> DataFrame:
     """Hits joined to their documents. A result has at most `k` rows per query, so its size is
     known from the queries alone."""
-    bounded = measure(queries.select("query_id"))[0] * k <= BROADCAST_ROWS // 10
     key = ["source", "_id"]
     if "id_bucket" in documents.columns:
         hits = hits.withColumn("id_bucket", id_bucket(id_buckets(documents)))
         key.append("id_bucket")
-    return documents.join(F.broadcast(hits) if bounded else hits, key)
+    return documents.join(_bounded_hits(hits, queries, k), key)
 
 
 def result_lines(recipes: DataFrame, keep: tuple[str, ...] = ("source", "_id")) -> DataFrame:

@@ -85,6 +85,15 @@ def test_top_k_is_a_prefix_and_ties_are_ordered(index, queries, rows):
     assert rows(search(queries, index, pattern="recipes-from-b"), "source") == [("b",)] * 4
 
 
+def test_copies_of_a_query_get_the_same_hits(spark, index, queries, rows):
+    copies = spark.createDataFrame([(100 + i, "pear flour") for i in range(40)] + [(5, "cake")], "query_id int, query string")
+    got = search(copies, index, k=2)
+    assert got.count() == 81
+    want = [r[1:] for r in rows(search(queries, index, k=2).where("query_id = 8"))]
+    for qid in (100, 139):
+        assert [r[1:] for r in rows(got.where(F.col("query_id") == qid))] == want
+
+
 def test_no_results_and_documents(spark, index, queries, rows):
     hits = search(queries, index)
     assert rows(no_results(queries, hits)) == [

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ladle.functions.analysis import LIGHT_ENGLISH, Analyzer, tokens
 from ladle.functions.values import index_name, matches_pattern
 from ladle.operators.index import ALL_INDEXES, Index, term_bucket
-from ladle.operators.sizing import BROADCAST_ROWS, fits_broadcast, measure, small
+from ladle.operators.sizing import BROADCAST_ROWS, fits, fits_broadcast, measure, small
 from ladle.operators.upsert import id_bucket, id_buckets
 from ladle.session import settle
 
@@ -17,6 +17,10 @@ K1, B = 1.2, 0.75
 BOOSTS = {"title": 2.0, "ingredient": 1.0}
 TOP = 10
 
+# Up to this many query terms are also given to the scan as literals, so that Parquet skips the
+# row groups and pages of all other terms.
+FEW_TERMS = 100
+
 # A term with more postings than this in one source is split over several join partitions.
 HOT_POSTINGS = 1_000_000
 
@@ -33,7 +37,7 @@ def _idf(n_docs: Column, df: Column) -> Column:
 
 
 def _weights(terms: DataFrame, index: Index, boosts: dict[str, float], scope: str,
-             in_scope: Column) -> tuple[DataFrame, list[str]]:
+             in_scope: Column, named: Column) -> tuple[DataFrame, list[str]]:
     """Everything about a (query, term) that does not depend on the document."""
     fields = F.array(*[F.struct(F.lit(f).alias("field"), F.lit(float(b)).alias("boost"))
                        for f, b in boosts.items()])
@@ -41,7 +45,7 @@ def _weights(terms: DataFrame, index: Index, boosts: dict[str, float], scope: st
                   .select("query_id", "term", "qtf", "f.field", "f.boost")
                   .withColumn("bucket", term_bucket(F.col("term"), F.lit(index.buckets)))
                   .where(F.col("qtf") > 0))
-    stats = index.term_stats.where(in_scope)
+    stats = index.term_stats.where(in_scope & named)
     corpus = index.corpus_stats.where(in_scope)
     key = ["bucket", "field", "term"]
     if scope == "global":
@@ -60,16 +64,14 @@ def _weights(terms: DataFrame, index: Index, boosts: dict[str, float], scope: st
     return found.select("query_id", *join_key, "df", "avgdl", weight.alias("weight")), join_key
 
 
-def _match(index: Index, weights: DataFrame, key: list[str], in_scope: Column,
-           broadcastable: bool) -> DataFrame:
+def _match(postings: DataFrame, weights: DataFrame, key: list[str], broadcastable: bool) -> DataFrame:
     """Postings of the asked terms. The weights are broadcast when their size is proven;
     otherwise both sides shuffle, and hot terms are salted by document on both sides."""
-    postings = index.postings.where(in_scope)
     if not broadcastable:
         weights = settle(weights, "weights")
         broadcastable = fits_broadcast(weights)
     if broadcastable:
-        return postings.join(F.broadcast(weights.where(F.col("weight") > 0)), key)
+        return postings.join(F.broadcast(weights.where(F.col("weight") >= 0)), key)
     slots = F.ceil(F.col("df") / F.lit(HOT_POSTINGS)).cast("int")
     hot = (weights.where(F.col("df") > HOT_POSTINGS)
                   .groupBy(key).agg(F.max(slots).alias("slots")))
@@ -87,10 +89,14 @@ def scores(queries: DataFrame, index: Index, fields: dict[str, float] | None = N
     boosts = fields or BOOSTS
     in_scope = matches_pattern(index_name(F.col("source")), pattern) & F.col("field").isin(*boosts)
     terms = query_terms(queries, analyzer)
-    weights, key = _weights(terms, index, boosts, scope, in_scope)
+    measured = measure(terms)
+    named = F.lit(True)
+    if measured[0] <= FEW_TERMS:
+        named = F.col("term").isin([r["term"] for r in terms.select("term").distinct().collect()])
+    weights, key = _weights(terms, index, boosts, scope, in_scope, named)
     # A query term meets each source at most once per field: a proven bound on the weights.
     times = len(boosts) * (index.corpus_stats.select("source").distinct().count() if scope != "global" else 1)
-    matched = _match(index, weights, key, in_scope, fits_broadcast(terms, max(times, 1)))
+    matched = _match(index.postings.where(in_scope & named), weights, key, fits(measured, max(times, 1)))
     norm = K1 * (1 - B + B * F.col("dl") / F.col("avgdl"))
     scored = matched.withColumn("part", F.col("weight") * F.col("tf") / (F.col("tf") + norm))
     # One aggregation: per-field sums side by side, then the best of them.

@@ -20,12 +20,16 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return row["n"], row["b"]
 
 
-def fits_broadcast(df: DataFrame, times: int = 1) -> bool:
-    """True when `df`, grown at most `times`-fold by a later join, may be broadcast."""
-    rows, size = measure(df)
+def fits(measured: tuple[int, int], times: int = 1) -> bool:
+    """True when rows and bytes, grown at most `times`-fold by a later join, may be broadcast."""
+    rows, size = measured
     return rows * times <= BROADCAST_ROWS and size * times <= BROADCAST_BYTES
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    return fits(measure(df))
+
+
 def small(df: DataFrame) -> DataFrame:
     """`df` with a broadcast hint if it fits, otherwise as it is (shuffle join, AQE skew split)."""
     return F.broadcast(df) if fits_broadcast(df) else df

@@ -17,6 +17,8 @@ DEFAULTS = {
     # Python workers receive whole pages: bound an Arrow batch by bytes, not by rows alone.
     "spark.sql.execution.arrow.maxBytesPerBatch": "33554432",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Lists of query terms reach the Parquet reader as values, not just as their range.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "100",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",

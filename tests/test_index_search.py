@@ -61,10 +61,25 @@ def test_scores_match_brute_force(index, queries, scope):
 def test_salted_join_gives_the_same(index, queries, monkeypatch, rows):
     want = rows(scores(queries, index))
     monkeypatch.setattr(search_module, "fits_broadcast", lambda *a: False)
+    monkeypatch.setattr(search_module, "fits", lambda *a: False)
+    monkeypatch.setattr(search_module, "FEW_TERMS", 0)
     monkeypatch.setattr(search_module, "HOT_POSTINGS", 1)
     assert rows(scores(queries, index)) == want
 
 
+def test_few_terms_reach_the_scan(index, capsys):
+    search_one("apple", index).explain("formatted")
+    plan = capsys.readouterr().out
+    assert "EqualTo(term,apple)" in plan or "In(term, [apple])" in plan
+    assert "dynamicpruning" in plan
+    search_one("apple pear", index).explain("formatted")
+    assert "In(term, [apple,pear])" in capsys.readouterr().out
+
+
+def test_query_without_tokens(index):
+    assert search_one("... !", index).count() == 0
+
+
 def test_index_tables(index, rows):
     assert rows(index.corpus_stats, "source", "field", "n_docs", "total_len") == [
         ("a", "ingredient", 3, 10), ("a", "title", 3, 5), ("b", "ingredient", 2, 3), ("b", "title", 1, 1)]

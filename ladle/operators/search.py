@@ -37,8 +37,10 @@ def _idf(n_docs: Column, df: Column) -> Column:
 
 
 def _weights(terms: DataFrame, index: Index, boosts: dict[str, float], scope: str,
-             in_scope: Column, named: Column) -> tuple[DataFrame, list[str]]:
-    """Everything about a (query, term) that does not depend on the document."""
+             in_scope: Column, named: Column, few: bool) -> tuple[DataFrame, list[str]]:
+    """Everything about a (query, term) that does not depend on the document. `few` says that
+    the terms, once per field, were measured to fit a broadcast."""
+    hinted = F.broadcast if few else (lambda df: df)
     fields = F.array(*[F.struct(F.lit(f).alias("field"), F.lit(float(b)).alias("boost"))
                        for f, b in boosts.items()])
     asked = (terms.select("query_id", "term", "qtf", F.explode(fields).alias("f"))
@@ -49,15 +51,15 @@ def _weights(terms: DataFrame, index: Index, boosts: dict[str, float], scope: st
     corpus = index.corpus_stats.where(in_scope)
     key = ["bucket", "field", "term"]
     if scope == "global":
-        wanted = small(asked.select(key).distinct())
+        wanted = hinted(asked.select(key).distinct())
         stats = stats.join(wanted, key, "left_semi").groupBy(key).agg(F.sum("df").alias("df"))
         corpus = (corpus.groupBy("field")
                         .agg(F.sum("n_docs").alias("n_docs"),
                              (F.sum("total_len") / F.sum("n_docs")).alias("avgdl")))
-        found = stats.join(small(asked), key).join(corpus, "field")
+        found = stats.join(hinted(asked), key).join(corpus, "field")
         join_key = key
     else:
-        found = stats.join(small(asked), key).join(corpus.select("source", "field", "n_docs", "avgdl"),
+        found = stats.join(hinted(asked), key).join(corpus.select("source", "field", "n_docs", "avgdl"),
                                                    ["source", "field"])
         join_key = ["source", *key]
     weight = F.col("boost") * F.col("qtf") * (K1 + 1) * _idf(F.col("n_docs"), F.col("df"))
@@ -88,12 +90,13 @@ def scores(queries: DataFrame, index: Index, fields: dict[str, float] | None = N
     """`query_id, source, _id, score` of every matching document."""
     boosts = fields or BOOSTS
     in_scope = matches_pattern(index_name(F.col("source")), pattern) & F.col("field").isin(*boosts)
-    terms = query_terms(queries, analyzer)
+    # Analysed once: the sizes, literals and joins below all read the written terms.
+    terms = settle(query_terms(queries, analyzer), "terms")
     measured = measure(terms)
     named = F.lit(True)
     if measured[0] <= FEW_TERMS:
         named = F.col("term").isin([r["term"] for r in terms.select("term").distinct().collect()])
-    weights, key = _weights(terms, index, boosts, scope, in_scope, named)
+    weights, key = _weights(terms, index, boosts, scope, in_scope, named, fits(measured, len(boosts)))
     # A query term meets each source at most once per field: a proven bound on the weights.
     times = len(boosts) * (index.corpus_stats.select("source").distinct().count() if scope != "global" else 1)
     matched = _match(index.postings.where(in_scope & named), weights, key, fits(measured, max(times, 1)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ladle.llm import pii, secret_scan, simhash, token_counts
+from ladle.llm import packing, pii, secret_scan, sharding, simhash, token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,5 +34,14 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_documents(spark, sf_dir), tokenizer("piece_bpe_32k.model"), limit=4096)
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op3_secrets, op6_simhash, op8_token_counts)}
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_documents(spark, sf_dir), tokenizer("word_bpe_49k.json"), end_id=0,
+                        capacity=packing.Capacity(tokens=2048, documents=2048, attention=2048 ** 2))
+
+
+def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_by_bytes(_documents(spark, sf_dir), shards=8)
+
+
+QUERIES = {f.__name__: f for f in (op2_pii, op3_secrets, op6_simhash, op8_token_counts, op9_packing, op10_shards)}
 ORACLES: dict[str, str] = {}

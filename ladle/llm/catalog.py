@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ladle.llm import packing, pii, secret_scan, sharding, simhash, token_counts
+from ladle.llm import line_crf, packing, pii, quality_rules, secret_scan, sharding, simhash, token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,16 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_spans(_documents(spark, sf_dir))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_rules.quality_rules(_documents(spark, sf_dir), labels, risk=0.02, error=0.05)
+
+
+def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return line_crf.quality_scores(_documents(spark, sf_dir), labels)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(_documents(spark, sf_dir), width=3, distance=2)
 
@@ -43,5 +53,6 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(_documents(spark, sf_dir), shards=8)
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op3_secrets, op6_simhash, op8_token_counts, op9_packing, op10_shards)}
+QUERIES = {f.__name__: f for f in (op2_pii, op3_secrets, op4_quality_rules, op5_line_quality, op6_simhash,
+                                   op8_token_counts, op9_packing, op10_shards)}
 ORACLES: dict[str, str] = {}

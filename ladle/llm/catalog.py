@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ladle.llm import line_crf, packing, pii, quality_rules, secret_scan, sharding, simhash, token_counts
+from ladle.llm import decontaminate, line_crf, packing, pii, quality_rules, secret_scan, sharding, simhash, token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +40,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(_documents(spark, sf_dir), width=3, distance=2)
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_documents(spark, sf_dir), tokenizer("piece_bpe_32k.model"), limit=4096)
 
@@ -54,5 +58,5 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op2_pii, op3_secrets, op4_quality_rules, op5_line_quality, op6_simhash,
-                                   op8_token_counts, op9_packing, op10_shards)}
+                                   op7_decontamination, op8_token_counts, op9_packing, op10_shards)}
 ORACLES: dict[str, str] = {}

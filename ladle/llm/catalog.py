@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ladle.llm import decontaminate, line_crf, packing, pii, quality_rules, secret_scan, sharding, simhash, token_counts
+from ladle.llm import decontaminate, line_crf, packing, pii, quality_rules, secret_scan, sharding, simhash, suffix_dedup, token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(_documents(spark, sf_dir))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_spans(_documents(spark, sf_dir))
 
@@ -57,6 +61,6 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(_documents(spark, sf_dir), shards=8)
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op3_secrets, op4_quality_rules, op5_line_quality, op6_simhash,
-                                   op7_decontamination, op8_token_counts, op9_packing, op10_shards)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_pii, op3_secrets, op4_quality_rules, op5_line_quality,
+                                   op6_simhash, op7_decontamination, op8_token_counts, op9_packing, op10_shards)}
 ORACLES: dict[str, str] = {}

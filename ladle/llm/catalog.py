@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ladle.llm import decontaminate, line_crf, packing, pii, quality_rules, secret_scan, sharding, simhash, suffix_dedup, token_counts
+from ladle.llm import (decontaminate, line_crf, packing, pii, quality_rules, secret_scan, sharding, simhash,
+                       suffix_dedup, token_counts)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,4 +64,24 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_pii, op3_secrets, op4_quality_rules, op5_line_quality,
                                    op6_simhash, op7_decontamination, op8_token_counts, op9_packing, op10_shards)}
-ORACLES: dict[str, str] = {}
+# Every string of 100 bytes, as hexadecimal digits, with the place where it occurs first.
+_SQL_SUFFIX_DEDUP = """
+with d as (
+  select doc_id, coalesce(text, '') as t, hex(encode(coalesce(text, ''))) as h,
+         octet_length(encode(coalesce(text, ''))) as n from documents),
+w as (select doc_id, s, substr(h, 2 * s + 1, 200) as k from (select doc_id, h, unnest(range(0, n - 99)) as s from d)),
+f as (select k, min({'d': doc_id, 's': s}) as first from w group by k having count(*) > 1),
+r as (select w.doc_id, w.s from w join f using (k) where {'d': w.doc_id, 's': w.s} > f.first),
+g as (select doc_id, s, sum(new) over (partition by doc_id order by s) as run
+      from (select doc_id, s, case when s <= lag(s) over (partition by doc_id order by s) + 100 then 0 else 1 end as new from r)),
+runs as (select doc_id, min(s) as a, max(s) + 100 as b from g group by doc_id, run),
+gaps as (select doc_id, a, b, coalesce(lag(b) over (partition by doc_id order by a), 0) as p from runs),
+k as (select gaps.doc_id, string_agg(substr(h, 2 * p + 1, 2 * (a - p)), '' order by a) as kept, max(b) as b,
+             sum(b - a) as removed, count(*) as spans from gaps join d using (doc_id) group by gaps.doc_id)
+select d.doc_id, n as n_bytes, cast(coalesce(removed, 0) as bigint) as n_removed,
+       cast(coalesce(spans, 0) as bigint) as n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(b, 0) + 1))) as kept_sha256
+from d left join k using (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op1_suffix_dedup": _SQL_SUFFIX_DEDUP}

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from ladle.llm.mapping import map_texts
+from ladle.operators.sizing import small
 from ladle.session import settle
 
 #: Tokens at 1 are hashed, those at 0 may be substituted.
@@ -181,3 +182,9 @@ def decontamination(docs: DataFrame, benchmark: DataFrame, text: str = "text") -
         "doc_id", F.col("n_items").isNotNull().alias("contaminated"),
         F.coalesce("n_items", F.lit(0)).alias("n_items"),
         F.coalesce("overlap_tokens", F.lit(0)).alias("overlap_tokens"), "first_token")
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of `docs` without an overlap with the benchmark; all columns stay."""
+    found = settle(contaminations(docs, benchmark, text).select(F.col("doc_id").alias("__of")).distinct(), "contaminated")
+    return docs.join(small(found), F.col("doc_id").eqNullSafe(F.col("__of")), "left_anti")

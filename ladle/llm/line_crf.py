@@ -224,3 +224,17 @@ def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", **bou
         return [ids, held, scores, [int(s >= 0.5) for s in scores]]
 
     return map_texts(docs.withColumn("__held", held_out()), kernel, _SCORES, text, ("doc_id", "__held"))
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, text: str = "text", **bounds: int) -> DataFrame:
+    """The rows of `docs` that are predicted good; all columns stay."""
+    field = train(docs, labels, text=text, **bounds)
+    at = docs.columns.index(text)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield batch.filter(pa.array([score(field, t or "") >= 0.5 for t in batch.column(at).to_pylist()]))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -24,6 +24,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from ladle.llm.components import components
 from ladle.llm.mapping import map_texts
+from ladle.operators.sizing import small
 from ladle.session import settle
 
 SEED = 42
@@ -92,3 +93,128 @@ def simhash_components(docs: DataFrame, width: int = 3, distance: int = 2, text:
     classes = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# -- Similar texts --------------------------------------------------------------------
+#
+# The same index for a similarity of sets of shingles. Two of 64 bits are far too strict for it: at a
+# similarity of 0.8 about one bit in seven differs. So a wide fingerprint is made, of 64 bytes, and a
+# pair of texts that similar shares 17 of them on average, where unrelated texts share a quarter of one.
+
+WIDE = 64
+#: Triples of positions under which a fingerprint is indexed.
+TRIPLES = tuple((i, (i + a) % WIDE, (i + b) % WIDE) for a, b in ((1, 3), (7, 24)) for i in range(WIDE))
+#: Fewer shared positional bytes are not looked at further.
+SHARED = 7
+#: Bits of 512 that may differ: those that differ on average at a similarity of 0.8.
+DIFFER = 77
+_LONGS = tuple(f"f{i}" for i in range(WIDE // 8))
+_WIDE_PRINTS = StructType([StructField("doc_id", LongType()), StructField("body", LongType()),
+                           *(StructField(c, LongType()) for c in _LONGS)])
+_POSTINGS = StructType([StructField("posting", LongType()), StructField("node", LongType())])
+
+
+def wide_fingerprint(text: bytes, width: int = 5) -> np.ndarray:
+    """The bitwise majority of 512-bit hashes of the distinct shingles, as eight numbers."""
+    from xxhash import xxh64_intdigest
+
+    words = text.lower().split()
+    if not words:
+        return np.zeros(len(_LONGS), np.uint64)
+    hashes = np.array(list({xxh64_intdigest(b" ".join(words[i:i + width]), SEED)
+                            for i in range(max(1, len(words) - width + 1))}), np.uint64)
+    ones = np.zeros((len(_LONGS), 64), np.int64)
+    for at in range(0, len(hashes), 1 << 14):
+        part = hashes[at:at + (1 << 14)]
+        for n in range(len(_LONGS)):  # each number's bits from a mixture of its own
+            mixed = (part ^ np.uint64(0x9E3779B97F4A7C15 * (n + 1) % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
+            mixed ^= mixed >> np.uint64(31)
+            mixed *= np.uint64(0x94D049BB133111EB)
+            mixed ^= mixed >> np.uint64(29)
+            bits = np.unpackbits(mixed.view(np.uint8).reshape(-1, BYTES), axis=1)
+            ones[n] += bits.sum(axis=0, dtype=np.int64)
+    return np.packbits(ones * 2 > len(hashes), axis=1).view(np.uint64).ravel()
+
+
+def _wide_prints(docs: DataFrame, width: int, text: str, id: str) -> DataFrame:
+    from xxhash import xxh3_64_intdigest
+
+    def kernel(ids: list, texts: list) -> list:
+        raw = [(t or "").encode() for t in texts]
+        prints = np.array([wide_fingerprint(r, width) for r in raw], np.uint64).reshape(-1, len(_LONGS))
+        return [ids, np.array([xxh3_64_intdigest(r) for r in raw], np.uint64).view(np.int64), *prints.view(np.int64).T]
+    return map_texts(docs, kernel, _WIDE_PRINTS, text, (id,))
+
+
+def _similar(nodes: DataFrame) -> DataFrame:
+    """(src, dst): pairs of nodes (node, f0..f7) whose wide fingerprints are close.
+
+    A posting links each of its members to its first and its last one, never every pair: what a posting
+    gives grows with its size. Members are joined to the two, and the skew join may split a large posting.
+    """
+    def post(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            node = batch.column(0).to_numpy()
+            raw = np.stack([c.to_numpy() for c in batch.columns[1:]], 1).view(np.uint8).astype(np.int64)
+            keys = np.stack([n << 24 | raw[:, a] << 16 | raw[:, b] << 8 | raw[:, c]
+                             for n, (a, b, c) in enumerate(TRIPLES)], 1)
+            for at in range(0, len(node), 1000):
+                part = keys[at:at + 1000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part.ravel()), pa.array(np.repeat(node[at:at + 1000], len(TRIPLES)))],
+                    names=_POSTINGS.names)
+
+    postings = nodes.select("node", *_LONGS).mapInArrow(post, _POSTINGS)
+    ends = postings.groupBy("posting").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    pairs = (postings.join(ends, "posting").select("node", F.explode(F.array("low", "high")).alias("other"))
+             .where("node <> other").select(F.least("node", "other").alias("src"), F.greatest("node", "other").alias("dst"))
+             .distinct())
+    a, b = nodes.alias("a"), nodes.alias("b")
+    differing = [F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}")) for c in _LONGS]
+    tally = reduce(lambda x, y: x + y, (
+        (F.shiftrightunsigned(d, 8 * p).bitwiseAND(F.lit(0xFF)) == 0).cast("int") for d in differing for p in range(8)))
+    distance = reduce(lambda x, y: x + y, map(F.bit_count, differing))
+    return (pairs.join(a, F.col("src") == F.col("a.node")).join(b, F.col("dst") == F.col("b.node"))
+            .where(distance <= DIFFER).where(tally >= SHARED).select("src", "dst"))
+
+
+def one_of_each(docs: DataFrame, width: int = 5, text: str = "text", id: str = "doc_id") -> DataFrame:
+    """`docs` without near copies: of each group of similar texts the row of the smallest id stays.
+
+    Null ids come last. Of rows alike in id and text one stays. All columns of `docs` are returned.
+    """
+    prints = settle(_wide_prints(docs, width, text, id), "wide-prints")
+    nodes = settle(prints.groupBy(*_LONGS).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "body")).alias("stays"))
+                   .withColumn("node", F.monotonically_increasing_id()), "nodes")
+    roots = components(_similar(nodes))
+    rooted = settle(nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
+    stays = rooted.groupBy("root").agg(F.min("stays").alias("stays")).select("stays.doc_id", "stays.body")
+    keys = prints.groupBy("doc_id", "body").count()
+    marked = stays.withColumn("stays", F.lit(True)).alias("s")
+    same = F.col("k.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("k.body") == F.col("s.body"))
+    fate = settle(keys.alias("k").join(marked, same, "left").select(
+        F.col("k.doc_id").alias("__id"), F.col("k.body").alias("__body"), F.col("stays").isNotNull().alias("__stays"),
+        F.col("count").alias("__times")).where("not __stays or __times > 1"), "fates")
+    bodied = _with_body(docs, text)
+    met = F.col(f"`{id}`").eqNullSafe(F.col("__id")) & (F.col("__here") == F.col("__body"))
+    kept = bodied.join(small(fate.select("__id", "__body")), met, "left_anti").drop("__here")
+    repeated = fate.where("__stays").select("__id", "__body")
+    again = bodied.join(small(repeated), met, "left_semi").dropDuplicates([id, "__here"]).drop("__here")
+    return kept.unionByName(again) if not repeated.isEmpty() else kept
+
+
+def _with_body(docs: DataFrame, text: str) -> DataFrame:
+    """`docs` with the hash of each text that its fingerprint row carries."""
+    import pyarrow as pa
+    from xxhash import xxh3_64_intdigest
+
+    at = docs.columns.index(text)
+
+    def run(batches):
+        for batch in batches:
+            body = [xxh3_64_intdigest((t or "").encode()) for t in batch.column(at).to_pylist()]
+            yield batch.append_column("__here", pa.array(np.array(body, np.uint64).view(np.int64)))
+
+    return docs.mapInArrow(run, StructType([*docs.schema, StructField("__here", LongType())]))

@@ -138,9 +138,13 @@ def overlaps(doc: np.ndarray, item: np.ndarray) -> list[tuple[int, int]]:
         begin, end = max(0, d), min(len(doc), d + len(item))
         if end - begin < size:
             continue
-        equal = np.concatenate([[0], np.cumsum(doc[begin:end] == item[begin - d:end - d])])
-        good = np.flatnonzero(equal[size:] - equal[:-size] >= size - allowed) + begin
-        found += [(a, a + size) for a in good.tolist()]
+        same_token = doc[begin:end] == item[begin - d:end - d]
+        equal = np.concatenate([[0], np.cumsum(same_token)])
+        good = np.flatnonzero(equal[size:] - equal[:-size] >= size - allowed)
+        # Substituted tokens at the ends of an overlap are not part of it.
+        at = np.flatnonzero(same_token)
+        found += zip((at[np.searchsorted(at, good)] + begin).tolist(),
+                     (at[np.searchsorted(at, good + size) - 1] + begin + 1).tolist(), strict=True)
     merged: list[tuple[int, int]] = []
     for a, b in sorted(found):
         if merged and a <= merged[-1][1]:

@@ -118,6 +118,8 @@ DIGIT_WORDS = {
 }
 _DOT = "dot|punkt|punto|point"
 _AT = "at|arroba|ät"
+_TOP = ("com|org|net|edu|gov|int|info|biz|io|dev|app|me|co|uk|us|eu|de|fr|es|it|ch|at|nl|be|pt|pl|se|dk|no|fi|ie|ca|au|"
+        "in|jp|cn|br|mx|ar|ru|test|example|invalid|local")
 _DIGIT = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 _NUMERAL = rf"(?:{_DIGIT}|plus|{_DOT}|[0-9]+)"
 #: Four digit words in a row, with what may stand between and around them.
@@ -126,8 +128,9 @@ _SPELLED = re.compile(
 _NUMERAL_PART = re.compile(rf"{_DIGIT}|plus|{_DOT}|[0-9]+|[^\w]+", re.I)
 _AT_SIGN = re.compile(
     rf"\s*[\[({{<]\s*(?:{_AT}|@)\s*[\])}}>]\s*|&#64;|&commat;|%40|(?<=\w)\s+@\s+(?=\w)"
-    # A bare word counts only before a domain whose dot is disguised too.
-    rf"|(?<=\w)\s+(?:{_AT})\s+(?=[A-Za-z0-9-]+(?:\s*[\[({{<]\s*(?:{_DOT}|\.)\s*[\])}}>]\s*|\s+(?:{_DOT})\s+|&#46;)[A-Za-z0-9])",
+    # Bare words count only before a domain that is spelled to its end, in brackets or to a usual one.
+    rf"|(?<=\w)\s+(?:{_AT})\s+(?=[A-Za-z0-9-]+(?:\s*[\[({{<]\s*(?:{_DOT}|\.)\s*[\])}}>]\s*|&#46;)[A-Za-z0-9]"
+    rf"|(?:[A-Za-z0-9-]+\s+(?:{_DOT})\s+)+(?:{_TOP})\b)",
     re.I)
 _DOT_SIGN = re.compile(
     rf"\s*[\[({{<]\s*(?:{_DOT}|\.)\s*[\])}}>]\s*|&#46;|&period;|(?<=\w)\s+(?:{_DOT})\s+(?=\w)|(?<=\w)\s+\.\s+(?=\w)", re.I)

@@ -14,7 +14,9 @@ bytes they cover are its stretch.
    once, with its bytes, to a second sort: now every start of a string in it is a suffix, compared byte
    for byte in tokens of eight bytes.
 3. The first and the last run of a bucket may go on in its neighbours. They are not decided there: the
-   runs' first members are compared across the boundaries, by key.
+   runs' first members are compared across the boundaries, by key. Stretches are cut into blocks of
+   `BLOCKED` strings for that. A block is compared only with those that share the bytes that all its
+   strings share, so of a passage that very many texts hold only the blocks at its ends are looked into.
 
 Texts meet the found places by document, once for the stretches and once for the result.
 
@@ -29,6 +31,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +47,7 @@ KMER = 32
 REACH = LENGTH - KMER + 1  # k-mers of a string
 #: Bytes that anchors are looked for in at once; a longer text is taken in such blocks.
 BLOCK = 1 << 20
+BLOCKED = 8
 _FIRST = -(1 << 63)  # stands for a null id
 
 # A place in one number: start of the first string, a check of the text, strings - 1, anchor - start.
@@ -223,11 +227,13 @@ def _sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _across(edges: DataFrame, *key: str) -> DataFrame:
-    """Runs that several buckets hold a part of, put together: `first` in order, and the others.
+    """Runs that several buckets hold a part of, put together: all places, and the `first` of them.
 
-    A bucket gives a run one row, so an array holds at most as many places as there are buckets.
+    A bucket gives a run a row, or one for each 20,000 stretches at its edges: an array holds at most
+    a few times as many places as there are buckets.
     """
-    return (edges.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("doc", "at"))).alias("places"))
+    body = [F.min("bytes").alias("bytes")] if "bytes" in edges.columns else []
+    return (edges.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("doc", "at"))).alias("places"), *body)
             .withColumn("first", F.col("places")[0]))
 
 
@@ -284,25 +290,32 @@ def _with_bytes(places: DataFrame, docs: DataFrame) -> DataFrame:
     return both.mapInArrow(run, _STRETCHES)
 
 
-_STRINGS = StructType([StructField(c, LongType()) for c in ("kind", "high", "low", "doc", "at")])
+_STRINGS = StructType([StructField("kind", LongType()), *_STRETCHES])
 
 
-def _sort_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A bucket of stretches: every string in them sorted byte for byte within its k-mer."""
-    from xxhash import xxh3_128_intdigest
+def _rows(kind: int, *columns: np.ndarray, body: list[bytes] | None = None) -> pa.RecordBatch:
+    n = len(columns[-1])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(n, kind)), *(pa.array(c) for c in columns),
+         pa.array(body, pa.binary()) if body else pa.nulls(n, pa.binary())], names=_STRINGS.names)
+
+
+def _sort_strings(batches: Iterator[pa.RecordBatch], blocks: bool) -> Iterator[pa.RecordBatch]:
+    """A bucket of stretches: every string in them sorted byte for byte within its k-mer.
 
+    What the bucket's edges hold is given on as `blocks`, or else as single strings.
+    """
     table = _gathered(batches)
     if table is None:
         return
     kmer, _, doc, at = (c.to_numpy() for c in table.columns[:4])
-    body = table.column(4).combine_chunks().cast(pa.large_binary())
+    raw = b"".join(table.column(4).to_pylist())
     # Eight bytes from any place, as one number that compares as they do.
-    raw = b"".join(body.to_pylist())
     buffer = np.frombuffer(raw + bytes(8), np.uint8)
     word = np.zeros(len(buffer) - 8, np.uint64)
     for i in range(8):
         word = word << np.uint64(8) | buffer[i:len(word) + i]
-    more = at >> _MORE & 0xFF
+    more, check, anchor = at >> _MORE & 0xFF, at >> _CHECK & 0xFFF, at & 0xFF
     base = np.concatenate([[0], np.cumsum(more + LENGTH)])[:-1]
     of = np.repeat(np.arange(len(at)), more + 1)  # the stretch of each string
     nth = np.arange(len(of)) - np.repeat(np.cumsum(more + 1) - (more + 1), more + 1)
@@ -310,33 +323,64 @@ def _sort_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     start = (at >> _START)[of] + nth
     tokens = [lambda rows: kmer[of[rows]]]
     tokens += [lambda rows, i=i: word[place[rows] + i] for i in (*range(0, LENGTH - 8, 8), LENGTH - 8)]
-    _, run = order, run = multikey_sort(tokens, len(of))
+    order, run = multikey_sort(tokens, len(of))
     # Of equal strings the first document's first start leads.
     order = order[np.lexsort((start[order], doc[of[order]], run))]
     of, start, place = of[order], start[order], place[order]
     first = _starts(run)
     repeat = (doc[of] != doc[of[first]]) | (start != start[first])
-    low, high = kmer.min(), kmer.max()
-    edge = ((kmer[of] == low) | (kmer[of] == high)) & (first == np.arange(len(of)))
 
     rows = np.flatnonzero(repeat)
     rows = rows[np.lexsort((start[rows], of[rows]))]
     if len(rows):  # starts side by side in one stretch are one place
         cut = np.flatnonzero(np.concatenate(
             [[True], (of[rows[1:]] != of[rows[:-1]]) | (start[rows[1:]] != start[rows[:-1]] + 1)]))
-        length = np.diff(np.append(cut, len(rows)))
         head = rows[cut]
         none = np.zeros(len(head), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
-            none + DUPLICATE, none, none, doc[of[head]],
-            _place(start[head], at[of[head]] >> _CHECK & 0xFFF, length - 1))], names=_STRINGS.names)
-    rows = np.flatnonzero(edge)
-    for some in np.array_split(rows, len(rows) // 100_000 + 1) if len(rows) else ():
-        digest = np.frombuffer(b"".join(xxh3_128_intdigest(raw[p:p + LENGTH]).to_bytes(16, "little")
-                                        for p in place[some].tolist()), np.int64).reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
-            np.full(len(some), EDGE), digest[:, 1], digest[:, 0], doc[of[some]],
-            _place(start[some], at[of[some]] >> _CHECK & 0xFFF, 0))], names=_STRINGS.names)
+        yield _rows(DUPLICATE, none, none, doc[of[head]],
+                    _place(start[head], check[of[head]], np.diff(np.append(cut, len(rows))) - 1))
+    edge = (kmer == kmer.min()) | (kmer == kmer.max())
+    if blocks:
+        yield from _edge_blocks(raw, base, doc, at >> _START, check, more, anchor, np.flatnonzero(edge))
+    else:
+        rows = np.flatnonzero(edge[of] & (first == np.arange(len(of))))
+        for some in np.array_split(rows, len(rows) // 100_000 + 1) if len(rows) else ():
+            digest = _digests(raw, place[some], place[some] + LENGTH)
+            yield _rows(EDGE, digest[:, 1], digest[:, 0], doc[of[some]], _place(start[some], check[of[some]], 0))
+
+
+def _digests(raw: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """128-bit hashes of stretches of bytes, as two numbers."""
+    from xxhash import xxh3_128_intdigest
+
+    return np.frombuffer(b"".join(xxh3_128_intdigest(raw[a:b]).to_bytes(16, "little")
+                                  for a, b in zip(begin.tolist(), end.tolist())), np.int64).reshape(-1, 2)
+
+
+def _edge_blocks(raw, base, doc, start, check, more, anchor, rows) -> Iterator[pa.RecordBatch]:
+    """The distinct blocks of some stretches, by the bytes that all strings of a block share.
+
+    Blocks are cut by distance from the anchor, so equal strings lie in blocks that share those bytes.
+    """
+    for some in np.array_split(rows, len(rows) // 20_000 + 1) if len(rows) else ():
+        highest, lowest = anchor[some] // BLOCKED, (anchor[some] - more[some]) // BLOCKED
+        times = highest - lowest + 1
+        of = np.repeat(some, times)
+        block = np.repeat(highest, times) - (np.arange(len(of)) - np.repeat(np.cumsum(times) - times, times))
+        # Starts of the block, counted from the stretch's first one.
+        low = np.maximum(0, anchor[of] - (block * BLOCKED + BLOCKED - 1))
+        high = np.minimum(more[of], anchor[of] - block * BLOCKED)
+        shared = base[of] + anchor[of] - block * BLOCKED
+        core = _digests(raw, shared, shared + LENGTH - BLOCKED + 1)[:, 0]
+        full = _digests(raw, base[of] + low, base[of] + high + LENGTH)[:, 0] ^ _mixed(
+            ((anchor[of] - low) << 8 | (high - low)).astype(np.uint64)).view(np.int64)
+        at = _place(start[of] + low, check[of], high - low, anchor[of] - low)
+        order = np.lexsort((at, doc[of], full, core))
+        new = np.concatenate([[True], (core[order[1:]] != core[order[:-1]]) | (full[order[1:]] != full[order[:-1]])])
+        one = order[new]
+        begin = base[of[one]] + low[one]
+        yield _rows(EDGE, core[one], full[one], doc[of[one]], at[one], body=[
+            raw[a:b] for a, b in zip(begin.tolist(), (begin + high[one] - low[one] + LENGTH).tolist())])
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -352,10 +396,16 @@ def repeats(docs: DataFrame) -> DataFrame:
     several = runs.groupBy("kmer").count().where("count > 1").select("kmer")
     different = (found.where(f"kind = {DIFFERENT}").drop("kind").unionByName(
         runs.join(F.broadcast(several), "kmer").select("kmer", "stretch", "first.doc", "first.at")))
-    strings = settle(ranged(_with_bytes(different, docs)).mapInArrow(_sort_strings, _STRINGS), "strings")
-    return (found.where(f"kind = {DUPLICATE}").select("doc", "at").unionByName(_later(runs))
-            .unionByName(strings.where(f"kind = {DUPLICATE}").select("doc", "at"))
-            .unionByName(_later(_across(strings.where(f"kind = {EDGE}"), "high", "low"))))
+    strings = settle(ranged(_with_bytes(different, docs)).mapInArrow(
+        lambda batches: _sort_strings(batches, True), _STRINGS), "strings")
+    blocks = _across(strings.where(f"kind = {EDGE}"), "kmer", "stretch")
+    alike = blocks.groupBy("kmer").count().where("count > 1").select("kmer")
+    within = settle(ranged(blocks.join(alike, "kmer").select("kmer", "stretch", "first.doc", "first.at", "bytes"))
+                    .mapInArrow(lambda batches: _sort_strings(batches, False), _STRINGS), "blocks")
+    single = _across(within.where(f"kind = {EDGE}").drop("bytes"), "kmer", "stretch")
+    places = [_later(runs), _later(blocks), _later(single)]
+    places += [df.where(f"kind = {DUPLICATE}").select("doc", "at") for df in (found, strings, within)]
+    return reduce(DataFrame.unionByName, places)
 
 
 def merged(at: np.ndarray) -> list[tuple[int, int]]:

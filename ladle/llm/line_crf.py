@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DoubleType, IntegerType, LongType, StructField,
                                StructType)
 
-from ladle.llm.mapping import map_texts
+from ladle.llm.mapping import map_texts, sliced
 
 #: Labelled documents, and lines of each, that training reads at most.
 SAMPLE, SAMPLE_LINES = 4000, 128
@@ -234,7 +234,7 @@ def good_documents(docs: DataFrame, labels: DataFrame, text: str = "text", **bou
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in sliced(batches, at):
             yield batch.filter(pa.array([score(field, t or "") >= 0.5 for t in batch.column(at).to_pylist()]))
 
     return docs.mapInArrow(run, docs.schema)

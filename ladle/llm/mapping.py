@@ -29,6 +29,12 @@ def chunks(batch: pa.RecordBatch, column: int, limit: int = CHUNK) -> Iterator[p
         yield batch.slice(start)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], column: int, limit: int = CHUNK) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of a bounded amount of text, for functions that keep all columns."""
+    for batch in batches:
+        yield from chunks(batch, column, limit)
+
+
 def map_texts(docs: DataFrame, kernel: Callable[..., list], schema: StructType, text: str = "text",
               keep: tuple[str, ...] = ("doc_id",), limit: int = CHUNK) -> DataFrame:
     """`kernel(*columns)` per chunk of rows, `columns` being Python lists of `keep` and the text.

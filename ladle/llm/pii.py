@@ -20,7 +20,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from ladle.llm.mapping import map_texts
+from ladle.llm.mapping import map_texts, sliced
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -297,7 +297,7 @@ def redacted(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFra
     counted = docs.columns.index("n_chars") if "n_chars" in docs.columns else -1
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches, at):
             new = [None if t is None else redact(t) for t in batch.column(at).to_pylist()]
             arrays = list(batch.columns)
             arrays[at] = pa.array(new, batch.schema.field(at).type)

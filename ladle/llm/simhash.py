@@ -137,13 +137,15 @@ def wide_fingerprint(text: bytes, width: int = 5) -> np.ndarray:
 
 
 def _wide_prints(docs: DataFrame, width: int, text: str, id: str) -> DataFrame:
-    from xxhash import xxh3_64_intdigest
+    def kernel(ids: list, bodies: list, texts: list) -> list:
+        prints = np.array([wide_fingerprint((t or "").encode(), width) for t in texts], np.uint64)
+        return [ids, bodies, *prints.reshape(-1, len(_LONGS)).view(np.int64).T]
+    return map_texts(docs.withColumn("__body", _body(text)), kernel, _WIDE_PRINTS, text, (id, "__body"))
 
-    def kernel(ids: list, texts: list) -> list:
-        raw = [(t or "").encode() for t in texts]
-        prints = np.array([wide_fingerprint(r, width) for r in raw], np.uint64).reshape(-1, len(_LONGS))
-        return [ids, np.array([xxh3_64_intdigest(r) for r in raw], np.uint64).view(np.int64), *prints.view(np.int64).T]
-    return map_texts(docs, kernel, _WIDE_PRINTS, text, (id,))
+
+def _body(text: str) -> Column:
+    """A hash of the text: with the id, it tells rows apart that share the id."""
+    return F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
 
 
 def _similar(nodes: DataFrame) -> DataFrame:
@@ -197,24 +199,9 @@ def one_of_each(docs: DataFrame, width: int = 5, text: str = "text", id: str = "
     fate = settle(keys.alias("k").join(marked, same, "left").select(
         F.col("k.doc_id").alias("__id"), F.col("k.body").alias("__body"), F.col("stays").isNotNull().alias("__stays"),
         F.col("count").alias("__times")).where("not __stays or __times > 1"), "fates")
-    bodied = _with_body(docs, text)
+    bodied = docs.withColumn("__here", _body(text))
     met = F.col(f"`{id}`").eqNullSafe(F.col("__id")) & (F.col("__here") == F.col("__body"))
     kept = bodied.join(small(fate.select("__id", "__body")), met, "left_anti").drop("__here")
     repeated = fate.where("__stays").select("__id", "__body")
     again = bodied.join(small(repeated), met, "left_semi").dropDuplicates([id, "__here"]).drop("__here")
     return kept.unionByName(again) if not repeated.isEmpty() else kept
-
-
-def _with_body(docs: DataFrame, text: str) -> DataFrame:
-    """`docs` with the hash of each text that its fingerprint row carries."""
-    import pyarrow as pa
-    from xxhash import xxh3_64_intdigest
-
-    at = docs.columns.index(text)
-
-    def run(batches):
-        for batch in batches:
-            body = [xxh3_64_intdigest((t or "").encode()) for t in batch.column(at).to_pylist()]
-            yield batch.append_column("__here", pa.array(np.array(body, np.uint64).view(np.int64)))
-
-    return docs.mapInArrow(run, StructType([*docs.schema, StructField("__here", LongType())]))

@@ -10,11 +10,8 @@ from ladle.operators.reach import crawl, reach
 from ladle.session import scratch
 from ladle.streaming.frontier import crawl_until_idle, first_seen
 
-_MAX_DEPTH = 3
-
-
 def crawl_reach(spark, sf_dir):
-    """Orders and parts as a graph; seeds are the parts of the largest size."""
+    """Orders and parts as a graph, to the fixpoint; seeds are the parts of the highest price."""
     items = table(spark, sf_dir, "lineitem")
     order = F.concat(F.lit("o"), F.col("l_orderkey").cast("string"))
     part = F.concat(F.lit("p"), F.col("l_partkey").cast("string"))
@@ -25,13 +22,13 @@ def crawl_reach(spark, sf_dir):
     best = parts.agg(F.max("p_retailprice").alias("p_retailprice"))
     seeds = parts.join(best, "p_retailprice", "left_semi").select(
         F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("node"))
-    return reach(seeds, edges, _MAX_DEPTH)
+    return reach(seeds, edges)
 
 
 def page_crawl(spark, sf_dir):
     """All pages as seeds: their links are one hop away."""
     pages = given_pages(spark, sf_dir)
-    return crawl(pages.select(url_key(F.col("url")).alias("url_key")), pages, 2)
+    return crawl(pages.select(url_key(F.col("url")).alias("url_key")), pages)
 
 
 def stream_dedupe(spark, sf_dir):
@@ -67,14 +64,15 @@ _LINKS = f"""links as (select distinct regexp_replace(regexp_extract(url, '^([a-
       from pages where page_id in (select max(page_id) from pages group by regexp_replace(url, '#.*$', ''))))"""
 
 ORACLES = {
-    "crawl_reach": f"""with recursive edges as (
+    "crawl_reach": """with recursive edges as (
         select 'o' || l_orderkey as src, 'p' || l_partkey as dst from lineitem
         union select 'p' || l_partkey, 'o' || l_orderkey from lineitem),
-      walk(node, depth) as (
+      walk(node, depth) using key (node) as (
         select 'p' || p_partkey, 0 from part where p_retailprice = (select max(p_retailprice) from part)
         union
-        select e.dst, w.depth + 1 from walk w join edges e on e.src = w.node where w.depth < {_MAX_DEPTH})
-      select node, cast(min(depth) as integer) as depth from walk group by node""",
+        select distinct e.dst, w.depth + 1 from walk w join edges e on e.src = w.node
+          where e.dst not in (select node from recurring.walk))
+      select node, cast(depth as integer) as depth from walk""",
     "page_crawl": f"""with {_LINKS}, seeds as (select distinct {_KEY} as url_key from pages)
       select url_key, cast(0 as integer) as depth from seeds union all
       select url_key, cast(1 as integer) from links where url_key not in (select url_key from seeds)""",

@@ -256,8 +256,8 @@ ORACLES = {
     "upsert_table": f"""with {SQL_RECIPES} select source, _id,
         case when l.doc_id is null then title else 'Again ' || title end as title
         from recipes left join (select distinct doc_id from labels) l on cast(l.doc_id as varchar) = _id""",
-    "index_catalogue": f"""with {SQL_INDEX} select source, max(n_docs) as documents,
-        'recipes-from-' || source as index_name from corpus group by source""",
+    "index_catalogue": """select source, count(*) as documents, 'recipes-from-' || source as index_name
+        from documents group by source""",
     "docs_per_index": """select source, count(*) as documents, 'recipes-from-' || source as index_name
         from documents group by source""",
     "bad_rows_report": """with r as (select source, l.doc_id is not null as ok from documents d

@@ -129,7 +129,8 @@ class Analyzer:
         out, root = df, None
         if self.lexicon is not None:
             key = F.lower(F.col(token)) if self.lowercase_first else F.col(token)
-            roots = self.lexicon.groupBy(F.col("token").alias("_key")).agg(F.min("root").alias("_root"))
+            # An empty root would be no term.
+            roots = self.lexicon.where(F.col("root") != "").groupBy(F.col("token").alias("_key")).agg(F.min("root").alias("_root"))
             out = out.withColumn("_key", key).join(small(roots), "_key", "left").drop("_key")
             root = F.col("_root")
         out = out.withColumnRenamed(token, "term")

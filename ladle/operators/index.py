@@ -28,6 +28,7 @@ DOCS_PER_BUCKET = 2_000_000
 
 _POSTINGS = "field string, term string, _id string, tf bigint, dl bigint, source string, bucket int"
 _TERMS = "field string, term string, df bigint, source string, bucket int"
+_CATALOGUE = "documents bigint, source string"
 _CORPUS = "field string, n_docs bigint, total_len bigint, buckets int, source string"
 
 
@@ -74,12 +75,12 @@ class Index:
     doc_len: DataFrame
     term_stats: DataFrame
     corpus_stats: DataFrame
+    catalogue: DataFrame
     buckets: int
 
     def names(self) -> DataFrame:
-        """Index catalogue: one row per source."""
-        return (self.corpus_stats.groupBy("source").agg(F.max("n_docs").alias("documents"))
-                    .withColumn("index_name", index_name(F.col("source"))))
+        """Index catalogue: one row per source, with all its documents, also those without a token."""
+        return self.catalogue.withColumn("index_name", index_name(F.col("source")))
 
 
 def index_view(docs: DataFrame, pattern: str = ALL_INDEXES, name: str | None = None) -> DataFrame:
@@ -112,6 +113,7 @@ def build_index(recipes: DataFrame, path: str, analyzer: Analyzer = LIGHT_ENGLIS
         buckets = bucket_count(recipes.count(), DOCS_PER_BUCKET, 4)
     rows = _bucketed(posting_rows(recipes, analyzer, fields), buckets)
     _write_tables(recipes.sparkSession, rows, path, buckets, None)
+    _write_catalogue(recipes, path, None)
     return open_index(recipes.sparkSession, path)
 
 
@@ -124,6 +126,7 @@ def refresh_index(recipes: DataFrame, path: str, sources: DataFrame,
     changed = recipes.join(small(touched), "source", "left_semi")
     rows = _bucketed(posting_rows(changed, analyzer, fields), buckets)
     _write_tables(spark, rows, path, buckets, touched)
+    _write_catalogue(changed, path, touched)
     return open_index(spark, path)
 
 
@@ -160,6 +163,14 @@ def _write_tables(spark: SparkSession, rows: DataFrame, path: str, buckets: int,
     _write(corpus, f"{path}/corpus_stats", ["source"], ["field"], everything)
 
 
+def _write_catalogue(recipes: DataFrame, path: str, touched: DataFrame | None) -> None:
+    counted = recipes.groupBy("source").agg(F.count("*").alias("documents"))
+    if touched is not None:  # a source that lost all documents replaces its row too
+        none = touched.select("source", F.lit(0).cast("bigint").alias("documents"))
+        counted = counted.unionByName(none).groupBy("source").agg(F.sum("documents").alias("documents"))
+    _write(counted, f"{path}/catalogue", ["source"], [], touched is None)
+
+
 def open_index(spark: SparkSession, path: str) -> Index:
     real = F.col("field") != ""
     postings = spark.read.schema(_POSTINGS).parquet(f"{path}/postings").where(real)
@@ -171,6 +182,7 @@ def open_index(spark: SparkSession, path: str) -> Index:
         doc_len=postings.where(F.col("bucket") == DOC_BUCKET).select("source", "field", "_id", "dl"),
         term_stats=spark.read.schema(_TERMS).parquet(f"{path}/term_stats").where(real),
         corpus_stats=corpus,
+        catalogue=spark.read.schema(_CATALOGUE).parquet(f"{path}/catalogue").where("documents > 0"),
         buckets=buckets,
     )
 

@@ -2,16 +2,35 @@
 
 from __future__ import annotations
 
+import warnings
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladle.operators.links import links, restrict
 from ladle.operators.sizing import small
-from ladle.session import scratch
+from ladle.session import scratch, settle
+
+
+class Unfinished(UserWarning):
+    """A depth limit cut a crawl while its last frontier still held nodes."""
+
+
+def _depths(max_depth: int | None):
+    return count(1) if max_depth is None else range(1, max_depth + 1)
+
+
+def _cut(max_depth: int | None, frontier: DataFrame) -> None:
+    if max_depth is not None and not frontier.isEmpty():
+        warnings.warn(f"nodes at depth {max_depth} were not followed", Unfinished, stacklevel=3)
+
 
+def reach(seeds: DataFrame, edges: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """`node, depth` of everything reachable from `seeds(node)`: up to the fixpoint, or within
+    `max_depth` hops, which warns if it leaves nodes unfollowed.
 
-def reach(seeds: DataFrame, edges: DataFrame, max_depth: int) -> DataFrame:
-    """`node, depth` of everything reachable from `seeds(node)` within `max_depth` hops.
+    The edges are written once, sorted by source, and each level reads them from there.
 
     Each level is a written table in the shared folder: lineage stays flat and a lost
     executor costs one task. A measured small frontier is broadcast to the edges, so they are
@@ -21,23 +40,27 @@ def reach(seeds: DataFrame, edges: DataFrame, max_depth: int) -> DataFrame:
     spark = seeds.sparkSession
     base = scratch(spark, "reach")
     level = lambda d: f"{base}/depth={d}"
+    edges = settle(edges.select("src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+                   .sortWithinPartitions("src"), "edges")
     seeds.select("node").where(F.col("node").isNotNull()).distinct().write.parquet(level(0))
     node_schema = seeds.select("node").schema
     visited_schema = f"node {seeds.schema['node'].dataType.simpleString()}, depth int"
-    for depth in range(1, max_depth + 1):
+    for depth in _depths(max_depth):
         frontier = spark.read.schema(node_schema).parquet(level(depth - 1))
         visited = spark.read.schema(visited_schema).parquet(base)
         (edges.join(small(frontier.withColumnRenamed("node", "src")), "src")
-              .select(F.col("dst").alias("node")).where(F.col("node").isNotNull()).distinct()
+              .select(F.col("dst").alias("node")).distinct()
               .join(visited.select("node"), "node", "left_anti")
               .write.parquet(level(depth)))
         if spark.read.schema(node_schema).parquet(level(depth)).isEmpty():
             break
+    else:
+        _cut(max_depth, spark.read.schema(node_schema).parquet(level(max_depth)))
     return spark.read.schema(visited_schema).parquet(base)
 
 
-def crawl(seeds: DataFrame, pages: DataFrame, max_depth: int) -> DataFrame:
-    """Reachability over the links of stored pages: `url_key, depth`.
+def crawl(seeds: DataFrame, pages: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """Reachability over the links of stored pages: `url_key, depth`, with the limit of `reach`.
 
     Only pages that the frontier reaches are parsed, level by level.
     """
@@ -45,7 +68,7 @@ def crawl(seeds: DataFrame, pages: DataFrame, max_depth: int) -> DataFrame:
     base = scratch(spark, "crawl")
     level = lambda d: f"{base}/depth={d}"
     seeds.select("url_key").distinct().write.parquet(level(0))
-    for depth in range(1, max_depth + 1):
+    for depth in _depths(max_depth):
         frontier = spark.read.schema("url_key string").parquet(level(depth - 1))
         visited = spark.read.schema("url_key string, depth int").parquet(base)
         found = links(restrict(pages, frontier), newest=True)
@@ -54,4 +77,6 @@ def crawl(seeds: DataFrame, pages: DataFrame, max_depth: int) -> DataFrame:
               .write.parquet(level(depth)))
         if spark.read.schema("url_key string").parquet(level(depth)).isEmpty():
             break
+    else:
+        _cut(max_depth, spark.read.schema("url_key string").parquet(level(max_depth)))
     return spark.read.schema("url_key string, depth int").parquet(base)

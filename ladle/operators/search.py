@@ -73,7 +73,7 @@ def _match(postings: DataFrame, weights: DataFrame, key: list[str], broadcastabl
         weights = settle(weights, "weights")
         broadcastable = fits_broadcast(weights)
     if broadcastable:
-        return postings.join(F.broadcast(weights.where(F.col("weight") >= 0)), key)
+        return postings.join(F.broadcast(weights), key)
     slots = F.ceil(F.col("df") / F.lit(HOT_POSTINGS)).cast("int")
     hot = (weights.where(F.col("df") > HOT_POSTINGS)
                   .groupBy(key).agg(F.max(slots).alias("slots")))
@@ -89,6 +89,8 @@ def scores(queries: DataFrame, index: Index, fields: dict[str, float] | None = N
            analyzer: Analyzer = LIGHT_ENGLISH) -> DataFrame:
     """`query_id, source, _id, score` of every matching document."""
     boosts = fields or BOOSTS
+    if any(b < 0 for b in boosts.values()):
+        raise ValueError("a boost below 0 has no meaning")
     in_scope = matches_pattern(index_name(F.col("source")), pattern) & F.col("field").isin(*boosts)
     # Analysed once: the sizes, literals and joins below all read the written terms.
     terms = settle(query_terms(queries, analyzer), "terms")
@@ -119,7 +121,9 @@ def search(queries: DataFrame, index: Index, fields: dict[str, float] | None = N
     a text asked very often costs one query, not one pass over its postings per copy.
     """
     asked = queries.where(F.coalesce(F.col("query"), F.lit("")) != "").select("query_id", "query")
-    once = asked.groupBy("query").agg(F.min("query_id").alias("query_id"))
+    # An id may be given to several texts: the text is part of what a query is known by.
+    once = asked.groupBy("query").agg(F.min("query_id").alias("query_id")).select(
+        "query", F.struct("query_id", F.xxhash64("query").alias("text")).alias("query_id"))
     found = scores(once, index, fields, scope, pattern, analyzer)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "source", "_id")
     hits = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

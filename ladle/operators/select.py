@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ladle.functions.binding import let
+
 Predicate = Callable[[Column], Column]
 
 
@@ -56,18 +58,37 @@ def select(nodes: Column, pred: Predicate) -> Column:
     return F.filter(nodes, pred)
 
 
-def outermost(found: Column) -> Column:
-    """Intervals of `found` that lie in no other: disjoint, in document order."""
-    start = F.struct(F.lit(-1).alias("reach"),
-                     F.array().cast("array<struct<pre:int,post:int>>").alias("kept"))
+# A fold copies the array it grows at every step, so it is kept to so many elements.
+_FOLD = 64
 
-    def step(acc: Column, n: Column) -> Column:
-        grown = F.struct(n["post"].alias("reach"),
-                         F.concat(acc["kept"], F.array(F.struct(n["pre"].alias("pre"),
-                                                                n["post"].alias("post")))).alias("kept"))
-        return F.when(n["pre"] <= acc["reach"], acc).otherwise(grown)
 
-    return F.aggregate(found, start, step, lambda acc: acc["kept"])
+def outermost(found: Column) -> Column:
+    """Intervals of `found` that lie in no other: disjoint, in document order.
+
+    Folded in slices, each from the furthest reach of the slices before it: linear in the
+    elements, but for one small fold over the slices.
+    """
+    kept = "array<struct<pre:int,post:int>>"
+
+    def fold(part: Column, reach: Column) -> Column:
+        def step(acc: Column, n: Column) -> Column:
+            grown = F.struct(n["post"].alias("reach"),
+                             F.concat(acc["kept"], F.array(F.struct(n["pre"].alias("pre"),
+                                                                    n["post"].alias("post")))).alias("kept"))
+            return F.when(n["pre"] <= acc["reach"], acc).otherwise(grown)
+        start = F.struct(reach.alias("reach"), F.array().cast(kept).alias("kept"))
+        return F.aggregate(part, start, step, lambda acc: acc["kept"])
+
+    def reaches(parts: Column) -> Column:
+        """The furthest `post` before each slice."""
+        furthest = F.transform(parts, lambda p: F.array_max(F.transform(p, lambda n: n["post"])))
+        return F.aggregate(furthest, F.array(F.lit(-1)), lambda acc, m: F.concat(
+            acc, F.array(F.greatest(m, F.element_at(acc, -1)))))
+
+    slices = F.transform(F.sequence(F.lit(0), F.floor(F.greatest(F.size(found) - 1, F.lit(0)) / _FOLD).cast("int")),
+                         lambda i: F.slice(found, i * _FOLD + 1, F.lit(_FOLD)))
+    return let(slices, lambda parts: let(reaches(parts), lambda before: F.flatten(F.transform(
+        parts, lambda p, i: fold(p, F.get(before, i))))))
 
 
 def descendants(nodes: Column, ancestors: Column, pred: Predicate) -> Column:

@@ -48,9 +48,12 @@ def _write_documents(docs: DataFrame, path: str, replace_all: bool) -> None:
 
 
 def has_table(spark: SparkSession, path: str) -> bool:
+    """Is there a table? A folder without files is none; one that cannot be read is an error."""
     try:
         spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return False
     return True
 

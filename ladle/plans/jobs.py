@@ -43,6 +43,9 @@ def index_all(spark: SparkSession, landed: str, base: str, recreate: bool = Fals
         ensure_index(documents(spark, docs), index, recreate=True, analyzer=analyzer)
     else:
         upsert(fresh, docs)
+        if not has_table(spark, f"{index}/postings"):
+            ensure_index(documents(spark, docs), index, analyzer=analyzer)
+            return report
         refresh_index(documents(spark, docs), index, fresh.select("source").distinct(), analyzer)
     return report
 

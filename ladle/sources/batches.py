@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import posixpath
 import re
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,8 @@ def write_batches(batches: DataFrame, path: str, source: str, clean: bool = Fals
     `objects=True` gives every batch an object of its own, named by its key; the default packs
     many batches into one file, because a folder per hundred records does not scale.
     `clean` empties the whole target first; otherwise `objects` replaces batches of the same
-    key and packed files are added (readers let the later version of a record win).
+    key, and packed files are added under the time of their landing: of a batch landed again,
+    readers let the later landing win.
     """
     rows = batches.withColumn("source", F.lit(source))
     if objects:
@@ -29,9 +31,10 @@ def write_batches(batches: DataFrame, path: str, source: str, clean: bool = Fals
         (writer.mode("overwrite").option("partitionOverwriteMode", mode)
                .partitionBy("source", "batch_key").text(path))
     else:
-        writer = rows.select("source", F.col("body").alias("value")).write
+        landed = F.lit(f"{time.time_ns():020d}")
+        writer = rows.select("source", landed.alias("landed"), F.col("body").alias("value")).write
         writer = writer.option("partitionOverwriteMode", "static")
-        writer.mode("overwrite" if clean else "append").partitionBy("source").text(path)
+        writer.mode("overwrite" if clean else "append").partitionBy("source", "landed").text(path)
 
 
 def _below(path: str) -> Column:
@@ -78,9 +81,11 @@ def batch_results(parsed: DataFrame) -> DataFrame:
 
 
 def successes(results: DataFrame) -> DataFrame:
-    """Recipes of successful records, with the version columns that order rewrites."""
+    """Recipes of successful records, with the version columns that order rewrites: batches by
+    key, and landings of one batch by time."""
+    landed = F.regexp_extract("file", r"(?:^|/)landed=(\d+)/", 1)
     return (results.where((F.col("result.status") == "success") & F.col("result.recipe").isNotNull())
-                   .select("source", F.struct("batch_key", "file", "pos").alias("version"), "result.recipe.*"))
+                   .select("source", F.struct("batch_key", landed.alias("landed"), "file", "pos").alias("version"), "result.recipe.*"))
 
 
 def sources(results: DataFrame) -> DataFrame:

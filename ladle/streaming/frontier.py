@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -16,7 +17,6 @@ from ladle.functions.urls import url_key
 from ladle.operators.extract import lookup_pages
 from ladle.operators.links import links, unvisited
 from ladle.operators.sizing import small
-from ladle.operators.upsert import has_table
 from ladle.session import ship_package
 from ladle.sources.pages import keyed_pages
 
@@ -42,8 +42,8 @@ def to_topic(urls: DataFrame, servers: str, topic: str = "urls-to-process") -> N
 
 
 def seed_frontier(seeds: DataFrame, path: str) -> None:
-    """Write the seed URLs once; running it again replaces the same folder."""
-    seeds.select("url").distinct().write.mode("overwrite").parquet(f"{path}/seed")
+    """Add seed URLs in a folder of their own; those seen before are dropped by the stream."""
+    seeds.select("url").distinct().write.parquet(f"{path}/seed-{uuid.uuid4().hex}")
 
 
 def _one_per_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,17 +105,20 @@ def crawl_stream(urls: DataFrame, pages: DataFrame, out: str, frontier: str, che
 
 
 def crawl_until_idle(spark: SparkSession, seeds: DataFrame, pages: DataFrame, base: str,
-                     max_runs: int = 1000) -> DataFrame:
+                     max_runs: int | None = None) -> DataFrame:
     """Drive the file-backed crawl until a run adds no URL; returns the stored pages.
 
     An `availableNow` run fixes its input at the start, so links found by one run are the
-    input of the next, on the same checkpoint.
+    input of the next, on the same checkpoint. Each call adds its seeds. A crawl that `max_runs`
+    cuts is an error; calling again goes on with it.
     """
     frontier, out = f"{base}/frontier", f"{base}/out"
-    if not has_table(spark, f"{frontier}/seed"):
-        seed_frontier(seeds, frontier)
-    known = -1
-    for _ in range(max_runs):
+    seed_frontier(seeds, frontier)
+    known, runs = -1, 0
+    while True:
+        if max_runs is not None and runs == max_runs:
+            raise RuntimeError(f"the crawl is not finished after {max_runs} runs")
+        runs += 1
         query = crawl_stream(file_frontier(spark, frontier), pages, out, frontier,
                              f"{base}/checkpoint", available_now=True)
         query.awaitTermination()

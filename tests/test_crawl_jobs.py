@@ -1,11 +1,18 @@
+import warnings
+
+import pytest
 from pyspark.sql import functions as F
 
-from ladle.operators.reach import crawl, reach
+from ladle.operators.index import open_index
+from ladle.operators.reach import Unfinished, crawl, reach
 from ladle.operators.search import result_lines
 from ladle.plans.jobs import extract_and_land, index_all, search_documents
-from ladle.streaming.frontier import crawl_until_idle, first_seen
+from ladle.operators.upsert import upsert
+from ladle.streaming.frontier import crawl_step, crawl_until_idle, first_seen
 
 PAGES = "page_id bigint, url string, html string"
+RECIPE_DDL = ("_id string, title string, summary string, ingredient array<string>, steps array<string>, "
+              "images array<string>")
 PREFIX = "https://www.site.example/recipe/"
 
 
@@ -89,3 +96,47 @@ def test_jobs_end_to_end(spark, tmp_path, rows):
     assert titles.count() == 0
     cake = spark.createDataFrame([(1, "cake7")], "query_id int, query string")
     assert rows(search_documents(spark, cake, base), "_id") == [("www.site.example-7",)]
+
+
+def test_a_cut_crawl_is_reported(spark, tmp_path, rows):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(12)], "src int, dst int")
+    seeds = spark.createDataFrame([(0,)], "node int")
+    assert reach(seeds, edges).count() == 13
+    with pytest.warns(Unfinished):
+        assert reach(seeds, edges, 3).count() == 4
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", Unfinished)
+        reach(seeds, edges, 13)
+    start = spark.createDataFrame([("http://g.example/a",)], "url string")
+    with pytest.raises(RuntimeError):
+        crawl_until_idle(spark, start, graph_pages(spark), str(tmp_path / "cut"), max_runs=1)
+    done = crawl_until_idle(spark, start, graph_pages(spark), str(tmp_path / "cut"))
+    assert done.count() == 3
+
+
+def test_later_seeds_are_crawled(spark, tmp_path, rows):
+    pages, base = graph_pages(spark), str(tmp_path / "crawl")
+    for seed in ("http://g.example/a", "http://g.example/x"):
+        found = crawl_until_idle(spark, spark.createDataFrame([(seed,)], "url string"), pages, base)
+    assert rows(found, "url_key") == [(f"http://g.example/{p}",) for p in "abcxy"]
+
+
+def test_a_replayed_batch_leaves_the_same_tables(spark, tmp_path, rows):
+    out, frontier = str(tmp_path / "out"), str(tmp_path / "frontier")
+    batch = spark.createDataFrame([("http://g.example/a", "http://g.example/a")], "url string, url_key string")
+    kept = []
+    for _ in range(2):
+        crawl_step(batch, 0, graph_pages(spark), out, frontier)
+        kept.append([rows(spark.read.parquet(f"{out}/{t}/batch=0")) for t in ("visited", "pages", "links")]
+                    + [rows(spark.read.parquet(f"{frontier}/batch-0"))])
+    assert kept[0] == kept[1] and kept[0][-1] == [("http://g.example/b",)]
+
+
+def test_index_all_builds_a_missing_index(spark, tmp_path):
+    landed, base = str(tmp_path / "landed"), str(tmp_path / "base")
+    pages = spark.createDataFrame([(1, f"{PREFIX}1", "<title>Pie</title>")], PAGES)
+    extract_and_land(spark, 1, 2, pages, landed, PREFIX)
+    upsert(spark.createDataFrame([("all-recipes", 0, "x-1", "Pie", None, ["apple"], ["bake"], [])],
+                                 f"source string, version int, {RECIPE_DDL}"), f"{base}/documents")
+    index_all(spark, landed, base)
+    assert open_index(spark, f"{base}/index").names().first()["documents"] == 1

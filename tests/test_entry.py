@@ -1,10 +1,14 @@
+import re
+
 import __spark_entry__ as registry
 
 
 def test_registry_is_complete():
     queries, oracles = registry.queries(), registry.oracle_sql()
     assert set(oracles) <= set(queries)
-    assert set(queries) - set(oracles) == {"english_terms"}
+    # The operators for training data have tests of their own.
+    own = {name for name in queries if re.match(r"op\d+_|pipeline$", name)}
+    assert set(queries) - set(oracles) - own == {"english_terms"}
 
 
 def test_entry_runs(spark):

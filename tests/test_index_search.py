@@ -145,3 +145,24 @@ def test_index_view(spark, rows):
     index_view(docs, "recipes-from-b*", name="some_recipes")
     assert rows(spark.sql("select index_name, _id from some_recipes")) == [("recipes-from-b", "1"), ("recipes-from-b", "2")]
     assert index_view(docs).count() == 5
+
+
+def test_boosts_below_zero_are_refused(index, queries):
+    with pytest.raises(ValueError):
+        scores(queries, index, fields={"title": -1.0})
+
+
+def test_one_id_for_two_texts(spark, index, rows):
+    twice = spark.createDataFrame([(1, "cake"), (1, "egg")], "query_id int, query string")
+    assert rows(search(twice, index), "query_id", "source", "_id") == [(1, "a", "2"), (1, "a", "2")]
+    apart = spark.createDataFrame([(1, "cake"), (1, "salad")], "query_id int, query string")
+    assert rows(search(apart, index), "_id", "rank") == [("2", 1), ("3", 1)]
+
+
+def test_catalogue_counts_every_document(spark, tmp_path, rows):
+    docs = spark.createDataFrame([("a", "1", "pie", []), ("a", "2", "", ["egg"]), ("a", "3", "", [])], SCHEMA)
+    path = str(tmp_path / "index")
+    assert rows(build_index(docs, path).names(), "source", "documents") == [("a", 3)]
+    touched = spark.createDataFrame([("a",)], "source string")
+    assert rows(refresh_index(docs.where("_id < 3"), path, touched).names(), "source", "documents") == [("a", 2)]
+    assert refresh_index(docs.where("false"), path, touched).names().count() == 0

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ladle.operators.batching import batch_bounds, batches
-from ladle.operators.upsert import documents, id_buckets, latest, outcome, upsert
+from ladle.operators.upsert import documents, has_table, id_buckets, latest, outcome, upsert
 from ladle.schemas import RECIPE, RESULT
 from ladle.sources.batches import (batch_results, parse_batches, quarantine, scan_text, sources, successes,
                                    write_batches)
@@ -94,3 +94,22 @@ def test_upsert(spark, tmp_path, rows):
         assert got["b", "x"] == "bx" and got["c", "y"] == "cy"
     upsert(fresh, path, recreate=True)
     assert documents(spark, path).count() == 2
+
+
+def test_the_last_landing_of_a_batch_wins(spark, tmp_path, rows):
+    path = str(tmp_path / "landed")
+    for n in range(10):
+        out = batches(frame(spark, [result(i, title=f"landing {n}") for i in (1, 2, 3)]))
+        write_batches(out, path, "s")
+        found = latest(successes(batch_results(parse_batches(scan_text(spark, path)))))
+        assert rows(found, "title") == [(f"landing {n}",)] * 3
+
+
+def test_a_table_that_cannot_be_read_is_not_absent(spark, tmp_path):
+    assert not has_table(spark, str(tmp_path / "none"))
+    (tmp_path / "empty").mkdir()
+    assert not has_table(spark, str(tmp_path / "empty"))
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0.parquet").write_text("not a table")
+    with pytest.raises(Exception):
+        has_table(spark, str(tmp_path / "bad"))

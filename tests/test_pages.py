@@ -163,3 +163,16 @@ def test_store_pages(spark, tmp_path, rows):
     assert rows(read_pages(spark, str(tmp_path / "p")), "page_id", "host", "store_key") == [
         (1, "a.example", "http://a.example/p?q//p"), (2, "b.example", "http://b.example///")]
     assert rows(read_pages(spark, str(tmp_path / "p"), only_host="b.example"), "page_id") == [(2,)]
+
+
+@pytest.mark.parametrize("spans", [[], [(0, 500), (1, 9), (501, 501), (502, 900)],
+                                   [(i, i) for i in range(300)], [(0, 999)] + [(i, i) for i in range(1, 200)],
+                                   [(i, i + 5 if i % 10 == 0 else i) for i in range(400)]])
+def test_outermost_intervals(spark, spans):
+    found = spark.createDataFrame([(spans,)], "found array<struct<pre:int,post:int>>")
+    kept, reach = [], -1
+    for pre, post in spans:
+        if pre > reach:
+            kept.append((pre, post))
+            reach = post
+    assert [tuple(x) for x in found.select(s.outermost(F.col("found"))).first()[0]] == kept

@@ -77,6 +77,7 @@ class Index:
     corpus_stats: DataFrame
     catalogue: DataFrame
     buckets: int
+    sources: int
 
     def names(self) -> DataFrame:
         """Index catalogue: one row per source, with all its documents, also those without a token."""
@@ -176,14 +177,15 @@ def open_index(spark: SparkSession, path: str) -> Index:
     postings = spark.read.schema(_POSTINGS).parquet(f"{path}/postings").where(real)
     corpus = (spark.read.schema(_CORPUS).parquet(f"{path}/corpus_stats").where(real)
                    .withColumn("avgdl", F.col("total_len") / F.col("n_docs")))
-    buckets = corpus.agg(F.max("buckets")).first()[0] or 1
+    buckets, sources = corpus.agg(F.max("buckets"), F.count_distinct("source")).first()
     return Index(
         postings=postings.where(F.col("bucket") != DOC_BUCKET),
         doc_len=postings.where(F.col("bucket") == DOC_BUCKET).select("source", "field", "_id", "dl"),
         term_stats=spark.read.schema(_TERMS).parquet(f"{path}/term_stats").where(real),
         corpus_stats=corpus,
         catalogue=spark.read.schema(_CATALOGUE).parquet(f"{path}/catalogue").where("documents > 0"),
-        buckets=buckets,
+        buckets=buckets or 1,
+        sources=sources,
     )
 
 

@@ -48,7 +48,9 @@ def _weights(terms: DataFrame, index: Index, boosts: dict[str, float], scope: st
                   .withColumn("bucket", term_bucket(F.col("term"), F.lit(index.buckets)))
                   .where(F.col("qtf") > 0))
     stats = index.term_stats.where(in_scope & named)
+    # One row per source and field.
     corpus = index.corpus_stats.where(in_scope)
+    near = F.broadcast if index.sources * len(boosts) <= BROADCAST_ROWS // 10 else (lambda df: df)
     key = ["bucket", "field", "term"]
     if scope == "global":
         wanted = hinted(asked.select(key).distinct())
@@ -56,11 +58,12 @@ def _weights(terms: DataFrame, index: Index, boosts: dict[str, float], scope: st
         corpus = (corpus.groupBy("field")
                         .agg(F.sum("n_docs").alias("n_docs"),
                              (F.sum("total_len") / F.sum("n_docs")).alias("avgdl")))
-        found = stats.join(hinted(asked), key).join(corpus, "field")
+        # As many rows as there are fields.
+        found = stats.join(hinted(asked), key).join(F.broadcast(corpus), "field")
         join_key = key
     else:
-        found = stats.join(hinted(asked), key).join(corpus.select("source", "field", "n_docs", "avgdl"),
-                                                   ["source", "field"])
+        found = stats.join(hinted(asked), key).join(near(corpus.select("source", "field", "n_docs", "avgdl")),
+                                                    ["source", "field"])
         join_key = ["source", *key]
     weight = F.col("boost") * F.col("qtf") * (K1 + 1) * _idf(F.col("n_docs"), F.col("df"))
     return found.select("query_id", *join_key, "df", "avgdl", weight.alias("weight")), join_key
@@ -68,12 +71,14 @@ def _weights(terms: DataFrame, index: Index, boosts: dict[str, float], scope: st
 
 def _match(postings: DataFrame, weights: DataFrame, key: list[str], broadcastable: bool) -> DataFrame:
     """Postings of the asked terms. The weights are broadcast when their size is proven;
-    otherwise both sides shuffle, and hot terms are salted by document on both sides."""
+    otherwise postings of terms that nobody asks for are dropped first (the distinct terms are far
+    fewer than the weights), both sides shuffle, and hot terms are salted by document on both."""
     if not broadcastable:
         weights = settle(weights, "weights")
         broadcastable = fits_broadcast(weights)
     if broadcastable:
         return postings.join(F.broadcast(weights), key)
+    postings = postings.join(small(settle(weights.select(key).distinct(), "asked")), key, "left_semi")
     slots = F.ceil(F.col("df") / F.lit(HOT_POSTINGS)).cast("int")
     hot = (weights.where(F.col("df") > HOT_POSTINGS)
                   .groupBy(key).agg(F.max(slots).alias("slots")))
@@ -92,15 +97,20 @@ def scores(queries: DataFrame, index: Index, fields: dict[str, float] | None = N
     if any(b < 0 for b in boosts.values()):
         raise ValueError("a boost below 0 has no meaning")
     in_scope = matches_pattern(index_name(F.col("source")), pattern) & F.col("field").isin(*boosts)
-    # Analysed once: the sizes, literals and joins below all read the written terms.
-    terms = settle(query_terms(queries, analyzer), "terms")
-    measured = measure(terms)
+    # Analysed once: what follows reads either a few rows that are at hand, or the written terms.
+    terms = query_terms(queries, analyzer)
+    at_hand = terms.limit(FEW_TERMS + 1).collect()
     named = F.lit(True)
-    if measured[0] <= FEW_TERMS:
-        named = F.col("term").isin([r["term"] for r in terms.select("term").distinct().collect()])
+    if len(at_hand) <= FEW_TERMS:
+        terms = queries.sparkSession.createDataFrame(at_hand, terms.schema)
+        named = F.col("term").isin(sorted({r["term"] for r in at_hand}))
+        measured = len(at_hand), sum(64 + len(str(r).encode()) for r in at_hand)
+    else:
+        terms = settle(terms, "terms")
+        measured = measure(terms)
     weights, key = _weights(terms, index, boosts, scope, in_scope, named, fits(measured, len(boosts)))
     # A query term meets each source at most once per field: a proven bound on the weights.
-    times = len(boosts) * (index.corpus_stats.select("source").distinct().count() if scope != "global" else 1)
+    times = len(boosts) * (index.sources if scope != "global" else 1)
     matched = _match(index.postings.where(in_scope & named), weights, key, fits(measured, max(times, 1)))
     norm = K1 * (1 - B + B * F.col("dl") / F.col("avgdl"))
     scored = matched.withColumn("part", F.col("weight") * F.col("tf") / (F.col("tf") + norm))

@@ -12,10 +12,10 @@ from ladle.functions.urls import document_id, recipe_url, url_key
 from ladle.functions.values import (clean_title, collapse_space, keep_not_blank, retryable,
                                     trim_space)
 from ladle.operators import select as s
-from ladle.operators.sizing import small
 from ladle.operators.tree import parse_pages
 from ladle.schemas import RECIPE
 from ladle.sources.ids import id_range
+from ladle.sources.pages import of_keys, with_url_key
 
 Finder = Callable[[Column], Column]
 
@@ -95,8 +95,7 @@ def lookup_pages(keys: DataFrame, pages: DataFrame) -> DataFrame:
     Few keys are broadcast to the page scan, so only wanted pages are shuffled.
     """
     wanted = keys.withColumn("url_key", url_key(F.col("url")))
-    stored = with_http_status(pages).withColumn("url_key", url_key(F.col("url"))).drop("url")
-    stored = stored.join(small(wanted.select("url_key").distinct()), "url_key", "left_semi")
+    stored = of_keys(with_http_status(pages), wanted).select("url_key", "page_id", "html", "http_status")
     return wanted.join(newest_per_key(stored), "url_key", "left")
 
 
@@ -108,9 +107,9 @@ def extract(ids: DataFrame, pages: DataFrame, layout: Layout = RECIPE_SITE,
     `narrowed` says that `pages` holds no page outside `ids`.
     """
     wanted = ids.withColumn("url_key", url_key(F.col("url")))
-    stored = with_http_status(pages).withColumn("url_key", url_key(F.col("url"))).drop("url")
-    if not narrowed:
-        stored = stored.join(small(wanted.select("url_key").distinct()), "url_key", "left_semi")
+    stored = with_http_status(pages)
+    stored = with_url_key(stored) if narrowed else of_keys(stored, wanted)
+    stored = stored.select("url_key", "page_id", "html", "http_status")
     fields = newest_per_key(extract_fields(stored, layout))
     return classify(wanted.join(fields, "url_key", "left"))
 
@@ -118,9 +117,11 @@ def extract(ids: DataFrame, pages: DataFrame, layout: Layout = RECIPE_SITE,
 def pages_of_range(pages: DataFrame, start: int, end: int, prefix: str) -> DataFrame:
     """Pages whose URL is `prefix` and an id in `[start, end)`: told from the URL alone, so a
     range of any size needs no join to pick its pages."""
-    key, head = url_key(F.col("url")), url_key(F.lit(prefix))
+    # As a value, the prefix reaches the reader of stored pages, whose files are sorted by key.
+    head = F.lit(pages.sparkSession.range(1).select(url_key(F.lit(prefix))).first()[0])
+    pages, key = with_url_key(pages), F.col("url_key")
     number = F.try_to_number(F.substr(key, F.length(head) + 1), F.lit("9" * 19)).cast("bigint")
-    return (pages.withColumn("_id", number)
+    return (pages.where(key.startswith(head)).withColumn("_id", number)
                  .where(F.col("_id").between(start, end - 1)
                         & (key == url_key(recipe_url(prefix, F.col("_id")))))
                  .drop("_id"))

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ladle.functions.urls import is_absolute, resolve, url_key
 from ladle.operators import select as s
 from ladle.operators.extract import newest_per_key
-from ladle.operators.sizing import small
 from ladle.operators.tree import parse_pages
 
 
@@ -45,9 +44,3 @@ def unvisited(found: DataFrame, visited: DataFrame) -> DataFrame:
     fresh = (found.groupBy(F.col("link_key").alias("url_key"))
                   .agg(F.min("link").alias("url")))
     return fresh.join(visited.select("url_key"), "url_key", "left_anti")
-
-
-def restrict(pages: DataFrame, keys: DataFrame) -> DataFrame:
-    """Pages whose key is in `keys(url_key)`."""
-    return (pages.withColumn("url_key", url_key(F.col("url")))
-                 .join(small(keys.select("url_key").distinct()), "url_key", "left_semi"))

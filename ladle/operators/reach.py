@@ -8,7 +8,8 @@ from itertools import count
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.operators.links import links, restrict
+from ladle.functions.urls import url_key
+from ladle.operators.links import links
 from ladle.operators.sizing import small
 from ladle.session import scratch, settle
 
@@ -17,15 +18,6 @@ class Unfinished(UserWarning):
     """A depth limit cut a crawl while its last frontier still held nodes."""
 
 
-def _depths(max_depth: int | None):
-    return count(1) if max_depth is None else range(1, max_depth + 1)
-
-
-def _cut(max_depth: int | None, frontier: DataFrame) -> None:
-    if max_depth is not None and not frontier.isEmpty():
-        warnings.warn(f"nodes at depth {max_depth} were not followed", Unfinished, stacklevel=3)
-
-
 def reach(seeds: DataFrame, edges: DataFrame, max_depth: int | None = None) -> DataFrame:
     """`node, depth` of everything reachable from `seeds(node)`: up to the fixpoint, or within
     `max_depth` hops, which warns if it leaves nodes unfollowed.
@@ -45,7 +37,7 @@ def reach(seeds: DataFrame, edges: DataFrame, max_depth: int | None = None) -> D
     seeds.select("node").where(F.col("node").isNotNull()).distinct().write.parquet(level(0))
     node_schema = seeds.select("node").schema
     visited_schema = f"node {seeds.schema['node'].dataType.simpleString()}, depth int"
-    for depth in _depths(max_depth):
+    for depth in count(1) if max_depth is None else range(1, max_depth + 1):
         frontier = spark.read.schema(node_schema).parquet(level(depth - 1))
         visited = spark.read.schema(visited_schema).parquet(base)
         (edges.join(small(frontier.withColumnRenamed("node", "src")), "src")
@@ -55,28 +47,15 @@ def reach(seeds: DataFrame, edges: DataFrame, max_depth: int | None = None) -> D
         if spark.read.schema(node_schema).parquet(level(depth)).isEmpty():
             break
     else:
-        _cut(max_depth, spark.read.schema(node_schema).parquet(level(max_depth)))
+        warnings.warn(f"nodes at depth {max_depth} were not followed", Unfinished, stacklevel=2)
     return spark.read.schema(visited_schema).parquet(base)
 
 
 def crawl(seeds: DataFrame, pages: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Reachability over the links of stored pages: `url_key, depth`, with the limit of `reach`.
 
-    Only pages that the frontier reaches are parsed, level by level.
+    Every page is parsed once, into the edges between keys that the levels then read.
     """
-    spark = seeds.sparkSession
-    base = scratch(spark, "crawl")
-    level = lambda d: f"{base}/depth={d}"
-    seeds.select("url_key").distinct().write.parquet(level(0))
-    for depth in _depths(max_depth):
-        frontier = spark.read.schema("url_key string").parquet(level(depth - 1))
-        visited = spark.read.schema("url_key string, depth int").parquet(base)
-        found = links(restrict(pages, frontier), newest=True)
-        (found.select(F.col("link_key").alias("url_key")).distinct()
-              .join(visited.select("url_key"), "url_key", "left_anti")
-              .write.parquet(level(depth)))
-        if spark.read.schema("url_key string").parquet(level(depth)).isEmpty():
-            break
-    else:
-        _cut(max_depth, spark.read.schema("url_key string").parquet(level(max_depth)))
-    return spark.read.schema("url_key string, depth int").parquet(base)
+    edges = (links(pages, keep=("url",), newest=True)
+             .select(url_key(F.col("url")).alias("src"), F.col("link_key").alias("dst")).distinct())
+    return reach(seeds.select(F.col("url_key").alias("node")), edges, max_depth).withColumnRenamed("node", "url_key")

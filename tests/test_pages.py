@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ladle.operators import select as s
-from ladle.operators.extract import RECIPE_SITE, document_title, extract, lookup_pages, status_summary
+from ladle.operators.extract import RECIPE_SITE, document_title, extract, lookup_pages, pages_of_range, status_summary
 from ladle.operators.links import distinct_links, links, unvisited
 from ladle.operators.markup import Page, attribute_text
 from ladle.operators.tree import node_rows, parse_pages
@@ -176,3 +176,17 @@ def test_outermost_intervals(spark, spans):
             kept.append((pre, post))
             reach = post
     assert [tuple(x) for x in found.select(s.outermost(F.col("found"))).first()[0]] == kept
+
+
+def test_stored_pages_are_pruned_by_key(spark, tmp_path, capsys, rows):
+    pages = spark.createDataFrame([(i, f"http://h{i}.example/p", f"v{i}") for i in range(60)], PAGES)
+    store_pages(pages, str(tmp_path / "p"))
+    stored = read_pages(spark, str(tmp_path / "p"))
+    keys = spark.createDataFrame([("http://H7.example/p#f",), ("http://none.example/",)], "url string")
+    found = lookup_pages(keys, stored)
+    assert rows(found, "url", "html") == [("http://H7.example/p#f", "v7"), ("http://none.example/", None)]
+    found.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "host_bucket#" in plan.split("PartitionFilters")[1].split("\n")[0]
+    pages_of_range(stored, 1, 5, "http://h1.example/").explain("formatted")
+    assert "StringStartsWith(url_key,http://h1.example/)" in capsys.readouterr().out

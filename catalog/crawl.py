@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from catalog.common import given_pages, sql_unescape, table
 from ladle.functions.urls import url_key
+from ladle.operators.links import links
 from ladle.operators.reach import crawl, reach
-from ladle.session import scratch
+from ladle.session import scratch, settle
+from ladle.sources.ids import sequence_ids
 from ladle.streaming.frontier import crawl_until_idle, first_seen
 
 def crawl_reach(spark, sf_dir):
@@ -31,6 +33,20 @@ def page_crawl(spark, sf_dir):
     return crawl(pages.select(url_key(F.col("url")).alias("url_key")), pages)
 
 
+def deep_crawl(spark, sf_dir):
+    """Pages under the URLs of the links found on them, so that a crawl goes on from page to page.
+
+    Links are numbered in order and dealt to the pages by id; where pages outnumber links, the newest
+    copy under a URL counts. The first page is the seed.
+    """
+    pages = given_pages(spark, sf_dir)
+    found = settle(links(pages).select("link_key").distinct(), "link-keys")
+    numbered = sequence_ids(found, ["link_key"], start=-1).withColumnRenamed("id", "n")
+    moved = pages.drop("url").withColumn("n", F.col("page_id") % found.count()).join(numbered, "n").select(
+        "page_id", F.col("link_key").alias("url"), "html")
+    return crawl(numbered.where("n = 0").select(F.col("link_key").alias("url_key")), moved)
+
+
 def stream_dedupe(spark, sf_dir):
     """Every URL of the page table twice through the streaming dedupe."""
     source, out = scratch(spark, "stream-in"), scratch(spark, "stream-out")
@@ -54,6 +70,7 @@ def stream_crawl(spark, sf_dir):
 QUERIES = {
     "crawl_reach": crawl_reach,
     "page_crawl": page_crawl,
+    "deep_crawl": deep_crawl,
     "stream_dedupe": stream_dedupe,
     "stream_crawl": stream_crawl,
 }
@@ -63,6 +80,9 @@ _LINKS = f"""links as (select distinct regexp_replace(regexp_extract(url, '^([a-
     from (select url, unnest(regexp_extract_all(html, '(?i)<a\\s[^>]*?href="([^"]*)"', 1)) as raw
       from pages where page_id in (select max(page_id) from pages group by regexp_replace(url, '#.*$', ''))))"""
 
+_ALL_LINKS = f"""links as (select distinct regexp_replace(regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || {sql_unescape('raw')}, '#.*$', '') as url_key
+    from (select url, unnest(regexp_extract_all(html, '(?i)<a\\s[^>]*?href="([^"]*)"', 1)) as raw from pages))"""
+
 ORACLES = {
     "crawl_reach": """with recursive edges as (
         select 'o' || l_orderkey as src, 'p' || l_partkey as dst from lineitem
@@ -76,6 +96,20 @@ ORACLES = {
     "page_crawl": f"""with {_LINKS}, seeds as (select distinct {_KEY} as url_key from pages)
       select url_key, cast(0 as integer) as depth from seeds union all
       select url_key, cast(1 as integer) from links where url_key not in (select url_key from seeds)""",
+    "deep_crawl": f"""with recursive {_ALL_LINKS},
+      numbered as (select url_key, row_number() over (order by url_key) - 1 as n from links),
+      moved as (select page_id, url_key as url, html from pages
+        join numbered on n = page_id % (select count(*) from numbered)),
+      newest as (select url, html from moved where page_id in (select max(page_id) from moved group by url)),
+      found as (select url, unnest(regexp_extract_all(html, '(?i)<a\\s[^>]*?href="([^"]*)"', 1)) as raw from newest),
+      edges as (select distinct url as src, regexp_replace(regexp_extract(url, '^([a-z]+://[^/?#]*)', 1)
+          || {sql_unescape('raw')}, '#.*$', '') as dst from found),
+      walk(url_key, depth) using key (url_key) as (
+        select url_key, 0 from numbered where n = 0
+        union
+        select distinct e.dst, w.depth + 1 from walk w join edges e on e.src = w.url_key
+          where e.dst not in (select url_key from recurring.walk))
+      select url_key, cast(depth as integer) as depth from walk""",
     "stream_dedupe": f"select distinct {_KEY} as url_key from pages",
     "stream_crawl": f"""with {_LINKS}, seeds as (select {_KEY} as url_key, max_by(html, page_id) as html from pages group by 1)
       select url_key, 'success' as status, cast(length(html) as integer) as html_chars from seeds union all

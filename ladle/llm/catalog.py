@@ -64,12 +64,16 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_pii, op3_secrets, op4_quality_rules, op5_line_quality,
                                    op6_simhash, op7_decontamination, op8_token_counts, op9_packing, op10_shards)}
-# Every string of 100 bytes, as hexadecimal digits, with the place where it occurs first.
+# Every string of 100 bytes, told by the MD5 of its hexadecimal digits, with the place where it occurs first.
+# Texts are cut into pieces of 100 starts, because a place far inside a long text is slow to reach.
 _SQL_SUFFIX_DEDUP = """
 with d as (
   select doc_id, coalesce(text, '') as t, hex(encode(coalesce(text, ''))) as h,
          octet_length(encode(coalesce(text, ''))) as n from documents),
-w as (select doc_id, s, substr(h, 2 * s + 1, 200) as k from (select doc_id, h, unnest(range(0, n - 99)) as s from d)),
+c as (select doc_id, 100 * j as o, substr(h, 200 * j + 1, 398) as part, least(100, n - 99 - 100 * j) as m
+      from (select doc_id, h, n, unnest(range(0, (n + 99) // 100)) as j from d) where n - 99 > 100 * j),
+w as (select doc_id, o + i as s, md5_number(substr(part, 2 * i + 1, 200)) as k
+      from (select doc_id, o, part, unnest(range(0, m)) as i from c)),
 f as (select k, min({'d': doc_id, 's': s}) as first from w group by k having count(*) > 1),
 r as (select w.doc_id, w.s from w join f using (k) where {'d': w.doc_id, 's': w.s} > f.first),
 g as (select doc_id, s, sum(new) over (partition by doc_id order by s) as run

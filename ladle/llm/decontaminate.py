@@ -20,7 +20,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
@@ -165,15 +165,16 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, text: str = "text") ->
             .join(items.select("item", "item_id", F.col("tokens").alias("item_tokens")), "item")
             .select("doc_id", "item_id", "start", "tokens", "item_tokens"))
 
-    def verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             rows = [(doc, item, start + a, start + b)
-                    for doc, item, start, tokens, of in frame.itertuples(index=False)
+                    for doc, item, start, tokens, of in zip(*(c.to_pylist() for c in batch.columns), strict=True)
                     for a, b in overlaps(np.frombuffer(tokens, np.uint32), np.frombuffer(of, np.uint32))]
-            out = pd.DataFrame(rows, columns=["doc_id", "item_id", "start", "end"])
-            yield out.astype({"doc_id": "Int64", "item_id": "Int64"})
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in list(zip(*rows, strict=True)) or [[]] * 4],
+                names=["doc_id", "item_id", "start", "end"])
 
-    return both.mapInPandas(verify, "doc_id long, item_id long, start long, end long")
+    return both.mapInArrow(verify, "doc_id long, item_id long, start long, end long")
 
 
 def decontamination(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:

@@ -18,11 +18,12 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
@@ -192,19 +193,19 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 0, capacity: Capaci
     buckets = max(1, -(-cut.count() // bucket))
     packed = StructType([*PIECES, StructField("sequence_id", LongType()), StructField("offset", LongType())])
 
-    def run(frames):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        rows = pd.concat(list(frames) or [pd.DataFrame(columns=PIECES.names)], ignore_index=True)
-        if rows.empty:
+        held = [b for b in batches if b.num_rows]
+        if not held:
             return
-        rows = rows.sort_values(["doc_id", "piece", "ids_crc32"], kind="stable", ignore_index=True)
+        rows = pa.Table.from_batches(held).sort_by([(c, "ascending") for c in ("doc_id", "piece", "ids_crc32")])
         base, part = 0, TaskContext.get().partitionId()
         for begin in range(0, len(rows), 4 * bucket):  # an uneven deal stays within a task's memory
-            some = rows.iloc[begin:begin + 4 * bucket].copy()
-            sequence, some["offset"] = best_fit(some["length"].to_numpy(np.int64), capacity, rule)
-            some.insert(5, "sequence_id", (np.int64(part) << 40) + base + sequence)
+            some = rows.slice(begin, 4 * bucket).combine_chunks()
+            sequence, offset = best_fit(some["length"].to_numpy(), capacity, rule)
+            yield from (some.append_column("sequence_id", pa.array((part << 40) + base + sequence))
+                        .append_column("offset", pa.array(offset)).to_batches())
             base += int(sequence.max()) + 1
-            yield some
 
-    return cut.repartition(buckets, F.xxhash64("doc_id", "piece", "ids_crc32")).mapInPandas(run, packed)
+    return cut.repartition(buckets, F.xxhash64("doc_id", "piece", "ids_crc32")).mapInArrow(run, packed)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.common import (SQL_FIELDS, SQL_INDEX, SQL_RECIPES, bench_queries, built_index, recipes,
                             sql_finish, sql_term, sql_tokens, table)
+from catalog.stems import sql_porter
 from ladle.functions.analysis import ANALYZERS, ENGLISH_STOP_WORDS, LIGHT_ENGLISH, Analyzer
 from ladle.operators.index import field_tokens, index_view, posting_rows
 from ladle.operators.search import (no_results, query_terms, result_lines, scores, search,
@@ -270,6 +271,10 @@ ORACLES = {
         select field, {sql_term('token')} as term, count(*) as n from l group by all""",
     "stopword_terms": f"""{_TOKENS} select field, {sql_term('token')} as term, count(*) as n from t
         where lower(token) not in ({_STOPS}) group by all""",
+    "english_terms": f"""{_TOKENS}, e as (select field, {sql_finish('token')} as term from t
+          where lower(token) not in ({_STOPS})), {sql_porter('e')}
+        select field, coalesce(stem, e.term) as term, count(*) as n from e left join stems on stems.term = e.term
+        group by all""",
     "analyzed_queries": f"""with {_QUERIES} select query_id, {sql_term('tok')} as term, count(*) as qtf
         from (select query_id, {sql_tokens('query')} as tok from asked) group by all""",
     "postings": f"""with {SQL_INDEX} select t.source, t.field, t.term, t._id, t.tf, l.dl from tf t

@@ -1,5 +1,7 @@
+import duckdb
 from pyspark.sql import functions as F
 
+from catalog.stems import sql_porter
 from ladle.functions.analysis import ANALYZERS, LIGHT_ENGLISH, Analyzer, fold_ascii, tokens
 from ladle.functions.porter import porter
 
@@ -71,3 +73,9 @@ PORTER = {
 def test_porter(spark):
     df = spark.createDataFrame([(w,) for w in PORTER], "w string").select("w", porter(F.col("w")).alias("s"))
     assert {r["w"]: r["s"] for r in df.collect()} == PORTER
+
+
+def test_porter_sql_on_the_same_examples():
+    words = ", ".join(f"('{w}')" for w in PORTER)
+    stems = duckdb.sql(f"with e(term) as (values {words}), {sql_porter('e')} select * from stems").fetchall()
+    assert dict(stems) == {w: s for w, s in PORTER.items() if w.isascii() and w.islower() and len(w) > 2}

@@ -137,7 +137,9 @@ _DOT_SIGN = re.compile(
 
 _TRIGGER = re.compile(
     rf"[{re.escape(''.join(map(chr, LOOKALIKES)))}{INVISIBLE}]")
-_WORDY = tuple(f"{w}" for w in ("dot", "punkt", "punto", "point", "@", "[.", "(.", "&#64;", "&commat;", "%40"))
+#: Stands in every text that _AT_SIGN or _DOT_SIGN matches: a bare `at` needs one of these dots after it.
+_SIGN_HINT = re.compile(
+    rf"[\[({{<]\s*(?:{_AT}|{_DOT}|@|\.)\s*[\])}}>]|&(?:#64|commat|#46|period);|%40|\s(?:{_DOT}|@|\.)\s", re.I)
 _FOUR_DIGITS = re.compile(rf"\b(?:{_DIGIT})\b(?:[ ,.()-]{{1,3}}(?:{_NUMERAL})\b){{3}}", re.I)
 
 
@@ -219,7 +221,7 @@ def plain_forms(text: str) -> list[list[Plain]]:
     now = chain[-1].text if chain else text
     low = now.lower()
     signs = []
-    if any(w in low for w in _WORDY):
+    if _SIGN_HINT.search(now):
         signs = [(m.start(), m.end(), "@") for m in _AT_SIGN.finditer(now)]
         signs += [(m.start(), m.end(), ".") for m in _DOT_SIGN.finditer(now)]
     chains = [chain + [_apply(now, signs)]] if signs else []

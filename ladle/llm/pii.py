@@ -140,7 +140,8 @@ _TRIGGER = re.compile(
 #: Stands in every text that _AT_SIGN or _DOT_SIGN matches: a bare `at` needs one of these dots after it.
 _SIGN_HINT = re.compile(
     rf"[\[({{<]\s*(?:{_AT}|{_DOT}|@|\.)\s*[\])}}>]|&(?:#64|commat|#46|period);|%40|\s(?:{_DOT}|@|\.)\s", re.I)
-_FOUR_DIGITS = re.compile(rf"\b(?:{_DIGIT})\b(?:[ ,.()-]{{1,3}}(?:{_NUMERAL})\b){{3}}", re.I)
+#: A digit word in a lower-cased text; spelled numbers hold two.
+_DIGIT_WORD = re.compile(rf"(?<!\w)(?:{_DIGIT})(?!\w)")
 
 
 class Plain(NamedTuple):
@@ -219,13 +220,12 @@ def plain_forms(text: str) -> list[list[Plain]]:
     first = _apply(text, _rewrites(text)) if not text.isascii() else None
     chain = [first] if first and (first.text != text) else []
     now = chain[-1].text if chain else text
-    low = now.lower()
     signs = []
     if _SIGN_HINT.search(now):
         signs = [(m.start(), m.end(), "@") for m in _AT_SIGN.finditer(now)]
         signs += [(m.start(), m.end(), ".") for m in _DOT_SIGN.finditer(now)]
     chains = [chain + [_apply(now, signs)]] if signs else []
-    if _FOUR_DIGITS.search(low):
+    if _DIGIT_WORD.search(now.lower()):
         numbers = _numerals(now)
         chains += [chain + [_apply(now, numbers)]] if numbers else []
     return chains or ([chain] if chain else [])

@@ -18,3 +18,10 @@ def test_every_sign_opens_the_gate(text):
 def test_bracketed_at_with_an_ordinary_dot(text):
     assert pii.find(f"to {text}, now") == ([], [("email", 3, 3 + len(text))])
     assert pii.redact(f"to {text}, now") == "to <EMAIL>, now"
+
+
+@pytest.mark.parametrize("text, kind", [
+    ("+49 30 123 four five", "phone"), ("192.168.one.one", "ip"), ("4111 1111 1111 11 one one", "card")])
+def test_digit_words_may_stand_last(text, kind):
+    assert (kind, 3, 3 + len(text)) in pii.find(f"at {text} or so")[1]
+    assert pii.redact(f"at {text} or so") == f"at <{kind.upper()}> or so"

@@ -231,29 +231,40 @@ def plain_forms(text: str) -> list[list[Plain]]:
     return chains or ([chain] if chain else [])
 
 
+def _held(spans: list[tuple[int, int]], start: int, end: int) -> bool:
+    """Whether one of the spans, in order and apart, holds the stretch."""
+    i = bisect_right(spans, start, key=lambda s: s[0]) - 1
+    return i >= 0 and end <= spans[i][1]
+
+
 def disguised_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """Identifiers found only in a plain form, as spans of `text`; none overlaps one of its kind."""
-    taken: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
+    """Identifiers of a plain form, as spans of `text`, that no span of their kind holds already.
+
+    A base span that is only a part of one stays beside it.
+    """
+    # Of one kind, the spans of one form are in order and apart.
+    taken: list[dict[str, list[tuple[int, int]]]] = [{k: [] for k in KINDS}]
     for kind, a, b in base:
-        taken[kind].append((a, b))
+        taken[0][kind].append((a, b))
     added = []
     for chain in plain_forms(text):
+        taken.append({k: [] for k in KINDS})
         for kind, a, b in base_spans(chain[-1].text):
             changed = False
             for form in reversed(chain):
                 a, b, touched = form.back(a, b)
                 changed |= touched
-            if changed and all(b <= x or y <= a for x, y in taken[kind]):
-                taken[kind].append((a, b))
+            if changed and not any(_held(spans[kind], a, b) for spans in taken):
+                taken[-1][kind].append((a, b))
                 added.append((kind, a, b))
     return added
 
 
 def find(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
-    """Undisguised spans, and all spans, both by kind as listed and then by start."""
+    """Undisguised spans, and all spans, both by kind as listed and then by place."""
     base = base_spans(text)
     added = disguised_spans(text, base)
-    return base, sorted(base + added, key=lambda s: (KINDS.index(s[0]), s[1])) if added else base
+    return base, sorted(base + added, key=lambda s: (KINDS.index(s[0]), *s[1:])) if added else base
 
 
 def redact(text: str) -> str:

@@ -25,3 +25,21 @@ def test_bracketed_at_with_an_ordinary_dot(text):
 def test_digit_words_may_stand_last(text, kind):
     assert (kind, 3, 3 + len(text)) in pii.find(f"at {text} or so")[1]
     assert pii.redact(f"at {text} or so") == f"at <{kind.upper()}> or so"
+
+
+@pytest.mark.parametrize("text, kind, part", [
+    ("jane (dot) doe@example.com", "email", "doe@example.com"),
+    ("jane@mail.example (dot) com", "email", "jane@mail.example"),
+    ("jоhn@example.com", "email", "hn@example.com"),
+    ("+1 555 12 34 five six seven", "phone", "+1 555 12 34")])
+def test_partly_disguised_identifiers_are_found_whole(text, kind, part):
+    at = text.index(part)
+    base, every = pii.find(text + ", so")
+    assert base == [(kind, at, at + len(part))]
+    assert every == sorted({*base, (kind, 0, len(text))}, key=lambda s: s[1:])
+    assert pii.redact(text + ", so") == f"<{kind.upper()}>, so"
+
+
+def test_a_span_inside_another_adds_nothing():
+    assert pii.find("a@b.cc and x (at) d.ee")[1] == [("email", 0, 6), ("email", 11, 22)]
+    assert pii._held([(0, 6), (8, 12)], 9, 12) and not pii._held([(0, 6), (8, 12)], 5, 9)

@@ -29,8 +29,9 @@ from ladle.llm.mapping import map_texts
 from ladle.operators.sizing import small
 from ladle.session import settle
 
-#: Tokens at 1 are hashed, those at 0 may be substituted.
-MASKS = ("11101011", "11011011", "10111101")
+#: Tokens at 1 are hashed, those at 0 may be substituted. However the substitutions lie that an overlap of 8 to 16
+#: tokens may have, one of these fits between them; no set of up to six masks of six tokens does that.
+MASKS = ("11011001", "11000111", "10111010", "00111011")
 SPAN = len(MASKS[0])
 LEAST = SPAN
 WINDOW = 16
@@ -42,15 +43,27 @@ FILTER_BITS = 1 << 26
 AROUND, GAP = WINDOW, 2 * WINDOW
 
 _TOKEN = re.compile(rb"[0-9a-z\x80-\xff]+")
+#: Characters of scripts without spaces between words (Thai, Lao, Tibetan, Burmese, Khmer, kana, Han, Yi), and their
+#: punctuation.
+_SPACELESS = re.compile(
+    "([\u0e01-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf"
+    "\u4e00-\ua4cf\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff])"
+    "|[\u3000-\u3004\u3008-\u301f\uff01-\uff0f\uff1a-\uff20\uff5b-\uff65]")
 _REMEMBERED = 300_000
 _known: dict[bytes, int] = {}
 
 
 def token_hashes(text: str) -> np.ndarray:
-    """64-bit hashes of the lower-cased tokens: runs of letters, digits and characters beyond ASCII."""
+    """64-bit hashes of the lower-cased tokens: runs of letters, digits and characters beyond ASCII.
+
+    Of scripts without spaces every character is a token.
+    """
     from xxhash import xxh64_intdigest
 
-    tokens = _TOKEN.findall(text.lower().encode())
+    low = text.lower()
+    if not low.isascii():
+        low = _SPACELESS.sub(r" \1 ", low)
+    tokens = _TOKEN.findall(low.encode())
     if len(_known) > _REMEMBERED:
         _known.clear()
     for t in set(tokens).difference(_known):

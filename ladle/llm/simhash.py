@@ -20,7 +20,7 @@ from itertools import combinations
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from ladle.llm.components import components
 from ladle.llm.mapping import map_texts
@@ -97,50 +97,54 @@ def simhash_components(docs: DataFrame, width: int = 3, distance: int = 2, text:
 
 # -- Similar texts --------------------------------------------------------------------
 #
-# The same index for a similarity of sets of shingles. Two of 64 bits are far too strict for it: at a
-# similarity of 0.8 about one bit in seven differs. So a wide fingerprint is made, of 64 bytes, and a
-# pair of texts that similar shares 17 of them on average, where unrelated texts share a quarter of one.
-
-WIDE = 64
-#: Triples of positions under which a fingerprint is indexed.
-TRIPLES = tuple((i, (i + a) % WIDE, (i + b) % WIDE) for a, b in ((1, 3), (7, 24)) for i in range(WIDE))
-#: Fewer shared positional bytes are not looked at further.
-SHARED = 7
-#: Bits of 512 that may differ: those that differ on average at a similarity of 0.8.
-DIFFER = 77
-_LONGS = tuple(f"f{i}" for i in range(WIDE // 8))
-_WIDE_PRINTS = StructType([StructField("doc_id", LongType()), StructField("body", LongType()),
-                           *(StructField(c, LongType()) for c in _LONGS)])
-_POSTINGS = StructType([StructField("posting", LongType()), StructField("node", LongType())])
-
-
-def wide_fingerprint(text: bytes, width: int = 5) -> np.ndarray:
-    """The bitwise majority of 512-bit hashes of the distinct shingles, as eight numbers."""
+# Two of 64 bits are far too strict for a similarity of sets of shingles: at 0.8 about one bit in seven
+# differs. Here the least hashes of the set only make candidates, and the sets themselves are compared.
+
+#: Shared shingles of all distinct ones, from which two texts are similar.
+SIMILAR = (4, 5)
+#: Groups of least hashes, and hashes in a group. Two texts agree in each hash as often as they are similar, so of
+#: pairs at 0.8 all but one in 13,000 agree in a whole group, of pairs at 0.9 all but one in 10^9.
+BANDS, ROWS = 24, 5
+#: Members of a posting up to which all its pairs are compared.
+ALL_PAIRS = 16
+_MIX = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * ROWS, 1), np.uint64)
+_SETS = StructType([StructField("doc_id", LongType()), StructField("body", LongType()), StructField("digest", BinaryType()),
+                    StructField("n", LongType()), StructField("bands", ArrayType(LongType())),
+                    StructField("shingles", ArrayType(LongType()))])
+
+
+def shingle_set(text: bytes, width: int = 5) -> np.ndarray:
+    """Sorted hashes of the distinct shingles; a text of fewer words is one shingle, one without words none."""
     from xxhash import xxh64_intdigest
 
     words = text.lower().split()
     if not words:
-        return np.zeros(len(_LONGS), np.uint64)
-    hashes = np.array(list({xxh64_intdigest(b" ".join(words[i:i + width]), SEED)
+        return np.empty(0, np.uint64)
+    return np.array(sorted({xxh64_intdigest(b" ".join(words[i:i + width]), SEED)
                             for i in range(max(1, len(words) - width + 1))}), np.uint64)
-    ones = np.zeros((len(_LONGS), 64), np.int64)
-    for at in range(0, len(hashes), 1 << 14):
-        part = hashes[at:at + (1 << 14)]
-        for n in range(len(_LONGS)):  # each number's bits from a mixture of its own
-            mixed = (part ^ np.uint64(0x9E3779B97F4A7C15 * (n + 1) % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
-            mixed ^= mixed >> np.uint64(31)
-            mixed *= np.uint64(0x94D049BB133111EB)
-            mixed ^= mixed >> np.uint64(29)
-            bits = np.unpackbits(mixed.view(np.uint8).reshape(-1, BYTES), axis=1)
-            ones[n] += bits.sum(axis=0, dtype=np.int64)
-    return np.packbits(ones * 2 > len(hashes), axis=1).view(np.uint64).ravel()
-
-
-def _wide_prints(docs: DataFrame, width: int, text: str, id: str) -> DataFrame:
+
+
+def bands(shingles: np.ndarray) -> np.ndarray:
+    """A key per group of least hashes."""
+    least = np.full(BANDS * ROWS, 0xFFFFFFFFFFFFFFFF, np.uint64)
+    for at in range(0, len(shingles), 1 << 12):
+        mixed = (shingles[None, at:at + (1 << 12)] ^ _MIX[0]) * (_MIX[1] | np.uint64(1))
+        least = np.minimum(least, mixed.min(axis=1))
+    keys = np.arange(BANDS, dtype=np.uint64)
+    for part in least.reshape(BANDS, ROWS).T:
+        keys = (keys ^ part) * np.uint64(0xD6E8FEB86659FD93)
+        keys ^= keys >> np.uint64(32)
+    return keys.view(np.int64)
+
+
+def _sets(docs: DataFrame, width: int, text: str, id: str) -> DataFrame:
     def kernel(ids: list, bodies: list, texts: list) -> list:
-        prints = np.array([wide_fingerprint((t or "").encode(), width) for t in texts], np.uint64)
-        return [ids, bodies, *prints.reshape(-1, len(_LONGS)).view(np.int64).T]
-    return map_texts(docs.withColumn("__body", _body(text)), kernel, _WIDE_PRINTS, text, (id, "__body"))
+        from xxhash import xxh3_128_digest
+
+        sets = [shingle_set((t or "").encode(), width) for t in texts]
+        return [ids, bodies, [xxh3_128_digest(x.tobytes()) for x in sets], [len(x) for x in sets],
+                [bands(x) for x in sets], [x.view(np.int64) for x in sets]]
+    return map_texts(docs.withColumn("__body", _body(text)), kernel, _SETS, text, (id, "__body"))
 
 
 def _body(text: str) -> Column:
@@ -148,38 +152,33 @@ def _body(text: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
 
 
-def _similar(nodes: DataFrame) -> DataFrame:
-    """(src, dst): pairs of nodes (node, f0..f7) whose wide fingerprints are close.
+def _candidates(nodes: DataFrame) -> DataFrame:
+    """(src, dst): pairs of nodes (node, n, bands) that share a band, and whose sizes allow for the similarity.
 
-    A posting links each of its members to its first and its last one, never every pair: what a posting
+    A large posting links each of its members to its first and its last one, never every pair: what it
     gives grows with its size. Members are joined to the two, and the skew join may split a large posting.
     """
-    def post(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            node = batch.column(0).to_numpy()
-            raw = np.stack([c.to_numpy() for c in batch.columns[1:]], 1).view(np.uint8).astype(np.int64)
-            keys = np.stack([n << 24 | raw[:, a] << 16 | raw[:, b] << 8 | raw[:, c]
-                             for n, (a, b, c) in enumerate(TRIPLES)], 1)
-            for at in range(0, len(node), 1000):
-                part = keys[at:at + 1000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(part.ravel()), pa.array(np.repeat(node[at:at + 1000], len(TRIPLES)))],
-                    names=_POSTINGS.names)
-
-    postings = nodes.select("node", *_LONGS).mapInArrow(post, _POSTINGS)
-    ends = postings.groupBy("posting").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    pairs = (postings.join(ends, "posting").select("node", F.explode(F.array("low", "high")).alias("other"))
-             .where("node <> other").select(F.least("node", "other").alias("src"), F.greatest("node", "other").alias("dst"))
-             .distinct())
-    a, b = nodes.alias("a"), nodes.alias("b")
-    differing = [F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}")) for c in _LONGS]
-    tally = reduce(lambda x, y: x + y, (
-        (F.shiftrightunsigned(d, 8 * p).bitwiseAND(F.lit(0xFF)) == 0).cast("int") for d in differing for p in range(8)))
-    distance = reduce(lambda x, y: x + y, map(F.bit_count, differing))
-    return (pairs.join(a, F.col("src") == F.col("a.node")).join(b, F.col("dst") == F.col("b.node"))
-            .where(distance <= DIFFER).where(tally >= SHARED).select("src", "dst"))
+    postings = nodes.select(F.struct("node", "n").alias("of"), F.explode("bands").alias("posting"))
+    ends = postings.groupBy("posting").agg(F.min("of").alias("low"), F.max("of").alias("high"), F.count("*").alias("members"))
+    met = settle(postings.join(ends.where("low.node < high.node"), "posting"), "postings")
+    some = (met.where(F.col("members") <= ALL_PAIRS).groupBy("posting").agg(F.collect_list("of").alias("every"))
+            .select("every", F.explode("every").alias("a")).select("a", F.explode("every").alias("b")))
+    ended = met.where(F.col("members") > ALL_PAIRS).select(F.col("of").alias("a"), F.explode(F.array("low", "high")).alias("b"))
+    part, whole = SIMILAR
+    return (some.where("a.node < b.node").unionByName(ended.where("a.node <> b.node"))
+            .where(whole * F.least("a.n", "b.n") >= part * F.greatest("a.n", "b.n"))
+            .select(F.least("a.node", "b.node").alias("src"), F.greatest("a.node", "b.node").alias("dst")).distinct())
+
+
+def _similar(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(src, dst): candidate pairs of `nodes` whose shingles, as `sets` (node, shingles) has them, are similar."""
+    pairs = settle(_candidates(nodes), "pairs")
+    asked = settle(pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct(), "asked")
+    held = settle(sets.join(small(asked), "node"), "sets")
+    a, b = (held.select(F.col("node").alias(end), F.col("shingles").alias(name)) for end, name in (("src", "a"), ("dst", "b")))
+    shared, (part, whole) = F.size(F.array_intersect("a", "b")), SIMILAR
+    return (pairs.join(a, "src").join(b, "dst")
+            .where((part + whole) * shared >= part * (F.size("a") + F.size("b"))).select("src", "dst"))
 
 
 def one_of_each(docs: DataFrame, width: int = 5, text: str = "text", id: str = "doc_id") -> DataFrame:
@@ -187,11 +186,12 @@ def one_of_each(docs: DataFrame, width: int = 5, text: str = "text", id: str = "
 
     Null ids come last. Of rows alike in id and text one stays. All columns of `docs` are returned.
     """
-    prints = settle(_wide_prints(docs, width, text, id), "wide-prints")
-    nodes = settle(prints.groupBy(*_LONGS).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "body")).alias("stays"))
-                   .withColumn("node", F.monotonically_increasing_id()), "nodes")
-    roots = components(_similar(nodes))
-    rooted = settle(nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
+    prints = settle(_sets(docs, width, text, id).withColumn("row", F.monotonically_increasing_id()), "shingle-sets")
+    nodes = settle(prints.groupBy("digest").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "body")).alias("stays"), F.min("row").alias("node"),
+        F.first("n").alias("n"), F.first("bands").alias("bands")), "nodes")
+    roots = components(_similar(nodes, prints.select(F.col("row").alias("node"), "shingles")))
+    rooted = settle(nodes.select("node", "stays").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     stays = rooted.groupBy("root").agg(F.min("stays").alias("stays")).select("stays.doc_id", "stays.body")
     keys = prints.groupBy("doc_id", "body").count()
     marked = stays.withColumn("stays", F.lit(True)).alias("s")

@@ -1,0 +1,40 @@
+"""Near copies against the exact similarity of their shingle sets."""
+
+import random
+
+from ladle.llm import simhash as s
+
+
+def words(rnd, n):
+    return [f"{rnd.choice('abcdefg')}{rnd.randint(0, 99999)}" for _ in range(n)]
+
+
+def similarity(a, b):
+    a, b = (set(zip(*(w[i:] for i in range(5)))) for w in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def test_pairs_at_the_bound(table):
+    rnd = random.Random(3)
+    rows, gone = [], set()
+
+    def pair(i, one, other):
+        near = similarity(one, other) >= 0.8
+        rows.extend([(i, " ".join(one)), (1000 + i, " ".join(other))])
+        gone.update({1000 + i} if near else ())
+        return near
+    for i in range(60):
+        one = words(rnd, 49)
+        assert pair(i, one, one[:22] + ["changed"] + one[23:])  # exactly 0.8
+        one = words(rnd, 48)
+        assert not pair(100 + i, one, one[:22] + ["changed"] + one[23:])  # 39 of 49
+        one = words(rnd, 8)
+        assert pair(200 + i, one, one + ["more"])  # 4 of 5
+        one = words(rnd, 10)
+        assert pair(300 + i, one, ["more"] + one)  # 6 of 7
+        one = words(rnd, 404)
+        assert pair(400 + i, one, one[:360] + words(rnd, 44))  # 356 of 444
+        one = words(rnd, 404)
+        assert not pair(500 + i, one, one[:359] + words(rnd, 45))  # 355 of 445
+    kept = {r["doc_id"] for r in s.one_of_each(table(rows)).collect()}
+    assert kept == {i for i, _ in rows} - gone

@@ -10,7 +10,7 @@ positions that cannot join. What passes goes on as regions: runs of hits with th
 hashes of tokens. Texts are read once and never shuffled.
 
 Defined results: a null text has no tokens; an item of fewer than `LEAST` tokens is too short to tell and
-matches nothing; repeated rows share their doc_id's result; null ids are compared like any other; other
+matches nothing; rows alike in doc_id and text share a result; null ids are compared like any other; other
 columns of either table are not looked at; an empty benchmark or table contaminates nothing.
 """
 
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
@@ -88,7 +88,7 @@ def seeds(hashes: np.ndarray) -> np.ndarray:
 
 _ITEMS = StructType([StructField("item_id", LongType()), StructField("tokens", BinaryType()),
                      StructField("seeds", ArrayType(LongType()))])
-_REGIONS = StructType([StructField("doc_id", LongType()), StructField("start", LongType()),
+_REGIONS = StructType([StructField("doc_id", LongType()), StructField("body", LongType()), StructField("start", LongType()),
                        StructField("tokens", BinaryType()), StructField("seeds", ArrayType(LongType()))])
 
 
@@ -114,9 +114,9 @@ def _filter(items: DataFrame) -> np.ndarray:
 def _regions(docs: DataFrame, items: DataFrame, text: str) -> DataFrame:
     packed = docs.sparkSession.sparkContext.broadcast(_filter(items))
 
-    def kernel(ids: list, texts: list) -> list:
+    def kernel(ids: list, bodies: list, texts: list) -> list:
         bits, rows = packed.value, []
-        for doc, t in zip(ids, texts, strict=True):
+        for doc, body, t in zip(ids, bodies, texts, strict=True):
             hashes = token_hashes(t or "")
             every = seeds(hashes)
             place = (every & np.uint64(FILTER_BITS - 1)).astype(np.int64)
@@ -127,11 +127,16 @@ def _regions(docs: DataFrame, items: DataFrame, text: str) -> DataFrame:
             short = hashes.astype(np.uint32)
             for run in np.split(at, np.flatnonzero(np.diff(at) > GAP) + 1):
                 first = max(0, int(run[0]) - AROUND)
-                rows.append((doc, first, short[first:int(run[-1]) + SPAN + AROUND].tobytes(),
+                rows.append((doc, body, first, short[first:int(run[-1]) + SPAN + AROUND].tobytes(),
                              np.unique(every[:, run][hit[:, run] == 1]).view(np.int64)))
-        return list(zip(*rows, strict=True)) or [[]] * 4
+        return list(zip(*rows, strict=True)) or [[]] * 5
+
+    return map_texts(docs.withColumn("__body", _body(text)), kernel, _REGIONS, text, ("doc_id", "__body"))
 
-    return map_texts(docs, kernel, _REGIONS, text)
+
+def _body(text: str) -> Column:
+    """A hash of the text: with the id, it tells rows apart that share the id."""
+    return F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
 
 
 def overlaps(doc: np.ndarray, item: np.ndarray) -> list[tuple[int, int]]:
@@ -169,6 +174,11 @@ def overlaps(doc: np.ndarray, item: np.ndarray) -> list[tuple[int, int]]:
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, item_id, start, end): verified overlaps, in tokens of the document, end exclusive."""
+    return _found(docs, benchmark, text).drop("body")
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, text: str) -> DataFrame:
+    """The overlaps with the hash of the text, (doc_id, body, item_id, start, end)."""
     items = settle(_items(benchmark, text).withColumn("item", F.monotonically_increasing_id()), "items")
     regions = settle(_regions(docs, items, text).withColumn("region", F.monotonically_increasing_id()), "regions")
     asked = items.select("item", F.explode("seeds").alias("seed"))
@@ -176,33 +186,43 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, text: str = "text") ->
              .select("region", "item").distinct())
     both = (pairs.join(regions.drop("seeds"), "region")
             .join(items.select("item", "item_id", F.col("tokens").alias("item_tokens")), "item")
-            .select("doc_id", "item_id", "start", "tokens", "item_tokens"))
+            .select("doc_id", "body", "item_id", "start", "tokens", "item_tokens"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(doc, item, start + a, start + b)
-                    for doc, item, start, tokens, of in zip(*(c.to_pylist() for c in batch.columns), strict=True)
+            rows = [(doc, body, item, start + a, start + b)
+                    for doc, body, item, start, tokens, of in zip(*(c.to_pylist() for c in batch.columns), strict=True)
                     for a, b in overlaps(np.frombuffer(tokens, np.uint32), np.frombuffer(of, np.uint32))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in list(zip(*rows, strict=True)) or [[]] * 4],
-                names=["doc_id", "item_id", "start", "end"])
+                [pa.array(c, pa.int64()) for c in list(zip(*rows, strict=True)) or [[]] * 5],
+                names=["doc_id", "body", "item_id", "start", "end"])
 
-    return both.mapInArrow(verify, "doc_id long, item_id long, start long, end long")
+    return both.mapInArrow(verify, "doc_id long, body long, item_id long, start long, end long")
 
 
 def decontamination(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """Per document: contaminated, n_items matched, overlap_tokens (of all items), the first overlap's place."""
-    found = contaminations(docs, benchmark, text).groupBy(F.col("doc_id").alias("of")).agg(
+    found = _found(docs, benchmark, text).groupBy(F.col("doc_id").alias("of"), F.col("body").alias("__of_body")).agg(
         F.count_distinct("item_id").alias("n_items"), F.sum(F.col("end") - F.col("start")).alias("overlap_tokens"),
         F.min("start").alias("first_token"))
     found = settle(found, "contaminated")
-    return docs.select("doc_id").join(found, F.col("doc_id").eqNullSafe(F.col("of")), "left").select(
+    rows = docs.select("doc_id", _body(text).alias("__body"))
+    return rows.join(found, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("__body") == F.col("__of_body")), "left").select(
         "doc_id", F.col("n_items").isNotNull().alias("contaminated"),
         F.coalesce("n_items", F.lit(0)).alias("n_items"),
         F.coalesce("overlap_tokens", F.lit(0)).alias("overlap_tokens"), "first_token")
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of `docs` without an overlap with the benchmark; all columns stay."""
-    found = settle(contaminations(docs, benchmark, text).select(F.col("doc_id").alias("__of")).distinct(), "contaminated")
-    return docs.join(small(found), F.col("doc_id").eqNullSafe(F.col("__of")), "left_anti")
+    """The rows of `docs` without an overlap with the benchmark; all columns stay.
+
+    Rows that share an id are told apart by their text, except that all rows with a null id go with one of them.
+    """
+    def told(body: Column, id: Column) -> Column:
+        return F.when(id.isNotNull(), body).otherwise(F.lit(0))
+
+    found = settle(_found(docs, benchmark, text).select(
+        F.col("doc_id").alias("__of"), told(F.col("body"), F.col("doc_id")).alias("__of_body")).distinct(), "contaminated")
+    bodied = docs.withColumn("__here", told(_body(text), F.col("doc_id")))
+    met = F.col("doc_id").eqNullSafe(F.col("__of")) & (F.col("__here") == F.col("__of_body"))
+    return bodied.join(small(found), met, "left_anti").drop("__here")

@@ -22,3 +22,13 @@ def test_scripts_without_spaces(table, spark):
                   (4, "plain words only, nothing else in here at all")])
     got = {r["doc_id"]: r["contaminated"] for r in d.decontamination(docs, benchmark).collect()}
     assert got == {1: True, 2: False, 3: True, 4: False}
+
+
+def test_rows_that_share_an_id_are_told_apart(table, spark):
+    item = " ".join(f"w{i}" for i in range(20))
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = table([(1, item), (1, "clean one"), (None, item), (None, "clean two"), (2, "clean three")])
+    got = sorted((r["doc_id"] or 0, r["contaminated"]) for r in d.decontamination(docs, benchmark).collect())
+    assert got == [(0, False), (0, True), (1, False), (1, True), (2, False)]
+    assert {r["text"] for r in d.clean_documents(docs, benchmark).collect()} >= {"clean one", "clean three"}
+    assert item not in {r["text"] for r in d.clean_documents(docs, benchmark).collect()}

@@ -277,8 +277,9 @@ def site_templates(rows: DataFrame, least: int = MANY_PAGES, share: float = MANY
     """(host, subtree): subtrees that recur on many pages of their host."""
     # The main part is among the keys of the first grouping, so a host, however large, is spread over all tasks; the
     # second grouping counts on the map side first.
-    counts = (rows.select("host", "subtree", "main").distinct().groupBy("host", "subtree")
-              .agg(F.count("*").alias("n")).where((F.col("n") >= least) | (F.col("subtree") == 0)))
+    # Settled, because it is read twice and the pages behind it should be parsed once.
+    counts = settle(rows.select("host", "subtree", "main").distinct().groupBy("host", "subtree")
+                    .agg(F.count("*").alias("n")).where((F.col("n") >= least) | (F.col("subtree") == 0)), "subtrees")
     hosts = counts.where("subtree = 0").select("host", F.col("n").alias("of"))
     return (counts.where("subtree <> 0").join(hosts, "host").where(F.col("n") >= share * F.col("of"))
             .select("host", "subtree"))

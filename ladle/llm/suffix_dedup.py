@@ -29,7 +29,6 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -50,16 +49,16 @@ BLOCK = 1 << 20
 BLOCKED = 8
 _FIRST = -(1 << 63)  # stands for a null id
 
-# A place in one number: start of the first string, a check of the text, strings - 1, anchor - start.
-_START, _CHECK, _MORE = 28, 16, 8
+#: Text that a bucket of suffixes stands for, on average; more text gives more buckets.
+BUCKET_BYTES = 64 << 20
 
+# A place in one number: start of the first string, strings - 1, anchor - start. Beside it go the document and `body`, a
+# hash of its text: together they tell rows apart that share an id.
+_START, _MORE = 16, 8
 
-def _check(raw: bytes) -> int:
-    return zlib.crc32(raw) & 0xFFF
 
-
-def _place(start, check, more, anchor=0):
-    return start << _START | check << _CHECK | more << _MORE | anchor
+def _place(start, more, anchor=0):
+    return start << _START | more << _MORE | anchor
 
 
 # -- Fingerprints ---------------------------------------------------------------------
@@ -126,39 +125,38 @@ def anchors(parts: list[bytes]) -> tuple[np.ndarray, ...]:
             _mixed(stretch ^ shape).view(np.int64))
 
 
-_SUFFIXES = StructType([StructField(c, LongType()) for c in ("kmer", "stretch", "doc", "at")])
+_SUFFIXES = StructType([StructField(c, LongType()) for c in ("kmer", "stretch", "doc", "body", "at")])
 
 
 def _suffixes(docs: DataFrame) -> DataFrame:
-    def blocks(texts: list) -> Iterator[tuple[list[int], list[int], list[bytes], list[int]]]:
-        """Parts of about one block: row, offset, bytes and the text's check."""
-        rows, offsets, parts, checks, held = [], [], [], [], 0
+    def blocks(texts: list) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+        """Parts of about one block: row, offset and bytes."""
+        rows, offsets, parts, held = [], [], [], 0
         for row, t in enumerate(texts):
             raw = (t or "").encode()
             if len(raw) < LENGTH:
                 continue
-            check = _check(raw)
             for at in range(0, len(raw) - LENGTH + 1, BLOCK):
                 part = raw[at:at + BLOCK + LENGTH - 1]
                 if held and held + len(part) > BLOCK:
-                    yield rows, offsets, parts, checks
-                    rows, offsets, parts, checks, held = [], [], [], [], 0
-                rows.append(row), offsets.append(at), parts.append(part), checks.append(check)
+                    yield rows, offsets, parts
+                    rows, offsets, parts, held = [], [], [], 0
+                rows.append(row), offsets.append(at), parts.append(part)
                 held += len(part)
         if parts:
-            yield rows, offsets, parts, checks
+            yield rows, offsets, parts
 
-    def kernel(ids: list, texts: list) -> list:
-        out: list[list[np.ndarray]] = [[np.empty(0, np.int64)] for _ in range(4)]
-        doc = np.array(ids, np.int64)
-        for rows, offsets, parts, checks in blocks(texts):
+    def kernel(ids: list, bodies: list, texts: list) -> list:
+        out: list[list[np.ndarray]] = [[np.empty(0, np.int64)] for _ in _SUFFIXES]
+        doc, body = np.array(ids, np.int64), np.array(bodies, np.int64)
+        for rows, offsets, parts in blocks(texts):
             part, first, last, anchor, kmer, stretch = anchors(parts)
-            place = _place(first + np.array(offsets)[part], np.array(checks)[part], last - first, anchor - first)
-            for column, values in zip(out, (kmer, stretch, doc[np.array(rows)[part]], place), strict=True):
+            place, row = _place(first + np.array(offsets)[part], last - first, anchor - first), np.array(rows)[part]
+            for column, values in zip(out, (kmer, stretch, doc[row], body[row], place), strict=True):
                 column.append(values)
         return [np.concatenate(c) for c in out]
 
-    return map_texts(docs, kernel, _SUFFIXES, keep=("doc",))
+    return map_texts(docs, kernel, _SUFFIXES, keep=("doc", "body"))
 
 
 # -- Sorting --------------------------------------------------------------------------
@@ -207,8 +205,8 @@ def _sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     if table is None:
         return
     columns = [c.to_numpy() for c in table.columns]
-    order, _ = multikey_sort([lambda rows, c=c: c[rows] for c in columns], len(table))
-    kmer, stretch, doc, at = (c[order] for c in columns)
+    order, _ = multikey_sort([lambda rows, c=c: c[rows] for c in (*columns[:3], columns[4])], len(table))
+    kmer, stretch, doc, body, at = (c[order] for c in columns)
     new_kmer = np.concatenate([[True], kmer[1:] != kmer[:-1]])
     new = new_kmer | np.concatenate([[True], stretch[1:] != stretch[:-1]])
     first = np.flatnonzero(new)[np.cumsum(new) - 1]
@@ -219,7 +217,7 @@ def _sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     kinds = ((DUPLICATE, repeat), (DIFFERENT, new & several & ~edge), (EDGE, new & edge))
     for kind, rows in kinds:
         if rows.any():
-            values = [c[rows] for c in (kmer, stretch, doc, at)]
+            values = [c[rows] for c in (kmer, stretch, doc, body, at)]
             if kind == DUPLICATE:  # only the place is needed
                 values[0] = values[1] = np.zeros(len(values[2]), np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -232,8 +230,8 @@ def _across(edges: DataFrame, *key: str) -> DataFrame:
     A bucket gives a run a row, or one for each 20,000 stretches at its edges: an array holds at most
     a few times as many places as there are buckets.
     """
-    body = [F.min("bytes").alias("bytes")] if "bytes" in edges.columns else []
-    return (edges.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("doc", "at"))).alias("places"), *body)
+    raw = [F.min("bytes").alias("bytes")] if "bytes" in edges.columns else []
+    return (edges.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("doc", "at", "body"))).alias("places"), *raw)
             .withColumn("first", F.col("places")[0]))
 
 
@@ -242,7 +240,7 @@ def _later(runs: DataFrame) -> DataFrame:
     start = lambda c: F.shiftright(c, _START)
     return (runs.where(F.size("places") > 1).select("first", F.explode("places").alias("p"))
             .where((F.col("p.doc") != F.col("first.doc")) | (start(F.col("p.at")) != start(F.col("first.at"))))
-            .select("p.doc", "p.at"))
+            .select("p.doc", "p.body", "p.at"))
 
 
 # -- Stretches ------------------------------------------------------------------------
@@ -251,17 +249,16 @@ _STRETCHES = StructType([*_SUFFIXES, StructField("bytes", BinaryType())])
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """(doc, doc_id, packed): texts as compressed bytes, as they are moved."""
-    schema = StructType([StructField("doc", LongType()), StructField("doc_id", LongType()),
-                         StructField("packed", BinaryType())])
+    """(doc, body, doc_id, packed): texts as compressed bytes, as they are moved."""
+    schema = StructType([StructField(c, LongType()) for c in ("doc", "body", "doc_id")] + [StructField("packed", BinaryType())])
 
-    def kernel(doc: list, ids: list, texts: list) -> list:
+    def kernel(doc: list, bodies: list, ids: list, texts: list) -> list:
         from zstandard import ZstdCompressor
 
         pack = ZstdCompressor(level=3).compress
-        return [doc, ids, [pack((t or "").encode()) for t in texts]]
+        return [doc, bodies, ids, [pack((t or "").encode()) for t in texts]]
 
-    return map_texts(docs, kernel, schema, keep=("doc", "doc_id"))
+    return map_texts(docs, kernel, schema, keep=("doc", "body", "doc_id"))
 
 
 def _unpack(packed: bytes) -> bytes:
@@ -271,21 +268,19 @@ def _unpack(packed: bytes) -> bytes:
 
 
 def _with_bytes(places: DataFrame, docs: DataFrame) -> DataFrame:
-    """Stretches with their bytes. A document's places are gathered before its text is met."""
-    asked = places.groupBy("doc").agg(F.collect_list(F.struct("kmer", "stretch", "at")).alias("asked"))
-    both = _packed(docs).drop("doc_id").join(asked, "doc").select("doc", "packed", "asked")
+    """Stretches with their bytes. A text's places are gathered before it is met."""
+    asked = places.groupBy("doc", "body").agg(F.collect_list(F.struct("kmer", "stretch", "at")).alias("asked"))
+    both = _packed(docs).drop("doc_id").join(asked, ["doc", "body"]).select("doc", "body", "packed", "asked")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, packed, asked in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc, body, packed, asked in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 raw = _unpack(packed)
-                check = _check(raw)
-                rows = [(a["kmer"], a["stretch"], doc, a["at"], raw[s:s + (a["at"] >> _MORE & 0xFF) + LENGTH])
-                        for a in asked if a["at"] >> _CHECK & 0xFFF == check for s in (a["at"] >> _START,)]
-                if rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [*(pa.array(c, pa.int64()) for c in list(zip(*rows, strict=True))[:4]),
-                         pa.array([r[4] for r in rows], pa.binary())], names=_STRETCHES.names)
+                rows = [(a["kmer"], a["stretch"], doc, body, a["at"], raw[s:s + (a["at"] >> _MORE & 0xFF) + LENGTH])
+                        for a in asked for s in (a["at"] >> _START,)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(c, pa.int64()) for c in list(zip(*rows, strict=True))[:5]),
+                     pa.array([r[5] for r in rows], pa.binary())], names=_STRETCHES.names)
 
     return both.mapInArrow(run, _STRETCHES)
 
@@ -293,11 +288,11 @@ def _with_bytes(places: DataFrame, docs: DataFrame) -> DataFrame:
 _STRINGS = StructType([StructField("kind", LongType()), *_STRETCHES])
 
 
-def _rows(kind: int, *columns: np.ndarray, body: list[bytes] | None = None) -> pa.RecordBatch:
+def _rows(kind: int, *columns: np.ndarray, raw: list[bytes] | None = None) -> pa.RecordBatch:
     n = len(columns[-1])
     return pa.RecordBatch.from_arrays(
         [pa.array(np.full(n, kind)), *(pa.array(c) for c in columns),
-         pa.array(body, pa.binary()) if body else pa.nulls(n, pa.binary())], names=_STRINGS.names)
+         pa.array(raw, pa.binary()) if raw else pa.nulls(n, pa.binary())], names=_STRINGS.names)
 
 
 def _sort_strings(batches: Iterator[pa.RecordBatch], blocks: bool) -> Iterator[pa.RecordBatch]:
@@ -308,14 +303,14 @@ def _sort_strings(batches: Iterator[pa.RecordBatch], blocks: bool) -> Iterator[p
     table = _gathered(batches)
     if table is None:
         return
-    kmer, _, doc, at = (c.to_numpy() for c in table.columns[:4])
-    raw = b"".join(table.column(4).to_pylist())
+    kmer, _, doc, body, at = (c.to_numpy() for c in table.columns[:5])
+    raw = b"".join(table.column(5).to_pylist())
     # Eight bytes from any place, as one number that compares as they do.
     buffer = np.frombuffer(raw + bytes(8), np.uint8)
     word = np.zeros(len(buffer) - 8, np.uint64)
     for i in range(8):
         word = word << np.uint64(8) | buffer[i:len(word) + i]
-    more, check, anchor = at >> _MORE & 0xFF, at >> _CHECK & 0xFFF, at & 0xFF
+    more, anchor = at >> _MORE & 0xFF, at & 0xFF
     base = np.concatenate([[0], np.cumsum(more + LENGTH)])[:-1]
     of = np.repeat(np.arange(len(at)), more + 1)  # the stretch of each string
     nth = np.arange(len(of)) - np.repeat(np.cumsum(more + 1) - (more + 1), more + 1)
@@ -337,16 +332,16 @@ def _sort_strings(batches: Iterator[pa.RecordBatch], blocks: bool) -> Iterator[p
             [[True], (of[rows[1:]] != of[rows[:-1]]) | (start[rows[1:]] != start[rows[:-1]] + 1)]))
         head = rows[cut]
         none = np.zeros(len(head), np.int64)
-        yield _rows(DUPLICATE, none, none, doc[of[head]],
-                    _place(start[head], check[of[head]], np.diff(np.append(cut, len(rows))) - 1))
+        yield _rows(DUPLICATE, none, none, doc[of[head]], body[of[head]],
+                    _place(start[head], np.diff(np.append(cut, len(rows))) - 1))
     edge = (kmer == kmer.min()) | (kmer == kmer.max())
     if blocks:
-        yield from _edge_blocks(raw, base, doc, at >> _START, check, more, anchor, np.flatnonzero(edge))
+        yield from _edge_blocks(raw, base, doc, body, at >> _START, more, anchor, np.flatnonzero(edge))
     else:
         rows = np.flatnonzero(edge[of] & (first == np.arange(len(of))))
         for some in np.array_split(rows, len(rows) // 100_000 + 1) if len(rows) else ():
             digest = _digests(raw, place[some], place[some] + LENGTH)
-            yield _rows(EDGE, digest[:, 1], digest[:, 0], doc[of[some]], _place(start[some], check[of[some]], 0))
+            yield _rows(EDGE, digest[:, 1], digest[:, 0], doc[of[some]], body[of[some]], _place(start[some], 0))
 
 
 def _digests(raw: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -357,7 +352,7 @@ def _digests(raw: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
                                   for a, b in zip(begin.tolist(), end.tolist())), np.int64).reshape(-1, 2)
 
 
-def _edge_blocks(raw, base, doc, start, check, more, anchor, rows) -> Iterator[pa.RecordBatch]:
+def _edge_blocks(raw, base, doc, body, start, more, anchor, rows) -> Iterator[pa.RecordBatch]:
     """The distinct blocks of some stretches, by the bytes that all strings of a block share.
 
     Blocks are cut by distance from the anchor, so equal strings lie in blocks that share those bytes.
@@ -374,18 +369,19 @@ def _edge_blocks(raw, base, doc, start, check, more, anchor, rows) -> Iterator[p
         core = _digests(raw, shared, shared + LENGTH - BLOCKED + 1)[:, 0]
         full = _digests(raw, base[of] + low, base[of] + high + LENGTH)[:, 0] ^ _mixed(
             ((anchor[of] - low) << 8 | (high - low)).astype(np.uint64)).view(np.int64)
-        at = _place(start[of] + low, check[of], high - low, anchor[of] - low)
+        at = _place(start[of] + low, high - low, anchor[of] - low)
         order = np.lexsort((at, doc[of], full, core))
         new = np.concatenate([[True], (core[order[1:]] != core[order[:-1]]) | (full[order[1:]] != full[order[:-1]])])
         one = order[new]
         begin = base[of[one]] + low[one]
-        yield _rows(EDGE, core[one], full[one], doc[of[one]], at[one], body=[
+        yield _rows(EDGE, core[one], full[one], doc[of[one]], body[of[one]], at[one], raw=[
             raw[a:b] for a, b in zip(begin.tolist(), (begin + high[one] - low[one] + LENGTH).tolist())])
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """(doc, at): places of strings that occur earlier; `docs` has doc, doc_id and text."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """(doc, body, at): places of strings that occur earlier; `docs` has doc, body, doc_id and text."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES)
 
     def ranged(df: DataFrame) -> DataFrame:
         return df.repartitionByRange(parts, "kmer", "stretch", "doc", "at")
@@ -395,16 +391,16 @@ def repeats(docs: DataFrame) -> DataFrame:
     # At most two k-mers of a bucket stand at its edges: few, whatever the corpus.
     several = runs.groupBy("kmer").count().where("count > 1").select("kmer")
     different = (found.where(f"kind = {DIFFERENT}").drop("kind").unionByName(
-        runs.join(F.broadcast(several), "kmer").select("kmer", "stretch", "first.doc", "first.at")))
+        runs.join(F.broadcast(several), "kmer").select("kmer", "stretch", "first.doc", "first.body", "first.at")))
     strings = settle(ranged(_with_bytes(different, docs)).mapInArrow(
         lambda batches: _sort_strings(batches, True), _STRINGS), "strings")
     blocks = _across(strings.where(f"kind = {EDGE}"), "kmer", "stretch")
     alike = blocks.groupBy("kmer").count().where("count > 1").select("kmer")
-    within = settle(ranged(blocks.join(alike, "kmer").select("kmer", "stretch", "first.doc", "first.at", "bytes"))
+    within = settle(ranged(blocks.join(alike, "kmer").select("kmer", "stretch", "first.doc", "first.body", "first.at", "bytes"))
                     .mapInArrow(lambda batches: _sort_strings(batches, False), _STRINGS), "blocks")
     single = _across(within.where(f"kind = {EDGE}").drop("bytes"), "kmer", "stretch")
     places = [_later(runs), _later(blocks), _later(single)]
-    places += [df.where(f"kind = {DUPLICATE}").select("doc", "at") for df in (found, strings, within)]
+    places += [df.where(f"kind = {DUPLICATE}").select("doc", "body", "at") for df in (found, strings, within)]
     return reduce(DataFrame.unionByName, places)
 
 
@@ -422,16 +418,18 @@ def merged(at: np.ndarray) -> list[tuple[int, int]]:
 
 def _prepared(docs: DataFrame, text: str, id: str) -> DataFrame:
     doc_id = F.col(f"`{id}`").cast("long")
-    return docs.select(F.coalesce(doc_id, F.lit(_FIRST)).alias("doc"), doc_id.alias("doc_id"),
-                       F.col(f"`{text}`").cast("string").alias("text"))
+    body = F.col(f"`{text}`").cast("string")
+    return docs.select(F.coalesce(doc_id, F.lit(_FIRST)).alias("doc"), F.xxhash64(F.coalesce(body, F.lit(""))).alias("body"),
+                       doc_id.alias("doc_id"), body.alias("text"))
 
 
 def kept_bytes(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """(doc_id, n_bytes, n_removed, spans, kept): the bytes that stay, and the removed runs."""
     ship_package(docs.sparkSession)
     docs = _prepared(docs, text, id)
-    places = repeats(docs).groupBy("doc").agg(F.collect_list("at").alias("places"))
-    both = _packed(docs).join(places, "doc", "left").select("doc_id", "packed", "places")
+    # Rows alike in id and text share their places, however many they are.
+    places = repeats(docs).groupBy("doc", "body").agg(F.collect_set("at").alias("places"))
+    both = _packed(docs).join(places, ["doc", "body"], "left").select("doc_id", "packed", "places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -440,8 +438,7 @@ def kept_bytes(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataF
                 raw = _unpack(one.column(1)[0].as_py())
                 spans = []
                 if one.column(2)[0].is_valid:
-                    at = one.column(2)[0].values.to_numpy()
-                    spans = merged(at[at >> _CHECK & 0xFFF == _check(raw)])
+                    spans = merged(one.column(2)[0].values.to_numpy())
                 kept, done = [], 0
                 for a, b in spans:
                     kept.append(raw[done:a])

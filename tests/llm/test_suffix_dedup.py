@@ -82,3 +82,14 @@ def test_multikey_sort_orders_by_all_tokens():
     got = list(zip(*(c[order].tolist() for c in columns)))
     assert got == want
     assert run.tolist() == [sorted(set(want)).index(w) for w in want]
+
+
+def test_rows_that_share_an_id_are_told_apart(table, rows_of):
+    """One of many rows of an id holds a passage of another document; the others hold something else in its place."""
+    rnd = random.Random(12)
+    letters = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    passage = letters(203)
+    rows = [(1, letters(40) + passage + letters(60))]
+    rows += [(i, letters(140) + (passage if j == 7 else letters(203)) + letters(140)) for i in (2, None) for j in range(2500)]
+    rows += [(None, rows[3000][1])] * 20 + [(2, rows[8][1])] * 3
+    assert rows_of(s.suffix_dedup(table(rows))) == brute(rows)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -53,3 +53,16 @@ def map_texts(docs: DataFrame, kernel: Callable[..., list], schema: StructType,
                     [pa.array(v, type=f.type) for v, f in zip(out, arrow, strict=True)], schema=arrow)
 
     return docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text}`").cast("string")).mapInArrow(run, schema)
+
+
+def body_hash(text: str) -> Column:
+    """A hash of the text, empty where it is null: with the id, it tells rows apart that share the id."""
+    return F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that `df` does not have in any spelling of case."""
+    held = {c.lower() for c in df.columns}
+    while name.lower() in held:
+        name += "_"
+    return name

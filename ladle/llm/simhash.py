@@ -1,11 +1,12 @@
 """SimHash near-duplicates through a byte-position inverted index with count filtering.
 
 Two fingerprints that differ in at most d of their 64 bits differ in at most d of their 8 bytes, so
-they share at least 8 - d positional bytes: the guaranteed minimum of matches. The index holds every
-distinct fingerprint under each choice of 8 - d positions with their bytes; a pair that reaches the
-minimum meets in a posting, is tallied over all 8 positions there, and is verified bit by bit. A
-posting holds fingerprints that agree in 8 - d bytes, so at most 2^(8d) of them: 65,536 for two bits,
-however large the corpus. Copies meet as one fingerprint, never as pairs.
+they share at least s = 8 - d positional bytes. The index holds every distinct fingerprint under each
+choice of s - 1 positions with their bytes, 56 choices for two bits. Pairs that meet in a posting are
+tallied over all postings: those that share s bytes meet in s or more of them, the guaranteed minimum,
+those that share only s - 1 meet in one and are rejected by their tally. What reaches the minimum is
+verified bit by bit. Strangers agree in 40 given bits of a hash by chance only, one pair in 10^12.
+Copies meet as one fingerprint, never as pairs.
 
 Defined results: a null or wordless text has fingerprint zero and is linked like any other; repeated
 rows are answered one by one; a component of null ids alone has a null component_id; other columns of
@@ -14,16 +15,16 @@ the input are not looked at; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import combinations
+from math import comb
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ladle.llm.components import components
-from ladle.llm.mapping import map_texts
+from ladle.llm.mapping import body_hash, map_texts, unused
 from ladle.operators.sizing import small
 from ladle.session import settle
 
@@ -59,27 +60,37 @@ def links(prints: DataFrame, distance: int = 2) -> DataFrame:
     """(src, dst): every pair of distinct values of `fp` at `distance` or fewer differing bits, once."""
     if not 0 < distance < BYTES:
         raise ValueError("a distance of 1 to 7 bits leaves a positional byte to share")
-    choices = list(combinations(range(BYTES), BYTES - distance))
+    return (tallies(prints, distance).where(F.col("tally") >= guaranteed(distance))
+            .where(F.bit_count(F.col("src").bitwiseXOR(F.col("dst"))) <= distance).select("src", "dst"))
 
+
+def _positions(distance: int) -> list[tuple[int, ...]]:
+    """Choices of positions that postings are made for: one fewer than a linked pair is sure to share."""
+    return list(combinations(range(BYTES), max(1, BYTES - distance - 1)))
+
+
+def guaranteed(distance: int) -> int:
+    """Postings that hold both of a linked pair, at least: the choices among the positions it is sure to share."""
+    return comb(BYTES - distance, len(_positions(distance)[0]))
+
+
+def tallies(prints: DataFrame, distance: int) -> DataFrame:
+    """(src, dst, tally): pairs that meet in the index, and the number of postings in which they do."""
     def mask(positions: tuple[int, ...]) -> int:
         bits = sum(0xFF << 8 * p for p in positions)
         return bits - (1 << 64) if bits >> 63 else bits
 
     postings = prints.select("fp").distinct().select("fp", F.explode(F.array(*(
         F.struct(F.lit(n).alias("positions"), F.col("fp").bitwiseAND(F.lit(mask(c))).alias("bytes"))
-        for n, c in enumerate(choices)))).alias("key")).select("fp", "key.positions", "key.bytes")
-
-    a, b = postings.alias("a"), postings.alias("b")
-    differing = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
-    shared: list[Column] = [F.shiftrightunsigned(differing, 8 * p).bitwiseAND(F.lit(0xFF)) == 0 for p in range(BYTES)]
-    tally = reduce(lambda x, y: x + y, (s.cast("int") for s in shared))
-    # A pair meets under every choice of its shared positions; the first such choice reports it.
-    first = F.coalesce(*(F.when(reduce(lambda x, y: x & y, (shared[p] for p in c)), F.lit(n))
-                         for n, c in enumerate(choices)))
+        for n, c in enumerate(_positions(distance))))).alias("key")).select("fp", "key.positions", "key.bytes")
+    # Most postings hold one fingerprint; only the others are joined.
+    met = settle(postings, "postings")
+    shared = met.groupBy("positions", "bytes").count().where("count > 1").drop("count")
+    some = settle(met.join(shared, ["positions", "bytes"], "left_semi"), "shared-postings")
+    a, b = some.alias("a"), some.alias("b")
     return (a.join(b, (F.col("a.positions") == F.col("b.positions")) & (F.col("a.bytes") == F.col("b.bytes"))
-                   & (F.col("a.fp") < F.col("b.fp")) & (tally >= BYTES - distance)
-                   & (F.bit_count(differing) <= distance) & (first == F.col("a.positions")))
-            .select(F.col("a.fp").alias("src"), F.col("b.fp").alias("dst")))
+                   & (F.col("a.fp") < F.col("b.fp")))
+            .groupBy(F.col("a.fp").alias("src"), F.col("b.fp").alias("dst")).agg(F.count("*").alias("tally")))
 
 
 def simhash_components(docs: DataFrame, width: int = 3, distance: int = 2, text: str = "text",
@@ -95,113 +106,36 @@ def simhash_components(docs: DataFrame, width: int = 3, distance: int = 2, text:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-# -- Similar texts --------------------------------------------------------------------
-#
-# Two of 64 bits are far too strict for a similarity of sets of shingles: at 0.8 about one bit in seven
-# differs. Here the least hashes of the set only make candidates, and the sets themselves are compared.
-
-#: Shared shingles of all distinct ones, from which two texts are similar.
-SIMILAR = (4, 5)
-#: Groups of least hashes, and hashes in a group. Two texts agree in each hash as often as they are similar, so of
-#: pairs at 0.8 all but one in 13,000 agree in a whole group, of pairs at 0.9 all but one in 10^9.
-BANDS, ROWS = 24, 5
-#: Members of a posting up to which all its pairs are compared.
-ALL_PAIRS = 16
-_MIX = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * ROWS, 1), np.uint64)
-_SETS = StructType([StructField("doc_id", LongType()), StructField("body", LongType()), StructField("digest", BinaryType()),
-                    StructField("n", LongType()), StructField("bands", ArrayType(LongType())),
-                    StructField("shingles", ArrayType(LongType()))])
-
-
-def shingle_set(text: bytes, width: int = 5) -> np.ndarray:
-    """Sorted hashes of the distinct shingles; a text of fewer words is one shingle, one without words none."""
-    from xxhash import xxh64_intdigest
+# -- One document of each group --------------------------------------------------------
 
-    words = text.lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    return np.array(sorted({xxh64_intdigest(b" ".join(words[i:i + width]), SEED)
-                            for i in range(max(1, len(words) - width + 1))}), np.uint64)
+_BODIED = StructType([StructField("doc_id", LongType()), StructField("body", LongType()), StructField("fp", LongType())])
 
 
-def bands(shingles: np.ndarray) -> np.ndarray:
-    """A key per group of least hashes."""
-    least = np.full(BANDS * ROWS, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    for at in range(0, len(shingles), 1 << 12):
-        mixed = (shingles[None, at:at + (1 << 12)] ^ _MIX[0]) * (_MIX[1] | np.uint64(1))
-        least = np.minimum(least, mixed.min(axis=1))
-    keys = np.arange(BANDS, dtype=np.uint64)
-    for part in least.reshape(BANDS, ROWS).T:
-        keys = (keys ^ part) * np.uint64(0xD6E8FEB86659FD93)
-        keys ^= keys >> np.uint64(32)
-    return keys.view(np.int64)
+def one_of_each(docs: DataFrame, width: int = 3, distance: int = 2, text: str = "text", id: str = "doc_id") -> DataFrame:
+    """`docs` without near copies: of each component of linked fingerprints the row of the smallest id stays.
 
+    Null ids come last. Rows that share an id are told apart by a hash of their text; of rows alike in id and text one
+    stays. All columns of `docs` are returned.
+    """
+    here, of, of_body = (unused(docs, c) for c in ("here", "of", "of_body"))
 
-def _sets(docs: DataFrame, width: int, text: str, id: str) -> DataFrame:
     def kernel(ids: list, bodies: list, texts: list) -> list:
-        from xxhash import xxh3_128_digest
-
-        sets = [shingle_set((t or "").encode(), width) for t in texts]
-        return [ids, bodies, [xxh3_128_digest(x.tobytes()) for x in sets], [len(x) for x in sets],
-                [bands(x) for x in sets], [x.view(np.int64) for x in sets]]
-    return map_texts(docs.withColumn("__body", _body(text)), kernel, _SETS, text, (id, "__body"))
-
-
-def _body(text: str) -> Column:
-    """A hash of the text: with the id, it tells rows apart that share the id."""
-    return F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
+        return [ids, bodies, np.array([fingerprint((t or "").encode(), width) for t in texts], np.uint64).view(np.int64)]
 
-
-def _candidates(nodes: DataFrame) -> DataFrame:
-    """(src, dst): pairs of nodes (node, n, bands) that share a band, and whose sizes allow for the similarity.
-
-    A large posting links each of its members to its first and its last one, never every pair: what it
-    gives grows with its size. Members are joined to the two, and the skew join may split a large posting.
-    """
-    postings = nodes.select(F.struct("node", "n").alias("of"), F.explode("bands").alias("posting"))
-    ends = postings.groupBy("posting").agg(F.min("of").alias("low"), F.max("of").alias("high"), F.count("*").alias("members"))
-    met = settle(postings.join(ends.where("low.node < high.node"), "posting"), "postings")
-    some = (met.where(F.col("members") <= ALL_PAIRS).groupBy("posting").agg(F.collect_list("of").alias("every"))
-            .select("every", F.explode("every").alias("a")).select("a", F.explode("every").alias("b")))
-    ended = met.where(F.col("members") > ALL_PAIRS).select(F.col("of").alias("a"), F.explode(F.array("low", "high")).alias("b"))
-    part, whole = SIMILAR
-    return (some.where("a.node < b.node").unionByName(ended.where("a.node <> b.node"))
-            .where(whole * F.least("a.n", "b.n") >= part * F.greatest("a.n", "b.n"))
-            .select(F.least("a.node", "b.node").alias("src"), F.greatest("a.node", "b.node").alias("dst")).distinct())
-
-
-def _similar(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(src, dst): candidate pairs of `nodes` whose shingles, as `sets` (node, shingles) has them, are similar."""
-    pairs = settle(_candidates(nodes), "pairs")
-    asked = settle(pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct(), "asked")
-    held = settle(sets.join(small(asked), "node"), "sets")
-    a, b = (held.select(F.col("node").alias(end), F.col("shingles").alias(name)) for end, name in (("src", "a"), ("dst", "b")))
-    shared, (part, whole) = F.size(F.array_intersect("a", "b")), SIMILAR
-    return (pairs.join(a, "src").join(b, "dst")
-            .where((part + whole) * shared >= part * (F.size("a") + F.size("b"))).select("src", "dst"))
-
-
-def one_of_each(docs: DataFrame, width: int = 5, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """`docs` without near copies: of each group of similar texts the row of the smallest id stays.
-
-    Null ids come last. Of rows alike in id and text one stays. All columns of `docs` are returned.
-    """
-    prints = settle(_sets(docs, width, text, id).withColumn("row", F.monotonically_increasing_id()), "shingle-sets")
-    nodes = settle(prints.groupBy("digest").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "body")).alias("stays"), F.min("row").alias("node"),
-        F.first("n").alias("n"), F.first("bands").alias("bands")), "nodes")
-    roots = components(_similar(nodes, prints.select(F.col("row").alias("node"), "shingles")))
-    rooted = settle(nodes.select("node", "stays").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
+    prints = settle(map_texts(docs.withColumn(here, body_hash(text)), kernel, _BODIED, text, (id, here)), "fingerprints")
+    keys = prints.groupBy("doc_id", "body").agg(F.first("fp").alias("fp"), F.count("*").alias("times"))
+    least = settle(prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "body")).alias("stays")), "least")
+    roots = components(links(least, distance))
+    rooted = least.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     stays = rooted.groupBy("root").agg(F.min("stays").alias("stays")).select("stays.doc_id", "stays.body")
-    keys = prints.groupBy("doc_id", "body").count()
     marked = stays.withColumn("stays", F.lit(True)).alias("s")
     same = F.col("k.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("k.body") == F.col("s.body"))
     fate = settle(keys.alias("k").join(marked, same, "left").select(
-        F.col("k.doc_id").alias("__id"), F.col("k.body").alias("__body"), F.col("stays").isNotNull().alias("__stays"),
-        F.col("count").alias("__times")).where("not __stays or __times > 1"), "fates")
-    bodied = docs.withColumn("__here", _body(text))
-    met = F.col(f"`{id}`").eqNullSafe(F.col("__id")) & (F.col("__here") == F.col("__body"))
-    kept = bodied.join(small(fate.select("__id", "__body")), met, "left_anti").drop("__here")
-    repeated = fate.where("__stays").select("__id", "__body")
-    again = bodied.join(small(repeated), met, "left_semi").dropDuplicates([id, "__here"]).drop("__here")
+        F.col("k.doc_id").alias(of), F.col("k.body").alias(of_body), F.col("stays").isNotNull().alias("stays"),
+        F.col("times")).where("not stays or times > 1"), "fates")
+    bodied = docs.withColumn(here, body_hash(text))
+    met = F.col(f"`{id}`").eqNullSafe(F.col(of)) & (F.col(here) == F.col(of_body))
+    kept = bodied.join(small(fate.select(of, of_body)), met, "left_anti").drop(here)
+    repeated = fate.where("stays").select(of, of_body)
+    again = bodied.join(small(repeated), met, "left_semi").dropDuplicates([id, here]).drop(here)
     return kept.unionByName(again) if not repeated.isEmpty() else kept

@@ -10,7 +10,8 @@ def table(spark):
         df = spark.createDataFrame([(i, t, None if i == 3 else "en", None, len(t or "")) for i, t in rows], SCHEMA)
         if extra:
             for name in ("score", "fp", "piece", "key", "tie", "size", "doc", "at", "kind", "spans", "stratum",
-                         "start", "tokens", "seeds", "node", "quality", "count", "packed"):
+                         "start", "tokens", "seeds", "node", "quality", "count", "packed", "__here", "__body", "__held", "here", "body", "held",
+                         "of", "of_body", "stays", "times", "tally", "src", "dst"):
                 df = df.selectExpr("*", f"'x' as {name}")
         return df
     return make

@@ -71,18 +71,41 @@ def test_components_of_paths_and_stars(spark):
     assert components(spark.createDataFrame([], "src long, dst long")).collect() == []
 
 
+def test_count_rejects_pairs_that_share_too_few_bytes(spark):
+    """Pairs of 5 shared bytes meet in one posting and are rejected by their tally; those of 6 meet in six."""
+    rnd = random.Random(7)
+    rows, shared = [], {}
+    for i in range(60):
+        p = rnd.getrandbits(64)
+        q = p ^ sum(rnd.randint(1, 255) << 8 * b for b in rnd.sample(range(8), 1 + i % 4))
+        rows += [p, q]
+        p, q = (x - (x >> 63 << 64) for x in (p, q))
+        shared[min(p, q), max(p, q)] = 8 - (1 + i % 4)
+    signed = spark.createDataFrame([(p - (p >> 63 << 64),) for p in rows], "fp long")
+    got = {(r["src"], r["dst"]): r["tally"] for r in s.tallies(signed, 2).collect()}
+    assert got == {pair: {5: 1, 6: 6, 7: 21}[n] for pair, n in shared.items() if n >= 5}
+    assert s.guaranteed(2) == 6 and any(n < s.guaranteed(2) for n in got.values())
+
+
 def test_one_of_each_group_stays(table):
+    """Against components of the fingerprints: of each the smallest id stays, null ids last."""
     rnd = random.Random(9)
-    rows, near = [], {}
-    for i in range(30):
-        words = [f"{rnd.choice('abcdefg')}{rnd.randint(0, 9999)}" for _ in range(200)]
+    rows = []
+    for i in range(40):
+        words = [f"{rnd.choice('abcdefg')}{rnd.randint(0, 9999)}" for _ in range(rnd.choice((5, 400)))]
         rows.append((i, " ".join(words)))
         for copy in (1, 2):
-            changed = list(words)
-            changed[rnd.randrange(200)] = "changed"
-            near[1000 * copy + i] = " ".join(changed)
-    rows += list(near.items()) + [(5000 + i, rows[3][1]) for i in range(20)] + [(4, rows[4][1]), (6000, None), (6001, "")]
-    kept = s.one_of_each(table(rows))
-    assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
-    assert sorted(r["doc_id"] for r in kept.collect()) == [*range(30), 6000]
+            changed = words[:-copy]
+            rows.append((1000 * copy + i, " ".join(changed)))
+    rows += [(5000 + i, rows[3][1]) for i in range(20)] + [(0, rows[0][1]), (6000, None), (6001, ""), (7, "another text of this id")]
+    rows += [(None, "no id one"), (None, "no id one"), (None, "no id two"), (None, rows[0][1])]
+    prints = {r: brute_print(r[1]) for r in rows}
+    roots = brute_components(set(prints.values()))
+    want = {}
+    for r, p in prints.items():
+        want[roots[p]] = min(want.get(roots[p], r), r, key=lambda x: (x[0] is None, x[0] or 0))
+    kept = s.one_of_each(table(rows, extra=True))
+    assert kept.columns == table([], extra=True).columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted(want.values(), key=repr)
+    assert len(want) < 100
     assert s.one_of_each(table([])).collect() == []

@@ -3,14 +3,15 @@
 A seed is the hash of the tokens that a fixed mask selects from a short stretch; the positions it leaves
 out may differ. Seeds of the benchmark and of the documents are joined, and around every hit the two
 texts are compared token by token without gaps: an overlap is a stretch of `WINDOW` tokens (or the whole
-of a shorter item) with at most a fifth of them substituted.
+of a shorter item) with at most a fifth of them substituted, an item of `SHORTEST` to `LEAST` - 1 tokens as it is:
+of these, all tokens are the seed.
 
 Documents read a bit map of the benchmark's seeds, of a fixed size whatever the benchmark, to leave out
 positions that cannot join. What passes goes on as regions: runs of hits with their surroundings, as
 hashes of tokens. Texts are read once and never shuffled.
 
-Defined results: a null text has no tokens; an item of fewer than `LEAST` tokens is too short to tell and
-matches nothing; rows alike in doc_id and text share a result; null ids are compared like any other; other
+Defined results: a null text has no tokens; an item of fewer than `SHORTEST` tokens is too short to
+tell and matches nothing; rows alike in doc_id and text share a result; null ids are compared like any other; other
 columns of either table are not looked at; an empty benchmark or table contaminates nothing.
 """
 
@@ -21,11 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from ladle.llm.mapping import map_texts
+from ladle.llm.mapping import body_hash, map_texts, unused
 from ladle.operators.sizing import small
 from ladle.session import settle
 
@@ -34,7 +35,11 @@ from ladle.session import settle
 MASKS = ("11011001", "11000111", "10111010", "00111011")
 SPAN = len(MASKS[0])
 LEAST = SPAN
+#: Shorter items match only as a whole and without substitutions; still shorter ones are common phrases.
+SHORTEST = 4
 WINDOW = 16
+#: Tokens compared at once when a hit is verified, of either side.
+TILE = 1024
 #: Substituted tokens allowed in an overlap, as one of so many.
 ONE_IN = 5
 #: Bits of the map that documents are filtered with.
@@ -86,6 +91,16 @@ def seeds(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
+def whole_seeds(hashes: np.ndarray, length: int) -> np.ndarray:
+    """Seeds of all stretches of `length` tokens, none left out, for items that are no longer."""
+    n = max(0, len(hashes) - length + 1)
+    seed = np.full(n, 0xA24BAED4963EE407 * length & 0xFFFFFFFFFFFFFFFF, np.uint64)
+    for at in range(length if n else 0):
+        seed = (seed ^ hashes[at:at + n]) * np.uint64(0xD6E8FEB86659FD93)
+        seed ^= seed >> np.uint64(32)
+    return seed
+
+
 _ITEMS = StructType([StructField("item_id", LongType()), StructField("tokens", BinaryType()),
                      StructField("seeds", ArrayType(LongType()))])
 _REGIONS = StructType([StructField("doc_id", LongType()), StructField("body", LongType()), StructField("start", LongType()),
@@ -96,7 +111,7 @@ def _items(benchmark: DataFrame, text: str) -> DataFrame:
     def kernel(ids: list, texts: list) -> list:
         every = [token_hashes(t or "") for t in texts]
         return [ids, [h.astype(np.uint32).tobytes() for h in every],
-                [np.unique(seeds(h)).view(np.int64) for h in every]]
+                [np.unique(whole_seeds(h, len(h)) if SHORTEST <= len(h) < LEAST else seeds(h)).view(np.int64) for h in every]]
     return map_texts(benchmark, kernel, _ITEMS, text, ("item_id",))
 
 
@@ -113,12 +128,19 @@ def _filter(items: DataFrame) -> np.ndarray:
 
 def _regions(docs: DataFrame, items: DataFrame, text: str) -> DataFrame:
     packed = docs.sparkSession.sparkContext.broadcast(_filter(items))
+    size = F.octet_length("tokens") / 4
+    # Lengths of short items, at most LEAST - SHORTEST of them.
+    lengths = sorted(int(r[0]) for r in items.where((size >= SHORTEST) & (size < LEAST)).select(size).distinct().collect())
 
     def kernel(ids: list, bodies: list, texts: list) -> list:
         bits, rows = packed.value, []
         for doc, body, t in zip(ids, bodies, texts, strict=True):
             hashes = token_hashes(t or "")
             every = seeds(hashes)
+            if lengths and len(hashes) >= lengths[0]:
+                n = len(hashes) - lengths[0] + 1
+                every = np.concatenate([np.pad(every, ((0, 0), (0, n - every.shape[1]))), np.stack(
+                    [np.pad(w, (0, n - len(w))) for w in (whole_seeds(hashes, m) for m in lengths)])])
             place = (every & np.uint64(FILTER_BITS - 1)).astype(np.int64)
             hit = (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1
             at = np.flatnonzero(hit.any(axis=0))
@@ -131,45 +153,71 @@ def _regions(docs: DataFrame, items: DataFrame, text: str) -> DataFrame:
                              np.unique(every[:, run][hit[:, run] == 1]).view(np.int64)))
         return list(zip(*rows, strict=True)) or [[]] * 5
 
-    return map_texts(docs.withColumn("__body", _body(text)), kernel, _REGIONS, text, ("doc_id", "__body"))
-
-
-def _body(text: str) -> Column:
-    """A hash of the text: with the id, it tells rows apart that share the id."""
-    return F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
+    here = unused(docs, "here")
+    return map_texts(docs.withColumn(here, body_hash(text)), kernel, _REGIONS, text, ("doc_id", here))
 
 
 def overlaps(doc: np.ndarray, item: np.ndarray) -> list[tuple[int, int]]:
-    """Stretches of `doc` (tokens, end exclusive) that match `item` without gaps, merged."""
+    """Stretches of `doc` (tokens, end exclusive) that match `item` without gaps, merged.
+
+    Both are cut into tiles that overlap by all but one of an overlap's tokens. A tile in which few tokens are equal is
+    looked at by the diagonals on which they lie, one full of repeats as a whole, so memory is that of one tile and time
+    at most that of comparing every token of the one with every token of the other.
+    """
     size = min(WINDOW, len(item))
-    if size < LEAST or len(doc) < size:
+    if size < SHORTEST or len(doc) < size:
         return []
-    allowed = size // ONE_IN
-    found: list[tuple[int, int]] = []
+    allowed = size // ONE_IN if size >= LEAST else 0
+    covered = np.zeros(len(doc) + 2, bool)  # with a place before the first token and one after the last
+    for i in range(0, len(item) - size + 1, TILE):
+        part = item[i:i + TILE + size - 1]
+        for d in range(0, len(doc) - size + 1, TILE):
+            beside = doc[d:d + TILE + size - 1]
+            covered[d + 1:d + 1 + len(beside)] |= _tile(beside, part, size, size - allowed)
+    edge = np.flatnonzero(covered[1:] != covered[:-1])
+    return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
+
+
+def _tile(doc: np.ndarray, item: np.ndarray, size: int, least: int) -> np.ndarray:
+    """Tokens of `doc` in windows of `size` tokens that agree with the item's in `least` or more.
+
+    Substituted tokens at the ends of a window are not part of it.
+    """
+    covered = np.zeros(len(doc), bool)
     order = np.argsort(item, kind="stable")
-    low, high = np.searchsorted(item[order], doc, "left"), np.searchsorted(item[order], doc, "right")
-    same = high - low
-    at = np.repeat(np.arange(len(doc)), same)
-    nth = np.arange(len(at)) - np.repeat(np.cumsum(same) - same, same)
-    diagonals, counts = np.unique(at - order[np.repeat(low, same) + nth], return_counts=True)
-    for d in diagonals[counts >= size - allowed].tolist():
-        begin, end = max(0, d), min(len(doc), d + len(item))
-        if end - begin < size:
+    held = item[order]
+    low = np.searchsorted(held, doc, "left")
+    same = np.searchsorted(held, doc, "right") - low
+    if same.sum() <= 16 * TILE:
+        at = np.repeat(np.arange(len(doc)), same)
+        nth = np.arange(len(at)) - np.repeat(np.cumsum(same) - same, same)
+        lines, counts = np.unique(at - order[np.repeat(low, same) + nth], return_counts=True)
+        lines = lines[counts >= least]
+    else:
+        lines = np.arange(1 - len(item), len(doc))
+    # Diagonals far from each other come first: they may cover all that those between them could.
+    apart = max(1, len(lines) // 64)
+    for first in range(apart if len(lines) else 0):
+        some = lines[first::apart]
+        before = np.concatenate([[0], np.cumsum(covered)])
+        begin, end = np.maximum(some, 0), np.minimum(some + len(item), len(doc))
+        some = some[before[end] - before[begin] < end - begin]
+        if not len(some):
             continue
-        same_token = doc[begin:end] == item[begin - d:end - d]
-        equal = np.concatenate([[0], np.cumsum(same_token)])
-        good = np.flatnonzero(equal[size:] - equal[:-size] >= size - allowed)
-        # Substituted tokens at the ends of an overlap are not part of it.
-        at = np.flatnonzero(same_token)
-        found += zip((at[np.searchsorted(at, good)] + begin).tolist(),
-                     (at[np.searchsorted(at, good + size) - 1] + begin + 1).tolist(), strict=True)
-    merged: list[tuple[int, int]] = []
-    for a, b in sorted(found):
-        if merged and a <= merged[-1][1]:
-            merged[-1] = merged[-1][0], max(b, merged[-1][1])
-        else:
-            merged.append((a, b))
-    return merged
+        # Row n is a diagonal; column j compares the item's token j with the one that stands beside it.
+        place = some[:, None] + np.arange(len(item))
+        inside = (place >= 0) & (place < len(doc))
+        equal = inside & (doc[np.where(inside, place, 0)] == item)
+        sums = np.zeros((len(some), len(item) + 1), np.int32)
+        np.cumsum(equal, axis=1, out=sums[:, 1:])
+        row, j = np.nonzero((sums[:, size:] - sums[:, :-size] >= least) & inside[:, :len(item) - size + 1] & inside[:, size - 1:])
+        begin, end = j.copy(), j + size
+        for _ in range(size - least):
+            begin += ~equal[row, begin]
+            end -= ~equal[row, end - 1]
+        steps = (np.bincount(some[row] + begin, minlength=len(doc) + 1) - np.bincount(some[row] + end, minlength=len(doc) + 1))
+        covered |= np.cumsum(steps[:-1]) > 0
+    return covered
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
@@ -206,7 +254,7 @@ def decontamination(docs: DataFrame, benchmark: DataFrame, text: str = "text") -
         F.count_distinct("item_id").alias("n_items"), F.sum(F.col("end") - F.col("start")).alias("overlap_tokens"),
         F.min("start").alias("first_token"))
     found = settle(found, "contaminated")
-    rows = docs.select("doc_id", _body(text).alias("__body"))
+    rows = docs.select("doc_id", body_hash(text).alias("__body"))
     return rows.join(found, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("__body") == F.col("__of_body")), "left").select(
         "doc_id", F.col("n_items").isNotNull().alias("contaminated"),
         F.coalesce("n_items", F.lit(0)).alias("n_items"),
@@ -216,13 +264,10 @@ def decontamination(docs: DataFrame, benchmark: DataFrame, text: str = "text") -
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows of `docs` without an overlap with the benchmark; all columns stay.
 
-    Rows that share an id are told apart by their text, except that all rows with a null id go with one of them.
+    Rows that share an id, or have none, are told apart by their text.
     """
-    def told(body: Column, id: Column) -> Column:
-        return F.when(id.isNotNull(), body).otherwise(F.lit(0))
-
+    here, of, of_body = (unused(docs, c) for c in ("here", "of", "of_body"))
     found = settle(_found(docs, benchmark, text).select(
-        F.col("doc_id").alias("__of"), told(F.col("body"), F.col("doc_id")).alias("__of_body")).distinct(), "contaminated")
-    bodied = docs.withColumn("__here", told(_body(text), F.col("doc_id")))
-    met = F.col("doc_id").eqNullSafe(F.col("__of")) & (F.col("__here") == F.col("__of_body"))
-    return bodied.join(small(found), met, "left_anti").drop("__here")
+        F.col("doc_id").alias(of), F.col("body").alias(of_body)).distinct(), "contaminated")
+    met = F.col("doc_id").eqNullSafe(F.col(of)) & (F.col(here) == F.col(of_body))
+    return docs.withColumn(here, body_hash(text)).join(small(found), met, "left_anti").drop(here)

@@ -6,7 +6,8 @@ score of a document is the length-weighted mean of its marginals, calibrated on
 
 The labels of the tables mark documents, so in training each line has its document's label. The field
 is fitted on the driver, on a bounded sample of labelled documents: the `SAMPLE` first by hash, and of
-each at most `SAMPLE_LINES` lines, as numbers computed on the executors. Scoring reads whole texts.
+each at most `SAMPLE_LINES` lines side by side, at a place that hashes of the id choose, as numbers computed
+on the executors. Calibration and scoring read whole texts.
 
 Defined results: a null text is an empty one; an empty text is one empty line and scores like any other;
 repeated rows are answered one by one; labels that are null, or that name no document, teach nothing;
@@ -17,6 +18,7 @@ table gives an empty result.
 from __future__ import annotations
 
 import re
+import zlib
 from typing import NamedTuple
 
 import numpy as np
@@ -25,7 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DoubleType, IntegerType, LongType, StructField,
                                StructType)
 
-from ladle.llm.mapping import map_texts, sliced
+from ladle.llm.mapping import map_texts, sliced, unused
+from ladle.session import settle
 
 #: Labelled documents, and lines of each, that training reads at most.
 SAMPLE, SAMPLE_LINES = 4000, 128
@@ -148,8 +151,14 @@ def fit(documents: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = 80, r
         second = 0.999 * second + 0.001 * slope * slope
         theta = theta + 0.15 * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-9)
     mean = np.bincount(chain, expected(theta)[0] * length) / np.bincount(chain, length)
+    return calibrated(Field(theta[:-1], float(theta[-1])), mean, label)
+
+
+def calibrated(field: Field, mean: np.ndarray, label: np.ndarray) -> Field:
+    """The field with slope and shift fitted to documents' mean marginals and labels."""
     mean = np.clip(mean, 1e-6, 1 - 1e-6)
-    return Field(theta[:-1], float(theta[-1]), *_calibrated(np.log(mean / (1 - mean)), label))
+    slope, shift = _calibrated(np.log(mean / (1 - mean)), label)
+    return field._replace(slope=slope, shift=shift)
 
 
 def _expected(unary: np.ndarray, stay: float, real: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -184,6 +193,7 @@ def _calibrated(x: np.ndarray, label: np.ndarray, rounds: int = 50) -> tuple[flo
 
 _SAMPLED = StructType([StructField("doc_id", LongType()), StructField("quality", IntegerType()),
                        StructField("features", BinaryType()), StructField("lengths", ArrayType(DoubleType()))])
+_MEANS = StructType([StructField("doc_id", LongType()), StructField("quality", IntegerType()), StructField("mean", DoubleType())])
 _SCORES = StructType([StructField("doc_id", LongType()), StructField("held_out", BooleanType()),
                       StructField("score", DoubleType()), StructField("predicted", IntegerType())])
 
@@ -201,18 +211,31 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lines: int =
               .groupBy("doc_id").agg(F.min("quality").alias("quality"))
               .orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(sample))
     # `marked` has at most `sample` rows; of a repeated id, one text is read.
-    some = (docs.select("doc_id", F.col(f"`{text}`").cast("string").alias("text")).join(F.broadcast(marked), "doc_id")
-            .groupBy("doc_id", "quality").agg(F.min("text").alias("text")))
+    some = settle(docs.select("doc_id", F.col(f"`{text}`").cast("string").alias("text")).join(F.broadcast(marked), "doc_id")
+                  .groupBy("doc_id", "quality").agg(F.min("text").alias("text")), "labelled")
+
+    def block(doc_id: int, n: int) -> slice:
+        begin = zlib.crc32(str(doc_id).encode()) % max(1, n - lines + 1)
+        return slice(begin, begin + lines)
 
     def kernel(ids: list, quality: list, texts: list) -> list:
         found = [line_features(t or "") for t in texts]
-        return [ids, quality, [rows[:lines].astype(np.float32).tobytes() for rows, _ in found],
-                [lengths[:lines].tolist() for _, lengths in found]]
+        part = [block(i, len(lengths)) for i, (_, lengths) in zip(ids, found)]
+        return [ids, quality, [rows[p].astype(np.float32).tobytes() for p, (rows, _) in zip(part, found)],
+                [lengths[p].tolist() for p, (_, lengths) in zip(part, found)]]
 
     rows = map_texts(some, kernel, _SAMPLED, keep=("doc_id", "quality")).collect()
     rows.sort(key=lambda r: r["doc_id"])
-    return fit([(np.frombuffer(r["features"], np.float32).reshape(-1, WIDTH), np.array(r["lengths"]), r["quality"])
-                for r in rows])
+    field = fit([(np.frombuffer(r["features"], np.float32).reshape(-1, WIDTH), np.array(r["lengths"]), r["quality"])
+                 for r in rows])
+    if len({r["quality"] for r in rows}) < 2:
+        return field
+
+    def whole(ids: list, quality: list, texts: list) -> list:
+        return [ids, quality, [_quality(field, t or "") for t in texts]]
+
+    means = sorted(map_texts(some, whole, _MEANS, keep=("doc_id", "quality")).collect())
+    return calibrated(field, np.array([m["mean"] for m in means]), np.array([m["quality"] for m in means], float))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", **bounds: int) -> DataFrame:
@@ -223,7 +246,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", **bou
         scores = [score(field, t or "") for t in texts]
         return [ids, held, scores, [int(s >= 0.5) for s in scores]]
 
-    return map_texts(docs.withColumn("__held", held_out()), kernel, _SCORES, text, ("doc_id", "__held"))
+    held = unused(docs, "held")
+    return map_texts(docs.withColumn(held, held_out()), kernel, _SCORES, text, ("doc_id", held))
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, text: str = "text", **bounds: int) -> DataFrame:

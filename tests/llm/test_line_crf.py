@@ -52,3 +52,13 @@ def test_hard_rows_and_no_labels(table, spark):
     got = c.quality_scores(table(HARD), labels).collect()
     assert len(got) == len(HARD) and all(r["score"] == 0.5 for r in got)
     assert c.quality_scores(table([]), labels).collect() == []
+
+
+def test_late_lines_teach(table, spark):
+    """Bad documents that begin well: what follows the first lines is learnt from, and calibrated on."""
+    head = [f"A fine line number {j} of some words, here." for j in range(20)]
+    good = [(i, "\n".join(head + [f"A fine line number {i * 7 + j} of some words, here." for j in range(20)])) for i in range(0, 160, 2)]
+    bad = [(i, "\n".join(head + [f"BUY!! NOW!! {i * 3 + j}!! CHEAP!! CHEAP!!" for j in range(40)])) for i in range(1, 160, 2)]
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i, _ in good + bad], "doc_id long, quality int")
+    got = c.quality_scores(table(good + bad), labels, lines=8).collect()
+    assert sum(r["predicted"] == 1 - r["doc_id"] % 2 for r in got) > 0.95 * len(got)

@@ -19,8 +19,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar texts: five-word shingles, a similarity of 0.8."""
-    return simhash.one_of_each(docs, width=5)
+    """One document of each group of fingerprints over three-word shingles, linked at two differing bits or fewer."""
+    return simhash.one_of_each(docs, width=3, distance=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

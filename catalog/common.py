@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ladle.operators import select as s
 from ladle.operators.extract import Layout
-from ladle.operators.index import Index, build_index, open_index
+from ladle.operators.index import Index, build_index, open_index, place_index
 from ladle.operators.sizing import spread
 from ladle.operators.upsert import documents, upsert
 from ladle.session import scratch
@@ -66,6 +66,7 @@ def built_index(spark: SparkSession, sf_dir: str) -> tuple[Index, str]:
         base = scratch(spark, "catalog")
         upsert(recipes(spark, sf_dir).withColumn("version", F.lit(0)), f"{base}/documents")
         build_index(documents(spark, f"{base}/documents"), f"{base}/index")
+        place_index(spark, f"{base}/index")
         _BUILT[key] = (f"{base}/documents", f"{base}/index")
     docs, index = _BUILT[key]
     return open_index(spark, index), docs

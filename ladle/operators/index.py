@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ladle.functions.analysis import LIGHT_ENGLISH, Analyzer, bag_tokens, tokens
 from ladle.functions.values import index_name, matches_pattern
+from ladle.operators.placed import Placed, open_placed, place, unplace
 from ladle.operators.sizing import small
 from ladle.operators.upsert import bucket_count, has_table
 from ladle.session import settle
@@ -78,6 +79,8 @@ class Index:
     catalogue: DataFrame
     buckets: int
     sources: int
+    #: The same postings by document, if they were placed.
+    placed: Placed | None = None
 
     def names(self) -> DataFrame:
         """Index catalogue: one row per source, with all its documents, also those without a token."""
@@ -139,6 +142,7 @@ def _bucketed(rows: DataFrame, buckets: int) -> DataFrame:
 def _write_tables(spark: SparkSession, rows: DataFrame, path: str, buckets: int,
                   touched: DataFrame | None) -> None:
     everything = touched is None
+    unplace(spark, path)
     if not everything:
         # A filler row in every bucket of a touched source makes the dynamic overwrite
         # replace buckets that no longer hold any term.
@@ -186,9 +190,19 @@ def open_index(spark: SparkSession, path: str) -> Index:
         catalogue=spark.read.schema(_CATALOGUE).parquet(f"{path}/catalogue").where("documents > 0"),
         buckets=buckets or 1,
         sources=sources,
+        placed=open_placed(spark, path),
     )
 
 
+def place_index(spark: SparkSession, path: str, shards: int | None = None) -> Index:
+    """Place the postings of the index at `path` by document too; searches then use them."""
+    index = open_index(spark, path)
+    documents = index.catalogue.agg(F.coalesce(F.sum("documents"), F.lit(0))).first()[0]
+    place(index.postings.select("source", "field", "term", "_id", "tf", "dl"), path, documents, shards)
+    return open_index(spark, path)
+
+
+
 def ensure_index(recipes: DataFrame, path: str, recreate: bool = False, **options) -> Index:
     """Create the index; an existing one is kept unless `recreate`."""
     spark = recipes.sparkSession

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ladle.functions.analysis import LIGHT_ENGLISH, Analyzer, tokens
 from ladle.functions.values import index_name, matches_pattern
 from ladle.operators.index import ALL_INDEXES, Index, term_bucket
+from ladle.operators.placed import best
 from ladle.operators.sizing import BROADCAST_ROWS, fits, fits_broadcast, measure, small
 from ladle.operators.upsert import id_bucket, id_buckets
 from ladle.session import settle
@@ -24,6 +28,9 @@ FEW_TERMS = 100
 # A term with more postings than this in one source is split over several join partitions.
 HOT_POSTINGS = 1_000_000
 
+# Where postings are placed by document, up to this many terms of queries travel with the search.
+PLACED_TERMS = 100_000
+
 
 def query_terms(queries: DataFrame, analyzer: Analyzer = LIGHT_ENGLISH) -> DataFrame:
     """`query_id, term, qtf`; null and empty queries give no rows, repeats raise `qtf`."""
@@ -93,9 +100,7 @@ def scores(queries: DataFrame, index: Index, fields: dict[str, float] | None = N
            scope: str = "index", pattern: str = ALL_INDEXES,
            analyzer: Analyzer = LIGHT_ENGLISH) -> DataFrame:
     """`query_id, source, _id, score` of every matching document."""
-    boosts = fields or BOOSTS
-    if any(b < 0 for b in boosts.values()):
-        raise ValueError("a boost below 0 has no meaning")
+    boosts = _checked(fields)
     in_scope = matches_pattern(index_name(F.col("source")), pattern) & F.col("field").isin(*boosts)
     # Analysed once: what follows reads either a few rows that are at hand, or the written terms.
     terms = query_terms(queries, analyzer)
@@ -134,7 +139,9 @@ def search(queries: DataFrame, index: Index, fields: dict[str, float] | None = N
     # An id may be given to several texts: the text is part of what a query is known by.
     once = asked.groupBy("query").agg(F.min("query_id").alias("query_id")).select(
         "query", F.struct("query_id", F.xxhash64("query").alias("text")).alias("query_id"))
-    found = scores(once, index, fields, scope, pattern, analyzer)
+    found = _placed_hits(once, index, fields, k, scope, pattern, analyzer)
+    if found is None:
+        found = scores(once, index, fields, scope, pattern, analyzer)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "source", "_id")
     hits = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     copies = asked.join(small(once.withColumnRenamed("query_id", "_asked_as")), "query").drop("query")
@@ -143,6 +150,55 @@ def search(queries: DataFrame, index: Index, fields: dict[str, float] | None = N
         "query_id", "source", "_id", "score", "rank")
 
 
+def _placed_hits(queries: DataFrame, index: Index, fields: dict[str, float] | None, k: int, scope: str,
+                 pattern: str, analyzer: Analyzer) -> DataFrame | None:
+    """`query_id, source, _id, score`, among which are the best `k` of each query; None where postings are not placed
+    by document, or what the queries ask for is too much to send along."""
+    boosts = _checked(fields)
+    if index.placed is None:
+        return None
+    spark, counted = queries.sparkSession, query_terms(queries, analyzer)
+    rows = counted.limit(PLACED_TERMS + 1).collect()
+    terms = sorted({r["term"] for r in rows})
+    size = sum(64 + len(t.encode()) for t in terms)
+    # A term meets each source at most once per field: a proven bound on what is broadcast.
+    times = len(boosts) * (index.sources if scope != "global" else 1)
+    if len(rows) > PLACED_TERMS or not fits((len(terms), size), max(times, 1)):
+        return None
+    asked: dict = {}
+    for r in rows:
+        asked.setdefault(r["query_id"], {})[r["term"]] = r["qtf"]
+    numbers = spark.createDataFrame(list(enumerate(asked)), StructType([StructField("asked", LongType()), counted.schema["query_id"]]))
+    in_scope = matches_pattern(index_name(F.col("source")), pattern)
+    named = F.col("field").isin(*boosts)
+    if len(terms) <= FEW_TERMS:
+        named = named & F.col("term").isin(terms)
+    gains, key = _gains(spark, terms, index, boosts, scope, in_scope, named)
+    hits = best(index.placed, gains, key, list(asked.values()), boosts, k, K1, B, in_scope & named)
+    return hits.join(F.broadcast(numbers), "asked").select("query_id", "source", "_id", "score")
+
+
+def _gains(spark, terms: list[str], index: Index, boosts: dict[str, float], scope: str,
+           in_scope: Column, named: Column) -> tuple[DataFrame, list[str]]:
+    """What a term is worth in a field of a source (or of all): idf times the boost, and the average length."""
+    asked = F.broadcast(spark.createDataFrame([(t,) for t in terms], "term string").withColumn(
+        "bucket", term_bucket(F.col("term"), F.lit(index.buckets))))
+    key = ["field", "term"] if scope == "global" else ["source", "field", "term"]
+    stats = index.term_stats.where(in_scope & named).join(asked, ["bucket", "term"]).groupBy(key).agg(F.sum("df").alias("df"))
+    corpus = (index.corpus_stats.where(in_scope & F.col("field").isin(*boosts))
+              .groupBy(key[:-1]).agg(F.sum("n_docs").alias("n_docs"), (F.sum("total_len") / F.sum("n_docs")).alias("avgdl")))
+    boost = reduce(lambda c, f: c.when(F.col("field") == f, F.lit(float(boosts[f]))), boosts, F)
+    return stats.join(corpus, key[:-1]).select(
+        *key, (boost * (K1 + 1) * _idf(F.col("n_docs"), F.col("df"))).alias("gain"), "avgdl"), key
+
+
+def _checked(fields: dict[str, float] | None) -> dict[str, float]:
+    boosts = fields or BOOSTS
+    if any(b < 0 for b in boosts.values()):
+        raise ValueError("a boost below 0 has no meaning")
+    return boosts
+
+
 def _bounded_hits(hits: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """Broadcast hits when `k` rows for every query are few."""
     few = measure(queries.select("query_id"))[0] * k <= BROADCAST_ROWS // 10
@@ -153,6 +209,9 @@ def search_one(text: str, index: Index, k: int = TOP, **options) -> DataFrame:
     """One query string: best `k` documents, ordered."""
     spark = index.postings.sparkSession
     queries = spark.createDataFrame([(0, text)], "query_id int, query string")
+    if index.placed is not None:
+        return (search(queries, index, k=k, **options).select("source", "_id", "score")
+                .orderBy(F.col("score").desc(), "source", "_id"))
     return (scores(queries, index, **options).drop("query_id")
             .orderBy(F.col("score").desc(), "source", "_id").limit(k))
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ladle.functions.analysis import LIGHT_ENGLISH, Analyzer
 from ladle.operators.batching import batches
 from ladle.operators.extract import RECIPE_SITE, Layout, extract_range
-from ladle.operators.index import Index, ensure_index, open_index, refresh_index
+from ladle.operators.index import Index, ensure_index, open_index, place_index, refresh_index
 from ladle.operators.search import TOP, search, with_documents
 from ladle.operators.sizing import spread
 from ladle.operators.upsert import documents, has_table, outcome, upsert
@@ -45,8 +45,9 @@ def index_all(spark: SparkSession, landed: str, base: str, recreate: bool = Fals
         upsert(fresh, docs)
         if not has_table(spark, f"{index}/postings"):
             ensure_index(documents(spark, docs), index, analyzer=analyzer)
-            return report
-        refresh_index(documents(spark, docs), index, fresh.select("source").distinct(), analyzer)
+        else:
+            refresh_index(documents(spark, docs), index, fresh.select("source").distinct(), analyzer)
+    place_index(spark, index)
     return report
 
 

@@ -8,12 +8,17 @@ from catalog.common import (SQL_FIELDS, SQL_INDEX, SQL_RECIPES, bench_queries, b
                             sql_finish, sql_term, sql_tokens, table)
 from catalog.stems import sql_porter
 from ladle.functions.analysis import ANALYZERS, ENGLISH_STOP_WORDS, LIGHT_ENGLISH, Analyzer
+from ladle.operators import segments
+from ladle.operators.batching import batches
 from ladle.operators.index import field_tokens, index_view, posting_rows
 from ladle.operators.search import (no_results, query_terms, result_lines, scores, search,
                                     with_documents)
 from ladle.operators.sizing import spread
 from ladle.operators.upsert import docs_per_source, documents, latest, outcome, upsert
+from ladle.plans.jobs import index_new
+from ladle.schemas import RECIPE
 from ladle.session import scratch
+from ladle.sources.batches import write_batches
 
 
 def _versions(spark, sf_dir):
@@ -41,6 +46,42 @@ def upsert_table(spark, sf_dir):
     return documents(spark, path).select("source", "_id", "title")
 
 
+def index_incremental(spark, sf_dir):
+    """All documents with old titles, the labelled ones replaced, the toxic ones deleted, all merged: term statistics."""
+    first, second = _versions(spark, sf_dir)
+    path = scratch(spark, "segments")
+    segments.add(first, path)
+    segments.add(second, path)
+    toxic = table(spark, sf_dir, "labels").where("toxic = 1").select(F.col("doc_id").cast("string").alias("_id"))
+    segments.delete(first.join(toxic.distinct(), "_id", "left_semi"), path)
+    segments.merge(spark, path, everything=True)
+    return segments.open_segments(spark, path).term_stats.select("source", "field", "term", "df")
+
+
+def index_segments(spark, sf_dir):
+    """The same without the merge, by what searches read: postings of live documents."""
+    first, second = _versions(spark, sf_dir)
+    path = scratch(spark, "segments")
+    segments.add(first, path)
+    segments.add(second, path, merging=False)
+    return segments.open_segments(spark, path).postings.select("source", "field", "term", "_id", "tf", "dl")
+
+
+def landed_incremental(spark, sf_dir):
+    """Every document landed and loaded; then the labelled ones landed again with another title, and only those loaded."""
+    first, second = _versions(spark, sf_dir)
+    landed, base = scratch(spark, "landed"), scratch(spark, "loaded")
+    for version in (first, second):
+        recipe = F.struct(*(F.col(f) for f in RECIPE.fieldNames()))
+        results = version.select((F.col("_id").cast("bigint") + 1).cast("int").alias("id"), F.lit("u").alias("source"),
+                                 F.lit("success").alias("status"), F.lit(None).cast("string").alias("html"), recipe.alias("recipe"))
+        write_batches(batches(results), landed, "all-recipes")
+        report = index_new(spark, landed, base)
+    # Documents of the last load stand beside the table, so that a load that read too much shows.
+    loaded = report.agg(F.sum("documents")).first()[0]
+    return documents(spark, f"{base}/documents").select("source", "_id", "title", F.lit(loaded).cast("bigint").alias("last_load"))
+
+
 def index_catalogue(spark, sf_dir):
     index, _ = built_index(spark, sf_dir)
     return index.names()
@@ -182,6 +223,9 @@ QUERIES = {
     "upsert_last_wins": upsert_last_wins,
     "upsert_table": upsert_table,
     "index_catalogue": index_catalogue,
+    "index_incremental": index_incremental,
+    "index_segments": index_segments,
+    "landed_incremental": landed_incremental,
     "docs_per_index": docs_per_index,
     "bad_rows_report": bad_rows_report,
     "tokens": token_counts,
@@ -257,6 +301,18 @@ ORACLES = {
     "upsert_table": f"""with {SQL_RECIPES} select source, _id,
         case when l.doc_id is null then title else 'Again ' || title end as title
         from recipes left join (select distinct doc_id from labels) l on cast(l.doc_id as varchar) = _id""",
+    "index_incremental": f"""with documents as (select doc_id, source, case when doc_id in (select doc_id from labels)
+          then 'Again ' || text else text end as text from documents
+          where doc_id not in (select doc_id from labels where toxic = 1)), {SQL_INDEX}
+        select source, field, term, df from dfs""",
+    "index_segments": f"""with documents as (select doc_id, source, case when doc_id in (select doc_id from labels)
+          then 'Again ' || text else text end as text from documents), {SQL_INDEX}
+        select t.source, t.field, t.term, t._id, t.tf, l.dl from tf t
+        join dl l on l.source = t.source and l.field = t.field and l._id = t._id""",
+    "landed_incremental": f"""with {SQL_RECIPES}, l as (select distinct doc_id from labels)
+        select 'all-recipes' as source, _id, case when l.doc_id is null then title else 'Again ' || title end as title,
+          cast((select count(*) from documents join l using (doc_id)) as bigint) as last_load
+        from recipes left join l on cast(l.doc_id as varchar) = _id""",
     "index_catalogue": """select source, count(*) as documents, 'recipes-from-' || source as index_name
         from documents group by source""",
     "docs_per_index": """select source, count(*) as documents, 'recipes-from-' || source as index_name

@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ladle.functions.analysis import LIGHT_ENGLISH, Analyzer
+from ladle.operators import segments
 from ladle.operators.batching import batches
 from ladle.operators.extract import RECIPE_SITE, Layout, extract_range
 from ladle.operators.index import Index, ensure_index, open_index, place_index, refresh_index
 from ladle.operators.search import TOP, search, with_documents
 from ladle.operators.sizing import spread
-from ladle.operators.upsert import documents, has_table, outcome, upsert
+from ladle.operators.upsert import documents, has_table, latest, outcome, upsert
 from ladle.session import settle
 from ladle.sources.batches import (batch_results, parse_batches, quarantine, scan_text, successes,
                                    write_batches)
+from ladle.sources.ledger import new_files, record
 
 
 def extract_and_land(spark: SparkSession, start: int, end: int, pages: DataFrame, path: str,
@@ -51,6 +53,27 @@ def index_all(spark: SparkSession, landed: str, base: str, recreate: bool = Fals
     return report
 
 
+def index_new(spark: SparkSession, landed: str, base: str, analyzer: Analyzer = LIGHT_ENGLISH,
+              whole_files: bool = False) -> DataFrame:
+    """Files landed since the last call -> document table and segments below `base`; returns their outcome per source.
+
+    Only those files are read, and only a new segment is written. Of a document that comes again the later load wins.
+    A call that failed is made good by the next: its files are recorded last, and documents are replaced by id.
+    """
+    ledger = f"{base}/ledger"
+    files = settle(new_files(spark, landed, ledger), "new-files")
+    parsed = settle(parse_batches(scan_text(spark, landed, whole_files, files)), "parsed")
+    quarantine(parsed).write.mode("append").parquet(f"{base}/quarantine")
+    results = batch_results(parsed)
+    report = settle(outcome(results), "outcome")
+    fresh = settle(latest(successes(results)), "fresh")
+    if not fresh.isEmpty():
+        upsert(fresh, f"{base}/documents")
+        segments.add(fresh.drop("version"), f"{base}/segments", analyzer)
+    record(files, ledger)
+    return report
+
+
 def search_documents(spark: SparkSession, queries: DataFrame, base: str, k: int = TOP,
                      analyzer: Analyzer = LIGHT_ENGLISH, **options) -> DataFrame:
     """Queries -> ranked documents from the tables that `index_all` wrote."""

@@ -11,8 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ladle.functions.values import batch_key, index_name
+from ladle.operators.sizing import small
 from ladle.schemas import RESULT, STATUS_CODES
 
+#: Files that are named to a scan, at most.
+FEW_FILES = 10_000
+
 
 def write_batches(batches: DataFrame, path: str, source: str, clean: bool = False,
                   objects: bool = False) -> None:
@@ -44,14 +48,26 @@ def _below(path: str) -> Column:
     return F.get(F.split(plain, rf"/\Q{root}\E/", 2), F.lit(1))
 
 
-def scan_text(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
-    """`source, file, body` of every landed file below `path`, nested folders included.
+def _of_files(raw: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows of some files. Few are named to the scan, which opens no other; of many, those older than all are skipped."""
+    named = [r["path"] for r in files.select("path").limit(FEW_FILES + 1).collect()]
+    if len(named) <= FEW_FILES:
+        return raw.where(F.col("_metadata.file_path").isin(named))
+    since = files.agg(F.min("modified")).first()[0]
+    late = raw.where(F.col("_metadata.file_modification_time") >= F.lit(since))
+    return late.join(small(files.select("path")), F.col("_metadata.file_path") == F.col("path"), "left_semi")
+
+
+def scan_text(spark: SparkSession, path: str, whole_files: bool = False, files: DataFrame | None = None) -> DataFrame:
+    """`source, file, body` of every landed file below `path`, nested folders included, or of `files(path, modified)`.
 
     The source is the first folder, plain or as `source=...`; a file in the root has none and
     is ignored.
     """
     raw = (spark.read.schema("value string").option("recursiveFileLookup", "true")
                 .text(path, wholetext=whole_files))
+    if files is not None:
+        raw = _of_files(raw, files)
     folder = F.regexp_extract(_below(path), r"^([^/]+)/", 1)
     named = F.url_decode(F.replace(F.substr(folder, F.lit(len("source=") + 1)), F.lit("+"), F.lit("%2B")))
     source = F.when(folder.startswith("source="), named).otherwise(folder)

@@ -16,6 +16,7 @@ import hashlib
 import re
 from bisect import bisect_right
 from typing import NamedTuple
+from unicodedata import normalize
 
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -94,10 +95,14 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 # -- Transducer -----------------------------------------------------------------------
 
+# Compatibility forms of one ASCII letter or digit: full-width, circled, of the mathematical alphabets, raised and so on.
+# Latin-1 is left out, where raised digits and letters are ordinary writing.
+LOOKALIKES = {c: ord(plain) for c in range(0x100, 0x20000)
+              if len(plain := normalize("NFKC", chr(c))) == 1 and plain.isascii() and plain.isalnum()}
 # Look-alikes of ASCII characters, one to one: Cyrillic, Greek, dots and at signs.
-LOOKALIKES = str.maketrans(
-    "аАВеЕіІјЈкКмМНоОрРсСТуУхХѕЅԁԛԝ" "αΑΒΕΖΗΙΚΜΝοΟρΡΤυΥΧ" "。．｡․∙﹫＋‐‑‒–−",
-    "aABeEiIjJkKmMHoOpPcCTyYxXsSdqw" "aABEZHIKMNoOpPTuYX" ".....@+-----")
+LOOKALIKES |= str.maketrans(
+    "аАВеЕіІјЈкКмМНоОрРсСТуУхХѕЅԁԛԝ" "αΑΒΕΖΗΙΚΜΝοΟρΡΤυΥΧ" "ινγκτχωϲϳ" "。．｡․∙﹫＋‐‑‒–−",
+    "aABeEiIjJkKmMHoOpPcCTyYxXsSdqw" "aABEZHIKMNoOpPTuYX" "ivyktxwcj" ".....@+-----")
 # Full-width forms stand at a fixed distance from ASCII.
 LOOKALIKES.update({c + 0xFEE0: c for c in range(0x21, 0x7F)})
 # Decimal digits of other scripts, by the first code point of their ten.
@@ -119,7 +124,8 @@ DIGIT_WORDS = {
 _DOT = "dot|punkt|punto|point"
 _AT = "at|arroba|ät"
 _TOP = ("com|org|net|edu|gov|int|info|biz|io|dev|app|me|co|uk|us|eu|de|fr|es|it|ch|at|nl|be|pt|pl|se|dk|no|fi|ie|ca|au|"
-        "in|jp|cn|br|mx|ar|ru|test|example|invalid|local")
+        "in|jp|cn|br|mx|ar|ru|test|example|invalid|local|social|online|site|shop|store|xyz|tech|cloud|blog|ai|tv|cc|pro|name|"
+        "mobi|live|news|page|link|club|world|space|website|email|group|team|work|agency|digital|media|studio|design")
 _DIGIT = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 _NUMERAL = rf"(?:{_DIGIT}|plus|{_DOT}|[0-9]+)"
 #: Four digit words in a row, with what may stand between and around them.
@@ -132,8 +138,15 @@ _AT_SIGN = re.compile(
     rf"|(?<=\w)\s+(?:{_AT})\s+(?=[A-Za-z0-9-]+(?:\s*[\[({{<]\s*(?:{_DOT}|\.)\s*[\])}}>]\s*|&#46;)[A-Za-z0-9]"
     rf"|(?:[A-Za-z0-9-]+\s+(?:{_DOT})\s+)+(?:{_TOP})\b)",
     re.I)
+#: A usual top-level domain, in one case: a sentence that begins with `It` or `In` is none.
+_TOP_WORD = rf"(?-i:{_TOP}|{_TOP.upper()})\b"
+_BARE_DOT = rf"\s+(?:{_DOT}|\.)\s+"
 _DOT_SIGN = re.compile(
-    rf"\s*[\[({{<]\s*(?:{_DOT}|\.)\s*[\])}}>]\s*|&#46;|&period;|(?<=\w)\s+(?:{_DOT})\s+(?=\w)|(?<=\w)\s+\.\s+(?=\w)", re.I)
+    rf"\s*[\[({{<]\s*(?:{_DOT}|\.)\s*[\])}}>]\s*|&#46;|&period;"
+    # Bare ones count between digits, in a name before its at sign, and where a domain goes on to its end.
+    rf"|(?<=[0-9]){_BARE_DOT}(?=[0-9])"
+    rf"|(?<=\w){_BARE_DOT}(?=[\w%+-]+(?:(?:{_BARE_DOT}|\.)[\w%+-]+)*(?:\s*@|\s*[\[({{<]\s*(?:{_AT}|@)|\s+(?:{_AT})\s))"
+    rf"|(?<=\w){_BARE_DOT}(?=(?:[A-Za-z0-9-]+(?:{_BARE_DOT}|\.))*{_TOP_WORD})", re.I)
 
 _TRIGGER = re.compile(
     rf"[{re.escape(''.join(map(chr, LOOKALIKES)))}{INVISIBLE}]")
@@ -226,8 +239,11 @@ def plain_forms(text: str) -> list[list[Plain]]:
         signs += [(m.start(), m.end(), ".") for m in _DOT_SIGN.finditer(now)]
     chains = [chain + [_apply(now, signs)]] if signs else []
     if _DIGIT_WORD.search(now.lower()):
-        numbers = _numerals(now)
-        chains += [chain + [_apply(now, numbers)]] if numbers else []
+        # Numbers are read in the text as it stands, and again where signs have been put for words.
+        for before in [chain, *chains]:
+            read = before[-1].text if before else now
+            if numbers := _numerals(read):
+                chains.append(before + [_apply(read, numbers)])
     return chains or ([chain] if chain else [])
 
 

@@ -43,3 +43,25 @@ def test_partly_disguised_identifiers_are_found_whole(text, kind, part):
 def test_a_span_inside_another_adds_nothing():
     assert pii.find("a@b.cc and x (at) d.ee")[1] == [("email", 0, 6), ("email", 11, 22)]
     assert pii._held([(0, 6), (8, 12)], 9, 12) and not pii._held([(0, 6), (8, 12)], 5, 9)
+
+
+@pytest.mark.parametrize("text, redacted", [
+    ("mail jane@example.com . Thanks for all", "mail <EMAIL> . Thanks for all"),
+    ("see jane@example.com dot Next we go", "see <EMAIL> dot Next we go"),
+    ("to jane@example.com . It was late", "to <EMAIL> . It was late"),
+    ("at 10.0.0.1 . Then more", "at <IP> . Then more"),
+    ("write jane@mail . example . com today", "write <EMAIL> today"),
+    ("write jane dot doe at mail dot example dot com today", "write <EMAIL> today"),
+    ("write JANE AT EXAMPLE DOT COM today", "write <EMAIL> today"),
+    ("write jane at example dot social today", "write <EMAIL> today"),
+    ("host 192 dot 168 dot 1 dot 1 is up", "host <IP> is up")])
+def test_words_after_an_address_stay(text, redacted):
+    assert pii.redact(text) == redacted
+
+
+@pytest.mark.parametrize("text, kind", [
+    ("192 [dot] 168 [dot] one [dot] one", "ip"), ("jιm@example.com", "email"), ("+①② ③④⑤ ⑥⑦⑧ ⑨⓪", "phone"),
+    ("".join(chr(0x1D41A + ord(c) - 97) for c in "jane") + "@example.com", "email")])
+def test_signs_before_numerals_and_folded_letters(text, kind):
+    assert (kind, 3, 3 + len(text)) in pii.find(f"at {text}, so")[1]
+    assert pii.redact(f"at {text}, so") == f"at <{kind.upper()}>, so"

@@ -148,8 +148,9 @@ _DOT_SIGN = re.compile(
     rf"|(?<=\w){_BARE_DOT}(?=[\w%+-]+(?:(?:{_BARE_DOT}|\.)[\w%+-]+)*(?:\s*@|\s*[\[({{<]\s*(?:{_AT}|@)|\s+(?:{_AT})\s))"
     rf"|(?<=\w){_BARE_DOT}(?=(?:[A-Za-z0-9-]+(?:{_BARE_DOT}|\.))*{_TOP_WORD})", re.I)
 
-_TRIGGER = re.compile(
-    rf"[{re.escape(''.join(map(chr, LOOKALIKES)))}{INVISIBLE}]")
+_FOLDED = frozenset(map(chr, LOOKALIKES)) | frozenset(INVISIBLE)
+# Apart, because a class that reaches beyond the basic plane is searched entry by entry.
+_TRIGGER = re.compile(rf"[{re.escape(''.join(sorted(c for c in _FOLDED if c <= chr(0xFFFF))))}]|[\U00010000-\U0001FFFF]")
 #: Stands in every text that _AT_SIGN or _DOT_SIGN matches: a bare `at` needs one of these dots after it.
 _SIGN_HINT = re.compile(
     rf"[\[({{<]\s*(?:{_AT}|{_DOT}|@|\.)\s*[\])}}>]|&(?:#64|commat|#46|period);|%40|\s(?:{_DOT}|@|\.)\s", re.I)
@@ -181,9 +182,9 @@ class Plain(NamedTuple):
 def _rewrites(text: str) -> list[tuple[int, int, str]]:
     """Stretches of `text` to replace; none overlap."""
     found: list[tuple[int, int, str]] = []
-    if not text.isascii():
+    if not text.isascii() and not _FOLDED.isdisjoint(text):
         found += [(m.start(), m.end(), "" if m[0] in INVISIBLE else m[0].translate(LOOKALIKES))
-                  for m in _TRIGGER.finditer(text)]
+                  for m in _TRIGGER.finditer(text) if m[0] in _FOLDED]
     return found
 
 

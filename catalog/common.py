@@ -9,6 +9,7 @@ from ladle.operators import select as s
 from ladle.operators.extract import Layout
 from ladle.operators.index import Index, build_index, open_index, place_index
 from ladle.operators.sizing import spread
+from ladle.operators.tree import Wanted
 from ladle.operators.upsert import documents, upsert
 from ladle.session import scratch
 
@@ -23,6 +24,7 @@ GIVEN_LAYOUT = Layout(
     container=lambda n: s.select(n, s.is_tag("footer")),
     summary=lambda n: s.select(n, s.has_class("ad", "advert")),
     title_suffix=TITLE_SUFFIX,
+    wanted=Wanted(("nav", "a", "p", "article", "img", "footer"), ("ad", "advert"), attrs=("src",)),
 )
 
 

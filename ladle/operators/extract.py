@@ -12,7 +12,7 @@ from ladle.functions.urls import document_id, recipe_url, url_key
 from ladle.functions.values import (clean_title, collapse_space, keep_not_blank, retryable,
                                     trim_space)
 from ladle.operators import select as s
-from ladle.operators.tree import parse_pages
+from ladle.operators.tree import Wanted, parse_pages
 from ladle.schemas import RECIPE
 from ladle.sources.ids import id_range
 from ladle.sources.pages import of_keys, with_url_key
@@ -22,7 +22,11 @@ Finder = Callable[[Column], Column]
 
 @dataclass(frozen=True)
 class Layout:
-    """Where a site keeps its fields. Each finder maps the `nodes` array to matching nodes."""
+    """Where a site keeps its fields. Each finder maps the `nodes` array to matching nodes.
+
+    `wanted` lists the tags and classes that the finders name, so that no other element is passed on; without it
+    all are.
+    """
 
     ingredients: Finder
     steps: Finder
@@ -30,6 +34,7 @@ class Layout:
     container: Finder
     summary: Finder
     title_suffix: str = ""
+    wanted: Wanted | None = None
 
 
 # Class names of the two page layouts and the title suffix of the site.
@@ -43,6 +48,10 @@ RECIPE_SITE = Layout(
     container=lambda n: s.select(n, s.has_class("recipe-container", "recipe-container-outer")),
     summary=lambda n: s.select(n, s.has_class("recipe-summary")),
     title_suffix=" | Allrecipes",
+    wanted=Wanted(("noscript", "img"), (
+        "ingredients-item-name", "recipe-ingred_txt", "section-body", "instructions-section-item",
+        "recipe-directions__list--item", "image-slide", "recipe-container", "recipe-container-outer",
+        "recipe-summary"), attrs=("src",)),
 )
 
 
@@ -56,7 +65,9 @@ def extract_fields(pages: DataFrame, layout: Layout) -> DataFrame:
     """Raw fields of every page, beside all page columns but its markup."""
     keep = [c for c in pages.columns if c != "html"]
     nodes, text, html = F.col("nodes"), F.col("text"), F.col("html")
-    return parse_pages(pages).select(
+    # The title is read whatever the layout.
+    wanted = layout.wanted.with_tags("title") if layout.wanted else None
+    return parse_pages(pages, wanted).select(
         *keep,
         s.of_first(layout.container(nodes), lambda n: trim_space(s.inner_html(html, n))).alias("html"),
         clean_title(document_title(text, nodes), layout.title_suffix).alias("title"),

@@ -8,17 +8,20 @@ from pyspark.sql import functions as F
 from ladle.functions.urls import is_absolute, resolve, url_key
 from ladle.operators import select as s
 from ladle.operators.extract import newest_per_key
-from ladle.operators.tree import parse_pages
+from ladle.operators.tree import Wanted, parse_pages
+
+ANCHORS = Wanted(tags=("a",), attrs=("href",), text=False)
 
 
 def links(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), newest: bool = False) -> DataFrame:
     """One row per anchor: page columns, `pre`, `href`, absolute `link` and its `link_key`.
 
+    Nothing but anchors leaves the parser, so `pre` is the place among them.
     `newest` keeps only the latest stored page of each URL key.
     """
     anchors = s.select(F.col("nodes"), s.both(s.is_tag("a"), s.has_attr("href")))
     needed = [c for c in dict.fromkeys([*keep, "url", *(["page_id"] if newest else [])])]
-    per_page = parse_pages(pages.select(*needed, "html")).select(
+    per_page = parse_pages(pages.select(*needed, "html"), ANCHORS).select(
         *needed, F.transform(anchors, lambda n: F.struct(
             n["pre"].alias("pre"), n["attrs"]["href"].alias("href"))).alias("anchors"))
     if newest:

@@ -7,7 +7,10 @@ expression on the row. A page is parsed once and never leaves its partition.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -22,6 +25,39 @@ from ladle.session import ship_package
 _FLUSH_CHARS = 4_000_000
 
 
+@dataclass(frozen=True)
+class Wanted:
+    """The elements that a query's selectors name, by tag or by class; no others leave the parser.
+
+    What stays is numbered anew. An element is the child of its own parent only: where that one was not asked for,
+    no selector can name it, and `parent` is -1. So selectors give what they give on the whole tree, as long as
+    every tag and class in them is listed. `attrs` are the attributes kept beside (all by default); `class` always
+    reaches `classes`. Without `text` the page text is null and text ranges mean nothing.
+    """
+
+    tags: tuple[str, ...] = ()
+    classes: tuple[str, ...] = ()
+    attrs: tuple[str, ...] | None = None
+    text: bool = True
+
+    def with_tags(self, *tags: str) -> Wanted:
+        return Wanted((*self.tags, *tags), self.classes, self.attrs, self.text)
+
+
+def _project(page: Page, wanted: Wanted) -> Page:
+    """Leave the wanted elements of `page`, in time linear in the page but for one search per kept element."""
+    tags, classes = frozenset(wanted.tags), frozenset(wanted.classes)
+    kept = [i for i, tag in enumerate(page.tag)
+            if tag in tags or classes and not classes.isdisjoint(page.attrs[i].get("class", "").split())]
+    place = {node: i for i, node in enumerate(kept)}
+    page.parent = [place.get(page.parent[i], -1) for i in kept]
+    page.post = [bisect_right(kept, page.post[i]) - 1 for i in kept]
+    for name in ("tag", "attrs", "text_from", "text_to", "inner_from", "inner_to"):
+        values = getattr(page, name)
+        setattr(page, name, [values[i] for i in kept])
+    return page
+
+
 def _arrow_type(dt: T.DataType) -> pa.DataType:
     if isinstance(dt, T.ArrayType):
         return pa.list_(_arrow_type(dt.elementType))
@@ -42,10 +78,12 @@ def _offsets(lengths: Iterable[int]) -> pa.Array:
     return _ints(out)
 
 
-def _node_array(pages: list[Page]) -> pa.ListArray:
+def _node_array(pages: list[Page], named: tuple[str, ...] | None = None) -> pa.ListArray:
     flat = lambda name: [x for p in pages for x in getattr(p, name)]
     attrs = flat("attrs")
     classes = [list(dict.fromkeys(a["class"].split())) if a.get("class") else [] for a in attrs]
+    if named is not None:
+        attrs = [{k: a[k] for k in named if k in a} for a in attrs]
     columns = {
         "pre": _ints([i for p in pages for i in range(len(p.tag))]),
         "post": _ints(flat("post")),
@@ -67,7 +105,8 @@ def _node_array(pages: list[Page]) -> pa.ListArray:
     return pa.ListArray.from_arrays(_offsets(len(p.tag) for p in pages), nodes)
 
 
-def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parse_batches(batches: Iterator[pa.RecordBatch], wanted: Wanted | None = None) -> Iterator[pa.RecordBatch]:
+    named = wanted.attrs if wanted else None
     for batch in batches:
         at = batch.schema.get_field_index("html")
         start = 0
@@ -75,23 +114,25 @@ def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         chars = 0
         for i in range(batch.num_rows):
             markup = batch.column(at)[i].as_py() or ""
-            pages.append(Page(markup))
+            page = Page(markup)
+            pages.append(_project(page, wanted) if wanted else page)
             chars += len(markup)
             if chars >= _FLUSH_CHARS or i == batch.num_rows - 1:
                 part = batch.slice(start, len(pages))
+                texts = [p.text if wanted is None or wanted.text else None for p in pages]
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array([p.text for p in pages], pa.string()), _node_array(pages)],
+                    [*part.columns, pa.array(texts, pa.string()), _node_array(pages, named)],
                     names=[*part.schema.names, "text", "nodes"])
                 start, pages, chars = i + 1, [], 0
 
 
-def parse_pages(pages: DataFrame) -> DataFrame:
-    """Add `text` and `nodes` to every page; all other columns are kept."""
+def parse_pages(pages: DataFrame, wanted: Wanted | None = None) -> DataFrame:
+    """Add `text` and `nodes` to every page; all other columns are kept. `wanted` names the elements asked for."""
     ship_package(pages.sparkSession)
     schema = T.StructType([*pages.schema.fields,
                            T.StructField("text", T.StringType()),
                            T.StructField("nodes", T.ArrayType(NODE))])
-    return pages.mapInArrow(_parse_batches, schema)
+    return pages.mapInArrow(partial(_parse_batches, wanted=wanted), schema)
 
 
 def node_rows(trees: DataFrame, nodes: Column | None = None, keep: tuple[str, ...] = ("page_id",)) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from ladle.functions.values import batch_key, index_name
 from ladle.operators.sizing import small
 from ladle.schemas import RESULT, STATUS_CODES
+from ladle.sources.objects import write_objects
 
 #: Files that are named to a scan, at most.
 FEW_FILES = 10_000
@@ -22,19 +23,16 @@ def write_batches(batches: DataFrame, path: str, source: str, clean: bool = Fals
                   objects: bool = False) -> None:
     """Write batches below `path/source=<source>`, one JSON array per line.
 
-    `objects=True` gives every batch an object of its own, named by its key; the default packs
-    many batches into one file, because a folder per hundred records does not scale.
+    `objects=True` gives every batch an object of its own, `path/<source>/<key>.json`; the default packs
+    many batches into one file, because an object per hundred records does not scale.
     `clean` empties the whole target first; otherwise `objects` replaces batches of the same
     key, and packed files are added under the time of their landing: of a batch landed again,
     readers let the later landing win.
     """
-    rows = batches.withColumn("source", F.lit(source))
     if objects:
-        writer = rows.select("source", "batch_key", F.col("body").alias("value")).write
-        mode = "static" if clean else "dynamic"
-        (writer.mode("overwrite").option("partitionOverwriteMode", mode)
-               .partitionBy("source", "batch_key").text(path))
+        write_objects(batches, path, source, clean)
     else:
+        rows = batches.withColumn("source", F.lit(source))
         landed = F.lit(f"{time.time_ns():020d}")
         writer = rows.select("source", landed.alias("landed"), F.col("body").alias("value")).write
         writer = writer.option("partitionOverwriteMode", "static")

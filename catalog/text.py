@@ -7,17 +7,18 @@ from pyspark.sql import functions as F
 from catalog.common import (SQL_FIELDS, SQL_INDEX, SQL_RECIPES, bench_queries, built_index, recipes,
                             sql_finish, sql_term, sql_tokens, table)
 from catalog.stems import sql_porter
-from ladle.functions.analysis import ANALYZERS, ENGLISH_STOP_WORDS, LIGHT_ENGLISH, Analyzer
+from ladle.functions.analysis import ANALYZERS, LIGHT_ENGLISH, Analyzer
 from ladle.operators import segments
 from ladle.operators.batching import batches
 from ladle.operators.index import field_tokens, index_view, posting_rows
+from ladle.operators.roots import validated_analyzer, validated_roots
 from ladle.operators.search import (no_results, query_terms, result_lines, scores, search,
                                     with_documents)
 from ladle.operators.sizing import spread
 from ladle.operators.upsert import docs_per_source, documents, latest, outcome, upsert
 from ladle.plans.jobs import index_new
 from ladle.schemas import RECIPE
-from ladle.session import scratch
+from ladle.session import scratch, settle
 from ladle.sources.batches import write_batches
 
 
@@ -129,6 +130,12 @@ def english_terms(spark, sf_dir):
     return _term_counts(spark, sf_dir, ANALYZERS["english"])
 
 
+def validated_terms(spark, sf_dir):
+    """Term counts with roots that the corpus itself holds at least twice."""
+    found = field_tokens(spread(recipes(spark, sf_dir))).select(F.explode("tokens").alias("token"))
+    return _term_counts(spark, sf_dir, validated_analyzer(settle(validated_roots(found), "roots")))
+
+
 def analyzed_queries(spark, sf_dir):
     return query_terms(bench_queries(spark, sf_dir))
 
@@ -233,6 +240,7 @@ QUERIES = {
     "lowercase_first_terms": lowercase_first_terms,
     "stopword_terms": stopword_terms,
     "english_terms": english_terms,
+    "validated_terms": validated_terms,
     "analyzed_queries": analyzed_queries,
     "postings": postings,
     "doc_len": doc_len,
@@ -252,7 +260,9 @@ QUERIES = {
 
 # -- SQL ------------------------------------------------------------------------------
 
-_STOPS = ", ".join(f"'{w}'" for w in ENGLISH_STOP_WORDS)
+# The default English stop-word set of the search server, written out for the check.
+_STOPS = """'a', 'an', 'and', 'are', 'as', 'at', 'be', 'but', 'by', 'for', 'if', 'in', 'into', 'is', 'it', 'no', 'not',
+  'of', 'on', 'or', 'such', 'that', 'the', 'their', 'then', 'there', 'these', 'they', 'this', 'to', 'was', 'will', 'with'"""
 _TOKENS = f"""with {SQL_RECIPES}, {SQL_FIELDS},
   t as (select field, {sql_tokens('txt')} as token from fields)"""
 
@@ -331,6 +341,22 @@ ORACLES = {
           where lower(token) not in ({_STOPS})), {sql_porter('e')}
         select field, coalesce(stem, e.term) as term, count(*) as n from e left join stems on stems.term = e.term
         group by all""",
+    "validated_terms": f"""{_TOKENS}, v as (select token, count(*) as n from t
+          where regexp_full_match(token, '[a-z]{{3,}}') group by token),
+        e(rank, ending, put, kind) as (values (0, 'ies', 'y', 0), (1, 's', '', 0), (2, 'es', '', 0), (3, 'ied', 'y', 1),
+          (4, 'ed', 'e', 1), (5, 'ed', '', 1), (6, 'ing', 'e', 1), (7, 'ing', '', 1)),
+        c as (select token, rank, kind, left(token, length(token) - length(ending)) || put as root from v, e
+            where ends_with(token, ending) and not ends_with(token, 'us') and not ends_with(token, 'ss') and length(token) > 3
+          union all select token, 8 + d, 1, left(token, length(token) - length(x) - 1) from v, (values (0, 'ed'), (1, 'ing')) w(d, x)
+            where ends_with(token, x) and length(token) > length(x) + 1 and token[-length(x) - 1] = token[-length(x) - 2]
+              and token[-length(x) - 1] not in ('a', 'e', 'i', 'o', 'u', 'y')),
+        r as (select c.token, c.root, kind, row_number() over (partition by c.token order by v.n desc, rank) as place
+          from c join v on v.token = c.root where v.n >= 2 and length(root) >= 3 and regexp_matches(root, '[aeiouy]')),
+        b as (select token, root, kind from r where place = 1),
+        l as (select b.token, case when b.kind = 0 then coalesce(f.root, b.root) else b.root end as root
+          from b left join b f on f.token = b.root and f.kind = 1),
+        s as (select field, coalesce(root, t.token) as word from t left join l on l.token = t.token)
+        select field, {sql_finish('word')} as term, count(*) as n from s group by all""",
     "analyzed_queries": f"""with {_QUERIES} select query_id, {sql_term('tok')} as term, count(*) as qtf
         from (select query_id, {sql_tokens('query')} as tok from asked) group by all""",
     "postings": f"""with {SQL_INDEX} select t.source, t.field, t.term, t._id, t.tf, l.dl from tf t

@@ -11,6 +11,7 @@ from ladle.operators.reach import crawl, reach
 from ladle.session import scratch, settle
 from ladle.sources.ids import sequence_ids
 from ladle.streaming.frontier import crawl_until_idle, first_seen
+from ladle.streaming.seen import first_seen_for
 
 def crawl_reach(spark, sf_dir):
     """Orders and parts as a graph, to the fixpoint; seeds are the parts of the highest price."""
@@ -60,6 +61,19 @@ def stream_dedupe(spark, sf_dir):
     return spark.read.schema("url string, url_key string").parquet(out).select("url_key")
 
 
+def stream_dedupe_state(spark, sf_dir):
+    """Every URL of the page table twice, in two runs on one checkpoint, through the dedupe with state of its own."""
+    source, out, checkpoint = (scratch(spark, f"stream-{name}") for name in ("in", "out", "checkpoint"))
+    urls = table(spark, sf_dir, "pages").select("url")
+    for _ in range(2):
+        urls.write.mode("append").parquet(source)
+        stream = spark.readStream.schema("url string").parquet(source)
+        query = (first_seen_for(stream, buckets=64).writeStream.format("parquet").outputMode("append")
+                 .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out))
+        query.awaitTermination()
+    return spark.read.schema("url string, url_key string").parquet(out).select("url_key")
+
+
 def stream_crawl(spark, sf_dir):
     """The streaming crawl from all page URLs until no new URL appears."""
     pages = table(spark, sf_dir, "pages")
@@ -72,6 +86,7 @@ QUERIES = {
     "page_crawl": page_crawl,
     "deep_crawl": deep_crawl,
     "stream_dedupe": stream_dedupe,
+    "stream_dedupe_state": stream_dedupe_state,
     "stream_crawl": stream_crawl,
 }
 
@@ -111,6 +126,7 @@ ORACLES = {
           where e.dst not in (select url_key from recurring.walk))
       select url_key, cast(depth as integer) as depth from walk""",
     "stream_dedupe": f"select distinct {_KEY} as url_key from pages",
+    "stream_dedupe_state": f"select distinct {_KEY} as url_key from pages",
     "stream_crawl": f"""with {_LINKS}, seeds as (select {_KEY} as url_key, max_by(html, page_id) as html from pages group by 1)
       select url_key, 'success' as status, cast(length(html) as integer) as html_chars from seeds union all
       select url_key, 'networkFailure', null from links where url_key not in (select url_key from seeds)""",

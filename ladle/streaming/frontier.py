@@ -15,8 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ladle.functions.urls import url_key
 from ladle.operators.extract import lookup_pages
-from ladle.operators.links import links, unvisited
-from ladle.operators.sizing import small
+from ladle.operators.links import links
 from ladle.session import ship_package
 from ladle.sources.pages import keyed_pages
 
@@ -46,7 +45,7 @@ def seed_frontier(seeds: DataFrame, path: str) -> None:
     seeds.select("url").distinct().write.parquet(f"{path}/seed-{uuid.uuid4().hex}")
 
 
-def _one_per_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def one_per_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
             keys = pa.table({"key": batch.column("url_key"), "at": pa.array(range(batch.num_rows))})
@@ -62,15 +61,18 @@ def first_seen(urls: DataFrame, horizon: str | None = None) -> DataFrame:
     """
     ship_package(urls.sparkSession)
     keyed = urls.withColumn("url_key", url_key(F.col("url")))
-    thinned = keyed.mapInArrow(_one_per_key, keyed.schema)
+    thinned = keyed.mapInArrow(one_per_key, keyed.schema)
     if horizon is None:
         return thinned.dropDuplicates(["url_key"])
     return thinned.withWatermark("ts", horizon).dropDuplicatesWithinWatermark(["url_key"])
 
 
 def crawl_step(batch: DataFrame, batch_id: int, pages: DataFrame, out: str, frontier: str) -> None:
-    """One micro-batch: mark visited, look pages up, store them, send new links back.
+    """One micro-batch: mark visited, look pages up, store them, send links back.
 
+    The state of the stream holds every URL key that was visited and drops those that come again, so the links are
+    not compared with the visited table: a batch costs what it holds, however long the crawl has run. Only links among the
+    batch's own URLs are left out here.
     Every write replaces a folder named by the batch id, so a replay after a failure leaves
     the same tables.
     """
@@ -88,10 +90,8 @@ def crawl_step(batch: DataFrame, batch_id: int, pages: DataFrame, out: str, fron
     (links(landed, keep=("url",)).groupBy("link_key").agg(F.min("link").alias("link"))
         .write.mode("overwrite").parquet(found))
     new = spark.read.schema("link_key string, link string").parquet(found)
-    # The visited table is scanned against the few new keys instead of being shuffled.
-    visited = (spark.read.schema("url_key string, url string, batch int").parquet(f"{out}/visited")
-                    .join(small(new.select(F.col("link_key").alias("url_key"))), "url_key", "left_semi"))
-    (unvisited(new, visited).select("url")
+    (new.join(urls.select(F.col("url_key").alias("link_key")), "link_key", "left_anti")
+        .select(F.col("link").alias("url"))
         .write.mode("overwrite").parquet(f"{frontier}/batch-{batch_id}"))
 
 

@@ -54,7 +54,7 @@ def test_only_new_files_are_read(spark, tmp_path, rows, monkeypatch, few):
     if few:
         assert sum(files_read(read)) == second.count()
     # A file that is written again counts as new.
-    name = next(os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".txt"))
+    name = min(os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".txt"))
     os.utime(name, (1, 1))
     assert new_files(spark, path, ledger).count() == second.count() + 1
 

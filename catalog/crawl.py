@@ -10,7 +10,7 @@ from ladle.operators.links import links
 from ladle.operators.reach import crawl, reach
 from ladle.session import scratch, settle
 from ladle.sources.ids import sequence_ids
-from ladle.streaming.frontier import crawl_until_idle, first_seen
+from ladle.streaming.frontier import FRONTIER, crawl_step, crawl_until_idle, first_seen
 from ladle.streaming.seen import first_seen_for
 
 def crawl_reach(spark, sf_dir):
@@ -81,6 +81,19 @@ def stream_crawl(spark, sf_dir):
     return found.select("url_key", "status", F.length("html").alias("html_chars"))
 
 
+def replayed_batch(spark, sf_dir):
+    """One micro-batch of all page URLs, run twice as after a failure: what stands in the frontier, and rows in its tables."""
+    pages = table(spark, sf_dir, "pages")
+    base = scratch(spark, "replayed")
+    batch = pages.groupBy(url_key(F.col("url")).alias("url_key")).agg(F.min("url").alias("url"))
+    for _ in range(2):
+        crawl_step(batch, 0, pages, f"{base}/out", f"{base}/frontier")
+    tables = [spark.read.parquet(f"{base}/out/{name}").agg(F.count("*").alias(name)) for name in ("visited", "pages")]
+    sent = spark.read.schema(FRONTIER).parquet(f"{base}/frontier/batch-0")
+    # Both tables are one row each.
+    return sent.withColumn("visited", F.lit(tables[0].first()[0])).withColumn("stored", F.lit(tables[1].first()[0]))
+
+
 QUERIES = {
     "crawl_reach": crawl_reach,
     "page_crawl": page_crawl,
@@ -88,6 +101,7 @@ QUERIES = {
     "stream_dedupe": stream_dedupe,
     "stream_dedupe_state": stream_dedupe_state,
     "stream_crawl": stream_crawl,
+    "replayed_batch": replayed_batch,
 }
 
 _KEY = "regexp_replace(url, '#.*$', '')"
@@ -99,6 +113,12 @@ _ALL_LINKS = f"""links as (select distinct regexp_replace(regexp_extract(url, '^
     from (select url, unnest(regexp_extract_all(html, '(?i)<a\\s[^>]*?href="([^"]*)"', 1)) as raw from pages))"""
 
 ORACLES = {
+    "replayed_batch": f"""with seeds as (select distinct {_KEY} as url_key from pages),
+      found as (select regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || {sql_unescape('raw')} as link
+        from (select url, unnest(regexp_extract_all(html, '(?i)<a\s[^>]*?href="([^"]*)"', 1)) as raw
+          from pages where page_id in (select max(page_id) from pages group by {_KEY})))
+      select min(link) as url, (select count(*) from seeds) as visited, (select count(*) from seeds) as stored from found
+      where regexp_replace(link, '#.*$', '') not in (select url_key from seeds) group by regexp_replace(link, '#.*$', '')""",
     "crawl_reach": """with recursive edges as (
         select 'o' || l_orderkey as src, 'p' || l_partkey as dst from lineitem
         union select 'p' || l_partkey, 'o' || l_orderkey from lineitem),

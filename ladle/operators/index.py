@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ladle.functions.analysis import LIGHT_ENGLISH, Analyzer, bag_tokens, tokens
 from ladle.functions.values import index_name, matches_pattern
 from ladle.operators.placed import Placed, open_placed, place, unplace
-from ladle.operators.sizing import small
+from ladle.operators.sizing import pieces, small
 from ladle.operators.upsert import bucket_count, has_table
 from ladle.session import settle
 
@@ -56,10 +56,10 @@ def posting_rows(recipes: DataFrame, analyzer: Analyzer = LIGHT_ENGLISH,
                  fields: tuple[str, ...] = FIELDS, doc_rows: bool = True) -> DataFrame:
     """Term counts per document and field; `doc_rows` adds the document row with term ''.
 
-    The short text is placed by document once; counting the exploded tokens then needs no
-    shuffle of its own, since a document is already whole in its partition.
+    The short text is placed by document once, in pieces of one size however large the input is; counting the
+    exploded tokens then needs no shuffle of its own, since a document is already whole in its partition.
     """
-    placed = recipes.select("source", "_id", *fields).repartition("source", "_id")
+    placed = pieces(recipes.select("source", "_id", *fields), "source", "_id")
     bags = field_tokens(placed, fields, analyzer)
     bag = F.concat("tokens", F.array(F.lit(""))) if doc_rows else F.col("tokens")
     spread = bags.select("source", "_id", "field", F.size("tokens").cast("bigint").alias("dl"),

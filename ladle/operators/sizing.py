@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_ROWS = 1_000_000
+#: Text of one piece, where the work on it needs many times its memory.
+PIECE_BYTES = 4 * 1024 * 1024
 
 
 def measure(df: DataFrame) -> tuple[int, int]:
@@ -43,3 +45,18 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def pieces(df: DataFrame, *keys: str, size: int = PIECE_BYTES) -> DataFrame:
+    """Rows placed by `keys` in pieces of about `size` bytes of text: one pass counts the bytes.
+
+    A number left to Spark follows the cores and the compressed bytes, so that pieces would grow with the input.
+    """
+    kinds = dict(df.dtypes)
+    width = F.lit(16 * len(kinds)).cast("bigint")
+    for name, kind in kinds.items():
+        if kind in ("string", "array<string>"):
+            text = F.col(f"`{name}`") if kind == "string" else F.array_join(f"`{name}`", "\n")
+            width = width + F.coalesce(F.octet_length(text), F.lit(0))
+    total = df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-total // size)), *keys)

@@ -198,7 +198,8 @@ def place_index(spark: SparkSession, path: str, shards: int | None = None) -> In
     """Place the postings of the index at `path` by document too; searches then use them."""
     index = open_index(spark, path)
     documents = index.catalogue.agg(F.coalesce(F.sum("documents"), F.lit(0))).first()[0]
-    place(index.postings.select("source", "field", "term", "_id", "tf", "dl"), path, documents, shards)
+    words = index.corpus_stats.agg(F.coalesce(F.sum("total_len"), F.lit(0))).first()[0]
+    place(index.postings.select("source", "field", "term", "_id", "tf", "dl"), index.doc_len, path, documents, words, shards)
     return open_index(spark, path)
 
 

@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +27,8 @@ from ladle.session import ship_package
 
 #: Documents of a shard, on average; and of the ordinal range of a block.
 DOCS_PER_SHARD, BLOCK = 50_000, 1024
+#: Words of a shard's documents, on average: what the task that places it holds.
+WORDS_PER_SHARD = 2_000_000
 #: The most buckets a table may have by default; beyond, shards grow.
 MOST_SHARDS = 100_000
 
@@ -51,9 +54,10 @@ def _table(path: str, part: str) -> str:
 
 
 def _write(df: DataFrame, path: str, part: str, shards: int, order: list[str]) -> None:
+    """Write rows whose partitions are whole shards."""
     name = _table(path, part)
     df.sparkSession.sql(f"drop table if exists {name}")
-    (df.repartition(shards, "shard").write.mode("overwrite").option("path", f"{path}/{part}")
+    (df.write.mode("overwrite").option("path", f"{path}/{part}")
        .bucketBy(shards, "shard").sortBy(*order).saveAsTable(name))
 
 
@@ -64,30 +68,63 @@ def _numbers(spark: SparkSession, shards: int) -> Column:
     return F.array(*(F.lit(r["v"]) for r in rows))
 
 
-def place(postings: DataFrame, path: str, documents: int, shards: int | None = None) -> Placed:
-    """Write `postings(source, field, term, _id, tf, dl)` of so many documents as blocks below `path`."""
+def place(postings: DataFrame, docs: DataFrame, path: str, documents: int, words: int, shards: int | None = None) -> Placed:
+    """Write `postings(source, field, term, _id, tf, dl)` of so many documents `docs(source, _id)` as blocks below `path`.
+
+    Postings are exchanged once, by shard; shards are bounded by the words of their documents, so what a task holds
+    does not grow with the index.
+    """
     spark = postings.sparkSession
+    ship_package(spark)
     if shards is None:
-        shards = min(MOST_SHARDS, max(spark.sparkContext.defaultParallelism, -(-documents // DOCS_PER_SHARD)))
+        least = max(-(-documents // DOCS_PER_SHARD), -(-words // WORDS_PER_SHARD))
+        shards = min(MOST_SHARDS, max(spark.sparkContext.defaultParallelism, least))
     numbers = _numbers(spark, shards)
     slot = F.pmod(F.xxhash64("source", "_id"), F.size(numbers)).cast("int")
-    sharded = postings.withColumn("shard", F.get(numbers, slot))
-    docs = sharded.select("shard", "source", "_id").distinct().withColumn(
+    sharded = lambda df: df.where("source is not null and _id is not null").withColumn(
+        "shard", F.get(numbers, slot)).repartition(shards, "shard")
+    listed = sharded(docs.select("source", "_id").distinct()).withColumn(
         "ord", F.row_number().over(Window.partitionBy("shard").orderBy("source", "_id")) - 1)
-    _write(docs.select("shard", "ord", "source", "_id"), path, "placed_docs", shards, ["ord"])
-    entry = F.struct("ord", F.col("tf").cast("int").alias("tf"), F.col("dl").cast("int").alias("dl"))
-    held = spark.table(_table(path, "placed_docs"))
-    blocks = (sharded.join(held, ["shard", "source", "_id"])
-              .groupBy("shard", "source", "field", "term", F.floor(F.col("ord") / BLOCK).cast("int").alias("block"))
-              .agg(F.sort_array(F.collect_list(entry)).alias("e"), F.max("tf").cast("int").alias("max_tf"),
-                   F.min("dl").cast("int").alias("min_dl"))
-              .select("shard", "source", "field", "term", "block", F.col("e.ord").alias("ords"), F.col("e.tf").alias("tfs"),
-                      F.col("e.dl").alias("dls"), "max_tf", "min_dl"))
+    _write(listed.select("shard", "ord", "source", "_id"), path, "placed_docs", shards, ["ord"])
+    held = spark.table(_table(path, "placed_docs")).repartition(shards, "shard")
+    rows = sharded(postings.select("source", "field", "term", "_id", F.col("tf").cast("int").alias("tf"),
+                                   F.col("dl").cast("int").alias("dl")))
+    # A number of a shard falls in a bucket of its own, so a task has one shard, and its blocks need no exchange.
+    blocks = rows.groupBy("shard").cogroup(held.groupBy("shard")).applyInArrow(_blocks, _BLOCKS)
     _write(blocks, path, "placed", shards, ["term", "field"])
     spark.range(1).select(F.lit(shards).alias("shards")).write.mode("overwrite").parquet(f"{path}/placed_shape")
     return open_placed(spark, path)
 
 
+def _blocks(key: tuple, postings: pa.Table, docs: pa.Table) -> pa.Table:
+    """Blocks of one shard."""
+    ints, size = pa.list_(pa.int32()), postings.num_rows
+    schema = pa.schema([("shard", pa.int32()), ("source", pa.string()), ("field", pa.string()), ("term", pa.string()),
+                        ("block", pa.int32()), ("ords", ints), ("tfs", ints), ("dls", ints), ("max_tf", pa.int32()), ("min_dl", pa.int32())])
+    if not size:
+        return schema.empty_table()
+    sources, ids = (pc.unique(docs[c]) for c in ("source", "_id"))
+    number = lambda values, known: pc.index_in(values, value_set=known).to_numpy().astype(np.int64)
+    source = number(postings["source"], sources)
+    known = number(docs["source"], sources) * len(ids) + number(docs["_id"], ids)
+    by_number = np.argsort(known)
+    at = np.searchsorted(known, source * len(ids) + number(postings["_id"], ids), sorter=by_number)
+    ords = docs["ord"].to_numpy()[by_number[at]].astype(np.int64)
+    fields, terms = pc.unique(postings["field"]), pc.unique(postings["term"])
+    lists = (source * len(fields) + number(postings["field"], fields)) * len(terms) + number(postings["term"], terms)
+    order = np.lexsort((ords, lists))
+    lists, ords = lists[order], ords[order]
+    tfs, dls = (postings[c].to_numpy()[order] for c in ("tf", "dl"))
+    begin = np.flatnonzero(np.concatenate([[True], (lists[1:] != lists[:-1]) | (ords[1:] // BLOCK != ords[:-1] // BLOCK)]))
+    offsets = pa.array(np.append(begin, size).astype(np.int32))
+    split = lambda values: pa.ListArray.from_arrays(offsets, pa.array(values.astype(np.int32)))
+    first = postings.select(["source", "field", "term"]).take(pa.array(order[begin]))
+    columns = [pa.array(np.full(len(begin), key[0].as_py()), pa.int32()), *first.columns,
+               pa.array((ords[begin] // BLOCK).astype(np.int32)), split(ords), split(tfs), split(dls),
+               pa.array(np.maximum.reduceat(tfs, begin)), pa.array(np.minimum.reduceat(dls, begin))]
+    return pa.table(columns, schema=schema)
+
+
 def open_placed(spark: SparkSession, path: str) -> Placed | None:
     """The tables below `path`, made known to this session where they are not yet; None if nothing is placed there."""
     if not has_table(spark, f"{path}/placed_shape"):

@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from ladle.functions.analysis import Analyzer
-from ladle.operators.index import posting_rows
+from ladle.operators import placed
+from ladle.operators.index import build_index, place_index, posting_rows
 from ladle.operators.sizing import PIECE_BYTES, pieces
 
 SCHEMA = "source string, _id string, title string, ingredient array<string>"
@@ -34,3 +35,15 @@ def test_no_text(spark, rows):
     lexicon = spark.createDataFrame([("mice", "mouse")], "token string, root string")
     some = spark.createDataFrame([("s", "1", "mice mouse", None)], SCHEMA)
     assert rows(posting_rows(some, Analyzer(lexicon=lexicon), doc_rows=False), "term", "tf") == [("mouse", 2)]
+
+
+def test_shards_follow_words(spark, rows, tmp_path, monkeypatch):
+    # Shards followed documents only, so a few long ones made a shard of any size.
+    monkeypatch.setattr(placed, "WORDS_PER_SHARD", 500)
+    docs = [(f"s{i % 2}", str(i), f"common w{i} w{i}", ["common " * 60 + f"x{i % 7}"]) for i in range(80)]
+    index = build_index(spark.createDataFrame(docs, SCHEMA), str(tmp_path), buckets=2)
+    postings = rows(index.postings.where("term <> ''"), "source", "field", "term", "tf", "dl")
+    blocks = place_index(spark, str(tmp_path)).placed.blocks
+    assert spark.read.parquet(f"{tmp_path}/placed_shape").first()["shards"] == -(-80 * 64 // 500)
+    entries = blocks.select("source", "field", "term", F.inline(F.arrays_zip("tfs", "dls")))
+    assert rows(entries) == postings

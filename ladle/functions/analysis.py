@@ -124,6 +124,12 @@ class Analyzer:
             return found
         return F.filter(found, lambda t: ~F.lower(t).isin(list(self.stop_words)))
 
+    def terms_of(self, found: Column) -> Column:
+        """The term of each token of an array, without a lexicon; one pass for a step, so that its value is had once."""
+        for step in self.steps():
+            found = F.transform(found, step)
+        return found
+
     def terms(self, df: DataFrame, token: str = "token") -> DataFrame:
         """Replace the column `token` by its `term`, row by row."""
         out, root = df, None

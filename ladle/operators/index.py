@@ -1,7 +1,8 @@
 """Inverted index as Parquet tables.
 
 `postings(source, bucket, field, term, _id, tf, dl)` carries the field length beside the term
-frequency, so scoring needs no join with document lengths. `bucket` is a hash of the term: as a
+frequency, so scoring needs no join with document lengths. They are written as lists: one row holds the postings that
+a term has in the documents of one batch. `bucket` is a hash of the term: as a
 partition column it lets a search prune the scan to the terms it asks for. Bucket -1 holds one
 row per document and field (`term = ''`), from which lengths and corpus statistics come
 without a second pass over the text.
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ladle.functions.analysis import LIGHT_ENGLISH, Analyzer, bag_tokens, tokens
 from ladle.functions.values import index_name, matches_pattern
+from ladle.operators.counting import postings_of, term_lists, token_lists
 from ladle.operators.placed import Placed, open_placed, place, unplace
 from ladle.operators.sizing import pieces, small
 from ladle.operators.upsert import bucket_count, has_table
@@ -27,7 +29,7 @@ DOC_BUCKET = -1
 # Documents per term bucket of an index.
 DOCS_PER_BUCKET = 2_000_000
 
-_POSTINGS = "field string, term string, _id string, tf bigint, dl bigint, source string, bucket int"
+_LISTS = "field string, term string, ids array<string>, tfs array<int>, dls array<int>, source string, bucket int"
 _TERMS = "field string, term string, df bigint, source string, bucket int"
 _CATALOGUE = "documents bigint, source string"
 _CORPUS = "field string, n_docs bigint, total_len bigint, buckets int, source string"
@@ -54,18 +56,35 @@ def field_tokens(recipes: DataFrame, fields: tuple[str, ...] = FIELDS,
 
 def posting_rows(recipes: DataFrame, analyzer: Analyzer = LIGHT_ENGLISH,
                  fields: tuple[str, ...] = FIELDS, doc_rows: bool = True) -> DataFrame:
-    """Term counts per document and field; `doc_rows` adds the document row with term ''.
+    """Term counts per document and field; `doc_rows` adds the document row with term ''."""
+    lists = posting_lists(recipes, analyzer, fields, doc_rows)
+    return postings_of(lists, "source", "field", "term").select("source", "_id", "field", "dl", "term", "tf")
 
-    The short text is placed by document once, in pieces of one size however large the input is; counting the
-    exploded tokens then needs no shuffle of its own, since a document is already whole in its partition.
+
+def posting_lists(recipes: DataFrame, analyzer: Analyzer = LIGHT_ENGLISH,
+                  fields: tuple[str, ...] = FIELDS, doc_rows: bool = True) -> DataFrame:
+    """The same as lists: `source, field, term, ids, tfs, dls`, one or more rows for a term of a field in a source.
+
+    The short text is placed by document once, in pieces of one size however large the input is; a batch of documents
+    is then tokenised, counted and analysed in its task, its distinct tokens once each.
     """
     placed = pieces(recipes.select("source", "_id", *fields), "source", "_id")
+    if analyzer.lexicon is not None:  # its join may exchange the tokens
+        return _lists_by_rows(placed, analyzer, fields, doc_rows)
+    bags = placed.select(F.col("source").cast("string").alias("source"), F.col("_id").cast("string").alias("_id"),
+                         *(analyzer.kept(_bag(placed, f)).alias(f"bag_{i}") for i, f in enumerate(fields)))
+    found = token_lists(bags, fields)
+    return term_lists(found.withColumn("terms", analyzer.terms_of(F.col("tokens"))), fields, doc_rows)
+
+
+def _lists_by_rows(placed: DataFrame, analyzer: Analyzer, fields: tuple[str, ...], doc_rows: bool) -> DataFrame:
+    """Lists of one posting each."""
     bags = field_tokens(placed, fields, analyzer)
     bag = F.concat("tokens", F.array(F.lit(""))) if doc_rows else F.col("tokens")
-    spread = bags.select("source", "_id", "field", F.size("tokens").cast("bigint").alias("dl"),
-                         F.explode(bag).alias("token"))
-    return (analyzer.terms(spread)
-            .groupBy("source", "_id", "field", "dl", "term").agg(F.count("*").alias("tf")))
+    spread = bags.select("source", "_id", "field", F.size("tokens").alias("dl"), F.explode(bag).alias("token"))
+    counted = (analyzer.terms(spread)
+               .groupBy("source", "_id", "field", "dl", "term").agg(F.count("*").cast("int").alias("tf")))
+    return counted.select("source", "field", "term", *(F.array(c).alias(l) for c, l in (("_id", "ids"), ("tf", "tfs"), ("dl", "dls"))))
 
 
 @dataclass(frozen=True)
@@ -115,7 +134,7 @@ def build_index(recipes: DataFrame, path: str, analyzer: Analyzer = LIGHT_ENGLIS
     """Index all of `recipes` (one row per document) at `path`, replacing what is there."""
     if buckets is None:
         buckets = bucket_count(recipes.count(), DOCS_PER_BUCKET, 4)
-    rows = _bucketed(posting_rows(recipes, analyzer, fields), buckets)
+    rows = _bucketed(posting_lists(recipes, analyzer, fields), buckets)
     _write_tables(recipes.sparkSession, rows, path, buckets, None)
     _write_catalogue(recipes, path, None)
     return open_index(recipes.sparkSession, path)
@@ -128,7 +147,7 @@ def refresh_index(recipes: DataFrame, path: str, sources: DataFrame,
     buckets = open_index(spark, path).buckets
     touched = settle(sources.select("source").distinct(), "refresh")
     changed = recipes.join(small(touched), "source", "left_semi")
-    rows = _bucketed(posting_rows(changed, analyzer, fields), buckets)
+    rows = _bucketed(posting_lists(changed, analyzer, fields), buckets)
     _write_tables(spark, rows, path, buckets, touched)
     _write_catalogue(changed, path, touched)
     return open_index(spark, path)
@@ -147,23 +166,24 @@ def _write_tables(spark: SparkSession, rows: DataFrame, path: str, buckets: int,
         # A filler row in every bucket of a touched source makes the dynamic overwrite
         # replace buckets that no longer hold any term.
         filler = (touched.select("source", F.explode(F.sequence(F.lit(DOC_BUCKET), F.lit(buckets - 1))).alias("bucket"))
-                         .select("source", F.lit("").alias("_id"), F.lit("").alias("field"),
-                                 F.lit(0).cast("bigint").alias("dl"), F.lit("").alias("term"),
-                                 F.lit(0).cast("bigint").alias("tf"), "bucket"))
+                         .select("source", "bucket", F.lit("").alias("field"), F.lit("").alias("term"),
+                                 F.array().cast("array<string>").alias("ids"),
+                                 *(F.array().cast("array<int>").alias(c) for c in ("tfs", "dls"))))
         rows = rows.unionByName(filler)
-    _write(rows.select("source", "bucket", "field", "term", "_id", "tf", "dl"), f"{path}/postings",
-           ["source", "bucket"], ["field", "term", "_id"], everything)
+    _write(rows.select("source", "bucket", "field", "term", "ids", "tfs", "dls"), f"{path}/postings",
+           ["source", "bucket"], ["field", "term"], everything)
     # Read back with the fillers, so that they reach the statistics tables too.
-    written = spark.read.schema(_POSTINGS).parquet(f"{path}/postings")
+    written = spark.read.schema(_LISTS).parquet(f"{path}/postings")
     if not everything:
         written = written.join(small(touched), "source", "left_semi")
     terms = (written.where(F.col("bucket") != DOC_BUCKET)
                     .groupBy("source", "bucket", "field", "term")
-                    .agg(F.count_if(F.col("field") != "").alias("df")))
+                    .agg(F.sum(F.size("tfs")).alias("df")))
     _write(terms, f"{path}/term_stats", ["source", "bucket"], ["field", "term"], everything)
     corpus = (written.where(F.col("bucket") == DOC_BUCKET)
                      .groupBy("source", "field")
-                     .agg(F.count_if(F.col("field") != "").alias("n_docs"), F.sum("dl").alias("total_len"))
+                     .agg(F.sum(F.size("dls")).alias("n_docs"),
+                          F.sum(F.aggregate("dls", F.lit(0).cast("bigint"), lambda t, d: t + d)).alias("total_len"))
                      .withColumn("buckets", F.lit(buckets)))
     _write(corpus, f"{path}/corpus_stats", ["source"], ["field"], everything)
 
@@ -178,13 +198,13 @@ def _write_catalogue(recipes: DataFrame, path: str, touched: DataFrame | None) -
 
 def open_index(spark: SparkSession, path: str) -> Index:
     real = F.col("field") != ""
-    postings = spark.read.schema(_POSTINGS).parquet(f"{path}/postings").where(real)
+    lists = spark.read.schema(_LISTS).parquet(f"{path}/postings").where(real)
     corpus = (spark.read.schema(_CORPUS).parquet(f"{path}/corpus_stats").where(real)
                    .withColumn("avgdl", F.col("total_len") / F.col("n_docs")))
     buckets, sources = corpus.agg(F.max("buckets"), F.count_distinct("source")).first()
     return Index(
-        postings=postings.where(F.col("bucket") != DOC_BUCKET),
-        doc_len=postings.where(F.col("bucket") == DOC_BUCKET).select("source", "field", "_id", "dl"),
+        postings=postings_of(lists.where(F.col("bucket") != DOC_BUCKET), "source", "bucket", "field", "term"),
+        doc_len=postings_of(lists.where(F.col("bucket") == DOC_BUCKET), "source", "field").select("source", "field", "_id", "dl"),
         term_stats=spark.read.schema(_TERMS).parquet(f"{path}/term_stats").where(real),
         corpus_stats=corpus,
         catalogue=spark.read.schema(_CATALOGUE).parquet(f"{path}/catalogue").where("documents > 0"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_ROWS = 1_000_000
 #: Text of one piece, where the work on it needs many times its memory.
-PIECE_BYTES = 4 * 1024 * 1024
+PIECE_BYTES = 8 * 1024 * 1024
 
 
 def measure(df: DataFrame) -> tuple[int, int]:

@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladle.functions.urls import url_key
+from ladle.operators import sizing
 from ladle.operators.links import links
 from ladle.operators.sizing import small
 from ladle.session import scratch, settle
 
+#: Edges of one bucket, where they are written in buckets.
+EDGES_PER_BUCKET = 2_000_000
+
 
 class Unfinished(UserWarning):
     """A depth limit cut a crawl while its last frontier still held nodes."""
@@ -22,18 +26,16 @@ def reach(seeds: DataFrame, edges: DataFrame, max_depth: int | None = None) -> D
     """`node, depth` of everything reachable from `seeds(node)`: up to the fixpoint, or within
     `max_depth` hops, which warns if it leaves nodes unfollowed.
 
-    The edges are written once, sorted by source, and each level reads them from there.
+    The edges are written once and each level reads them from there. Where they are so many that a frontier may not
+    fit a broadcast, they are written in buckets by source, and a level exchanges its frontier only, never the edges.
 
     Each level is a written table in the shared folder: lineage stays flat and a lost
-    executor costs one task. A measured small frontier is broadcast to the edges, so they are
-    not shuffled; a large one joins by shuffle, where a hot source node is split by AQE
-    because its frontier side is a single row.
+    executor costs one task. A measured small frontier is broadcast to the edges.
     """
     spark = seeds.sparkSession
     base = scratch(spark, "reach")
     level = lambda d: f"{base}/depth={d}"
-    edges = settle(edges.select("src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull())
-                   .sortWithinPartitions("src"), "edges")
+    edges = _by_source(settle(edges.select("src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull()), "edges"))
     seeds.select("node").where(F.col("node").isNotNull()).distinct().write.parquet(level(0))
     node_schema = seeds.select("node").schema
     visited_schema = f"node {seeds.schema['node'].dataType.simpleString()}, depth int"
@@ -51,6 +53,19 @@ def reach(seeds: DataFrame, edges: DataFrame, max_depth: int | None = None) -> D
     return spark.read.schema(visited_schema).parquet(base)
 
 
+def _by_source(edges: DataFrame) -> DataFrame:
+    """Written edges, in buckets by source if there are many."""
+    spark, rows = edges.sparkSession, edges.count()
+    if rows <= sizing.BROADCAST_ROWS:
+        return edges
+    buckets = min(100_000, max(spark.sparkContext.defaultParallelism, -(-rows // EDGES_PER_BUCKET)))
+    path = scratch(spark, "edges-by-source")
+    name = f"ladle_edges_{path[-32:]}"
+    (edges.repartition(buckets, "src").write.option("path", path)
+          .bucketBy(buckets, "src").sortBy("src").saveAsTable(name))
+    return spark.table(name)
+
+
 def crawl(seeds: DataFrame, pages: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Reachability over the links of stored pages: `url_key, depth`, with the limit of `reach`.
 

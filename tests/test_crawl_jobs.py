@@ -140,3 +140,20 @@ def test_index_all_builds_a_missing_index(spark, tmp_path):
                                  f"source string, version int, {RECIPE_DDL}"), f"{base}/documents")
     index_all(spark, landed, base)
     assert open_index(spark, f"{base}/index").names().first()["documents"] == 1
+
+
+def test_many_edges_are_not_exchanged_again(spark, rows, monkeypatch, tmp_path):
+    # With a frontier over the broadcast limit, every level shuffled all edges.
+    from ladle.operators import reach as module
+    from ladle.operators import sizing
+
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 3)
+    monkeypatch.setattr(module, "EDGES_PER_BUCKET", 4)
+    pairs = [(i, 2 * i) for i in range(1, 12)] + [(i, 2 * i + 1) for i in range(1, 12)] + [(9, 1), (50, 1)]
+    edges = spark.createDataFrame(pairs, "src long, dst long")
+    stored = module._by_source(edges)
+    frontier = spark.createDataFrame([(i,) for i in range(9)], "src long")
+    plan = stored.join(frontier.hint("merge"), "src")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    found = rows(module.reach(spark.createDataFrame([(1,)], "node long"), edges))
+    assert found == sorted(((n, n.bit_length() - 1) for n in range(1, 24)), key=repr)

@@ -19,7 +19,7 @@ from ladle.functions.analysis import LIGHT_ENGLISH, Analyzer, bag_tokens, tokens
 from ladle.functions.values import index_name, matches_pattern
 from ladle.operators.counting import postings_of, term_lists, token_lists
 from ladle.operators.placed import Placed, open_placed, place, unplace
-from ladle.operators.sizing import pieces, small
+from ladle.operators.sizing import pieces, small, spread
 from ladle.operators.upsert import bucket_count, has_table
 from ladle.session import settle
 
@@ -55,20 +55,22 @@ def field_tokens(recipes: DataFrame, fields: tuple[str, ...] = FIELDS,
 
 
 def posting_rows(recipes: DataFrame, analyzer: Analyzer = LIGHT_ENGLISH,
-                 fields: tuple[str, ...] = FIELDS, doc_rows: bool = True) -> DataFrame:
+                 fields: tuple[str, ...] = FIELDS, doc_rows: bool = True, placing: bool = True) -> DataFrame:
     """Term counts per document and field; `doc_rows` adds the document row with term ''."""
-    lists = posting_lists(recipes, analyzer, fields, doc_rows)
+    lists = posting_lists(recipes, analyzer, fields, doc_rows, placing)
     return postings_of(lists, "source", "field", "term").select("source", "_id", "field", "dl", "term", "tf")
 
 
 def posting_lists(recipes: DataFrame, analyzer: Analyzer = LIGHT_ENGLISH,
-                  fields: tuple[str, ...] = FIELDS, doc_rows: bool = True) -> DataFrame:
+                  fields: tuple[str, ...] = FIELDS, doc_rows: bool = True, placing: bool = True) -> DataFrame:
     """The same as lists: `source, field, term, ids, tfs, dls`, one or more rows for a term of a field in a source.
 
     The short text is placed by document once, in pieces of one size however large the input is; a batch of documents
-    is then tokenised, counted and analysed in its task, its distinct tokens once each.
+    is then tokenised, counted and analysed in its task, its distinct tokens once each. `placing=False` leaves documents
+    in the tasks that read them: enough where what follows keeps no more than a batch.
     """
-    placed = pieces(recipes.select("source", "_id", *fields), "source", "_id")
+    text = recipes.select("source", "_id", *fields)
+    placed = pieces(text, "source", "_id") if placing else spread(text)
     if analyzer.lexicon is not None:  # its join may exchange the tokens
         return _lists_by_rows(placed, analyzer, fields, doc_rows)
     bags = placed.select(F.col("source").cast("string").alias("source"), F.col("_id").cast("string").alias("_id"),

@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from ladle.functions.analysis import LIGHT_ENGLISH, Analyzer
 from ladle.operators.index import FIELDS, Index, posting_rows
-from ladle.operators.sizing import small
-from ladle.operators.upsert import bucket_count, has_table, id_bucket
+from ladle.operators.sizing import key_parts, within
+from ladle.operators.upsert import FEW_FOLDERS, bucket_count, has_table, id_bucket
 from ladle.session import settle
 
 #: Segments of one tier that are merged; a tier holds segments up to `FAN` times as large as the one before.
@@ -33,6 +33,8 @@ _DIGITS = 10
 
 _POSTINGS = "source string, field string, term string, _id string, tf bigint, dl bigint"
 _DEAD = "source string, _id string"
+# Files that a task may hold open at once; with 0 it sorts its rows by folder first.
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 _DELTAS = "source string, field string, term string, df bigint, total_len bigint, documents bigint"
 _MANIFEST = "segment int, kind string, documents bigint, buckets int"
 
@@ -82,10 +84,12 @@ def _alive(rows: DataFrame, dead: DataFrame, newest: int) -> DataFrame:
     """Rows of documents that no later commit has ended. What is as new as the last tombstone is not joined."""
     if not newest:
         return rows
-    ended = small(dead.select(F.col("segment").alias("ended"), F.col("source").alias("s"), F.col("_id").alias("i")))
+    ended = dead.select(F.col("segment").alias("ended"), F.col("source").alias("s"), F.col("_id").alias("i"))
     met = (F.col("source") == F.col("s")) & (F.col("_id") == F.col("i")) & (F.col("segment") < F.col("ended"))
     old = rows.where(F.col("segment") < newest)
-    return old.join(ended, met, "left_anti").unionByName(rows.where(F.col("segment") >= newest))
+    for part in key_parts(ended, ["s", "i"]) or [ended]:
+        old = old.join(part, met, "left_anti")
+    return old.unionByName(rows.where(F.col("segment") >= newest))
 
 
 def _live(spark: SparkSession, path: str, parts: list[Part], kind: str, schema: str) -> DataFrame:
@@ -94,24 +98,33 @@ def _live(spark: SparkSession, path: str, parts: list[Part], kind: str, schema:
     return _alive(_read(spark, path, kind, parts, schema), dead, newest)
 
 
-def _write_segment(rows: DataFrame, docs: DataFrame, path: str, number: int) -> Part:
-    documents = docs.count()
+def _write_segment(rows: DataFrame, docs: DataFrame, path: str, number: int, documents: int, sorted_runs: bool = False) -> Part:
+    """`sorted_runs`: rows come in runs by source, field and term, and are written as they come, for few folders.
+
+    Nothing is exchanged or sorted then, and a task holds one open file for each folder.
+    """
     buckets = bucket_count(documents, DOCS_PER_BUCKET, 1)
-    (rows.select("source", "field", "term", "_id", "tf", "dl").withColumn("id_bucket", id_bucket(buckets))
-         .hint("rebalance", "id_bucket").sortWithinPartitions("id_bucket", "source", "field", "term")
-         .write.partitionBy("id_bucket").mode("overwrite").parquet(_folder(path, "segment", number)))
+    rows = rows.select("source", "field", "term", "_id", "tf", "dl").withColumn("id_bucket", id_bucket(buckets))
+    if not sorted_runs:
+        rows = rows.hint("rebalance", "id_bucket").sortWithinPartitions("id_bucket", "source", "field", "term")
+    conf, before = rows.sparkSession.conf, rows.sparkSession.conf.get(_WRITERS)
+    conf.set(_WRITERS, str(FEW_FOLDERS) if sorted_runs else before)
+    try:
+        rows.write.partitionBy("id_bucket").mode("overwrite").option("compression", "zstd").parquet(_folder(path, "segment", number))
+    finally:
+        conf.set(_WRITERS, before)
     docs.select("source", "_id").write.mode("overwrite").parquet(_folder(path, "documents", number))
     return Part(number, "segment", documents, buckets)
 
 
 def _deltas(rows: DataFrame, docs: DataFrame, sign: int) -> DataFrame:
-    """How some postings change the statistics: per term, per field (term ''), per source (field '')."""
-    terms = rows.groupBy("source", "field", "term").agg(
-        (sign * F.count("*")).alias("df"), (sign * F.sum(F.when(F.col("term") == "", F.col("dl")).otherwise(0))).alias("total_len"))
-    counts = docs.groupBy("source").agg((sign * F.count("*")).alias("documents")).select(
-        "source", F.lit("").alias("field"), F.lit("").alias("term"), F.lit(0).cast("bigint").alias("df"),
-        F.lit(0).cast("bigint").alias("total_len"), "documents")
-    return terms.withColumn("documents", F.lit(0).cast("bigint")).unionByName(counts)
+    """What each posting and document adds to the statistics: per term, per field (term ''), per source (field '')."""
+    one, none = (F.lit(n).cast("bigint") for n in (sign, 0))
+    terms = rows.select("source", "field", "term", one.alias("df"),
+                        F.when(F.col("term") == "", sign * F.col("dl")).otherwise(none).alias("total_len"), none.alias("documents"))
+    counts = docs.select("source", F.lit("").alias("field"), F.lit("").alias("term"), none.alias("df"), none.alias("total_len"),
+                         one.alias("documents"))
+    return terms.unionByName(counts)
 
 
 def _ended(spark: SparkSession, path: str, parts: list[Part], keys: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -122,9 +135,8 @@ def _ended(spark: SparkSession, path: str, parts: list[Part], keys: DataFrame) -
     for p in (p for p in parts if p.kind == "segment"):
         # The bucket is a folder: those without any of the keys are not read.
         held = spark.read.schema(f"{_POSTINGS}, id_bucket int").parquet(_folder(path, "segment", p.segment))
-        asked = small(old.withColumn("id_bucket", id_bucket(p.buckets)))
-        frames.append(held.join(asked, ["id_bucket", "source", "_id"], "left_semi").drop("id_bucket")
-                      .withColumn("segment", F.lit(p.segment)))
+        asked = old.withColumn("id_bucket", id_bucket(p.buckets))
+        frames.append(within(held, asked, ["id_bucket", "source", "_id"]).drop("id_bucket").withColumn("segment", F.lit(p.segment)))
     if not frames:
         return spark.createDataFrame([], _POSTINGS), old
     dead = _read(spark, path, "dead", parts, _DEAD)
@@ -139,7 +151,9 @@ def add(recipes: DataFrame, path: str, analyzer: Analyzer = LIGHT_ENGLISH, field
     last, parts = manifest(spark, path)
     number = last + 1
     docs = settle(recipes.select("source", F.col("_id").cast("string").alias("_id")), "added")
-    segment = _write_segment(posting_rows(recipes, analyzer, fields), docs, path, number)
+    documents = docs.count()
+    few = bucket_count(documents, DOCS_PER_BUCKET, 1) <= FEW_FOLDERS and analyzer.lexicon is None
+    segment = _write_segment(posting_rows(recipes, analyzer, fields, placing=not few), docs, path, number, documents, few)
     rows = spark.read.schema(_POSTINGS).parquet(_folder(path, "segment", number))
     deltas, ended = _deltas(rows, docs, 1), None
     if parts:
@@ -191,7 +205,7 @@ def merge(spark: SparkSession, path: str, everything: bool = False) -> int:
         rows = _live(spark, path, taken, "segment", _POSTINGS)
         docs = settle(_live(spark, path, [Part(p.segment, "documents") if p.kind == "segment" else p for p in taken],
                             "documents", _DEAD), "merged")
-        merged = _write_segment(rows, docs, path, number)
+        merged = _write_segment(rows, docs, path, number, docs.count())
         segments = [p for p in parts if p.kind == "segment" and p not in full] + [merged]
         # Tombstones that no older segment is left for, and deltas one by one, are not needed any more.
         oldest = min(p.segment for p in segments)

@@ -37,6 +37,40 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df) else df
 
 
+#: Broadcasts of keys that one join may take.
+PARTS = 4
+
+
+def key_parts(keys: DataFrame, on: list[str]) -> list[DataFrame] | None:
+    """`keys` in parts by hash that may each be broadcast; None if these were more than `PARTS`."""
+    rows, size = measure(keys)
+    parts = max(1, -(-rows // BROADCAST_ROWS), -(-size // BROADCAST_BYTES))
+    if parts == 1:
+        return [F.broadcast(keys)]
+    parts += 1  # hashes deal unevenly
+    if parts > PARTS:
+        return None
+    return [F.broadcast(keys.where(F.pmod(F.xxhash64(*on), F.lit(parts)) == p)) for p in range(parts)]
+
+
+def without(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of `df` that have none of `keys`. `df` is not exchanged as long as a few broadcasts hold the keys."""
+    for part in key_parts(keys, on) or [keys]:
+        df = df.join(part, on, "left_anti")
+    return df
+
+
+def within(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of `df` that have one of the distinct `keys`, likewise."""
+    parts = key_parts(keys, on)
+    if parts is None or len(parts) == 1:
+        return df.join(parts[0] if parts else keys, on, "left_semi")
+    found = df
+    for n, part in enumerate(parts):
+        found = found.join(part.withColumn(f"_in{n}", F.lit(True)), on, "left")
+    return found.where(F.coalesce(*(f"_in{n}" for n in range(len(parts))))).select(df.columns)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows of a scan over at least as many tasks as there are cores.
 

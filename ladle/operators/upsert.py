@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ladle.functions.values import index_name
-from ladle.operators.sizing import small
+from ladle.operators.sizing import fits_broadcast, small, without
 from ladle.schemas import RECIPE
 from ladle.session import settle
 
 KEY = ("source", "_id")
 # Documents per id bucket of one table: an upsert rewrites whole buckets.
 DOCS_PER_BUCKET = 5_000_000
+# Folders of a write whose rows are not brought together: each task may add a file to each.
+FEW_FOLDERS = 4
 BODY = [f for f in RECIPE.fieldNames() if f != "_id"]
 
 
@@ -25,6 +27,20 @@ def latest(recipes: DataFrame, version: str = "version") -> DataFrame:
     return recipes.withColumn("_rank", F.row_number().over(last)).where("_rank = 1").drop("_rank")
 
 
+def latest_settled(recipes: DataFrame, version: str = "version") -> DataFrame:
+    """`latest` of rows that are on disk. Keys are counted first: only documents that come more than once are exchanged whole."""
+    again = settle(recipes.groupBy(*KEY).agg(F.count("*").alias("n")).where("n > 1").select(*(F.col(k).alias(f"_{k}") for k in KEY)), "again")
+    if again.isEmpty():
+        return recipes
+    if not fits_broadcast(again):
+        return latest(recipes, version)
+    met = F.lit(True)
+    for k in KEY:
+        met = met & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    once, more = (recipes.join(F.broadcast(again), met, how) for how in ("left_anti", "left_semi"))
+    return once.unionByName(latest(more, version))
+
+
 def bucket_count(rows: int, per_bucket: int, least: int) -> int:
     """Buckets grow with the table, within what a file system lists quickly."""
     return max(least, min(1024, -(-rows // per_bucket)))
@@ -41,9 +57,12 @@ def id_buckets(docs: DataFrame) -> int:
 
 
 def _write_documents(docs: DataFrame, path: str, replace_all: bool) -> None:
-    (docs.hint("rebalance", "source", "id_bucket")
-         .sortWithinPartitions("source", "id_bucket", "_id")
+    """Rows of few folders are written by the tasks that read them, so that no text is exchanged; those of many meet first."""
+    if docs.select("source", "id_bucket").distinct().limit(FEW_FOLDERS + 1).count() > FEW_FOLDERS:
+        docs = docs.hint("rebalance", "source", "id_bucket")
+    (docs.sortWithinPartitions("source", "id_bucket", "_id")
          .write.mode("overwrite").option("partitionOverwriteMode", "static" if replace_all else "dynamic")
+         .option("compression", "zstd")
          .partitionBy("source", "id_bucket").parquet(path))
 
 
@@ -59,16 +78,19 @@ def has_table(spark: SparkSession, path: str) -> bool:
 
 
 def upsert(recipes: DataFrame, path: str, recreate: bool = False,
-           buckets: int | None = None) -> DataFrame:
+           buckets: int | None = None, distinct: bool = False) -> DataFrame:
     """Write the last version of `recipes(source, version, recipe fields)` into the table at
-    `path`; returns `source, documents` written. `recreate` empties the table first.
+    `path`; returns `source, documents` written. `recreate` empties the table first. `distinct`
+    says that `recipes` are on disk and hold a document once.
 
     Only the (source, id bucket) partitions of incoming ids are read and replaced. Their new
     content is settled in the shared folder first, so the table never reads from itself and
     the rows survive a failure between delete and rename.
     """
     spark = recipes.sparkSession
-    fresh = settle(latest(recipes).select("source", "_id", *BODY), "upsert-new")
+    fresh = recipes.select("source", "_id", *BODY)
+    if not distinct:
+        fresh = settle(latest(recipes).select(fresh.columns), "upsert-new", compression="zstd")
     merging = not recreate and has_table(spark, path)
     if merging:
         buckets = id_buckets(documents(spark, path))
@@ -79,9 +101,9 @@ def upsert(recipes: DataFrame, path: str, recreate: bool = False,
         # One row per touched partition; DISTINCT is combined before its shuffle.
         touched = fresh.select("source", "id_bucket").distinct()
         kept = (documents(spark, path)
-                .join(small(touched), ["source", "id_bucket"], "left_semi")
-                .join(fresh.select(*KEY, "id_bucket"), [*KEY, "id_bucket"], "left_anti"))
-        merged = settle(kept.select(fresh.columns).unionByName(fresh), "upsert-merged")
+                .join(small(touched), ["source", "id_bucket"], "left_semi"))
+        kept = without(kept, fresh.select(*KEY, "id_bucket"), [*KEY, "id_bucket"])
+        merged = settle(kept.select(fresh.columns).unionByName(fresh), "upsert-merged", compression="zstd")
     else:
         merged = fresh
     _write_documents(merged, path, not merging)

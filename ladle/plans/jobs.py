@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ladle.functions.analysis import LIGHT_ENGLISH, Analyzer
 from ladle.operators import segments
@@ -11,7 +12,7 @@ from ladle.operators.extract import RECIPE_SITE, Layout, extract_range
 from ladle.operators.index import Index, ensure_index, open_index, place_index, refresh_index
 from ladle.operators.search import TOP, search, with_documents
 from ladle.operators.sizing import spread
-from ladle.operators.upsert import documents, has_table, latest, outcome, upsert
+from ladle.operators.upsert import documents, has_table, latest_settled, outcome, upsert
 from ladle.session import settle
 from ladle.sources.batches import (batch_results, parse_batches, quarantine, scan_text, successes,
                                    write_batches)
@@ -62,13 +63,15 @@ def index_new(spark: SparkSession, landed: str, base: str, analyzer: Analyzer =
     """
     ledger = f"{base}/ledger"
     files = settle(new_files(spark, landed, ledger), "new-files")
-    parsed = settle(parse_batches(scan_text(spark, landed, whole_files, files)), "parsed")
+    parsed = parse_batches(scan_text(spark, landed, whole_files, files))
+    # Of a body that was read, nobody needs the text again.
+    parsed = settle(parsed.withColumn("body", F.when(F.col("results").isNull(), F.col("body"))), "parsed", compression="zstd")
     quarantine(parsed).write.mode("append").parquet(f"{base}/quarantine")
     results = batch_results(parsed)
     report = settle(outcome(results), "outcome")
-    fresh = settle(latest(successes(results)), "fresh")
+    fresh = latest_settled(successes(results))
     if not fresh.isEmpty():
-        upsert(fresh, f"{base}/documents")
+        upsert(fresh, f"{base}/documents", distinct=True)
         segments.add(fresh.drop("version"), f"{base}/segments", analyzer)
     record(files, ledger)
     return report

@@ -22,7 +22,7 @@ from ladle.functions.analysis import LIGHT_ENGLISH, Analyzer
 from ladle.operators.index import FIELDS, Index, posting_rows
 from ladle.operators.sizing import key_parts, within
 from ladle.operators.upsert import FEW_FOLDERS, bucket_count, has_table, id_bucket
-from ladle.session import settle
+from ladle.session import settings, settle
 
 #: Segments of one tier that are merged; a tier holds segments up to `FAN` times as large as the one before.
 FAN = 4
@@ -33,8 +33,8 @@ _DIGITS = 10
 
 _POSTINGS = "source string, field string, term string, _id string, tf bigint, dl bigint"
 _DEAD = "source string, _id string"
-# Files that a task may hold open at once; with 0 it sorts its rows by folder first.
-_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+#: Row groups of a segment, and what a task reads of it to count: its terms are in memory together.
+COUNTED_BYTES = 8 * 1024 * 1024
 _DELTAS = "source string, field string, term string, df bigint, total_len bigint, documents bigint"
 _MANIFEST = "segment int, kind string, documents bigint, buckets int"
 
@@ -107,12 +107,10 @@ def _write_segment(rows: DataFrame, docs: DataFrame, path: str, number: int, doc
     rows = rows.select("source", "field", "term", "_id", "tf", "dl").withColumn("id_bucket", id_bucket(buckets))
     if not sorted_runs:
         rows = rows.hint("rebalance", "id_bucket").sortWithinPartitions("id_bucket", "source", "field", "term")
-    conf, before = rows.sparkSession.conf, rows.sparkSession.conf.get(_WRITERS)
-    conf.set(_WRITERS, str(FEW_FOLDERS) if sorted_runs else before)
-    try:
-        rows.write.partitionBy("id_bucket").mode("overwrite").option("compression", "zstd").parquet(_folder(path, "segment", number))
-    finally:
-        conf.set(_WRITERS, before)
+    # Without open files for all folders, the writer sorts by folder.
+    with settings(rows.sparkSession, spark__sql__maxConcurrentOutputFileWriters=str(FEW_FOLDERS if sorted_runs else 0)):
+        (rows.write.partitionBy("id_bucket").mode("overwrite").option("compression", "zstd")
+             .option("parquet.block.size", str(COUNTED_BYTES)).parquet(_folder(path, "segment", number)))
     docs.select("source", "_id").write.mode("overwrite").parquet(_folder(path, "documents", number))
     return Part(number, "segment", documents, buckets)
 
@@ -173,9 +171,11 @@ def delete(keys: DataFrame, path: str) -> int:
 
 
 def _finish(spark: SparkSession, path: str, number: int, parts: list[Part], deltas: DataFrame, ended: DataFrame | None) -> None:
-    (deltas.groupBy("source", "field", "term").agg(*(F.sum(c).alias(c) for c in ("df", "total_len", "documents")))
-           .where("df <> 0 or total_len <> 0 or documents <> 0")
-           .write.mode("overwrite").parquet(_folder(path, "deltas", number)))
+    # Tasks of one size, however large the segment is: the default follows the input up to 128 MB.
+    with settings(spark, spark__sql__files__maxPartitionBytes=str(COUNTED_BYTES)):
+        (deltas.groupBy("source", "field", "term").agg(*(F.sum(c).alias(c) for c in ("df", "total_len", "documents")))
+               .where("df <> 0 or total_len <> 0 or documents <> 0")
+               .write.mode("overwrite").parquet(_folder(path, "deltas", number)))
     parts = [*parts, Part(number, "deltas")]
     if ended is not None and not ended.isEmpty():
         ended.write.mode("overwrite").parquet(_folder(path, "dead", number))

@@ -62,4 +62,22 @@ def test_load_exchanges_no_text_and_keeps_no_second_copy(spark, rows, tmp_path,
     assert got == sorted([(str(i), f"{'again' if i in (2, 5, 9) else 'first'} {i}") for i in (*range(1, 8), 9)], key=repr)
     assert "rebalance" not in hints  # a table of one folder
     assert all(b.where("body is not null").count() == 0 < b.count() for b in bodies) and len(bodies) == 2
-    assert spark.conf.get(segments._WRITERS) == "0"
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_tasks_that_count_terms_are_of_one_size(spark, rows, tmp_path, monkeypatch):
+    # They followed the size of a scan's split, and the postings of a folder went to one task to be sorted.
+    monkeypatch.setattr(segments, "COUNTED_BYTES", 20_000)
+    docs = spark.range(400).select(F.lit("s").alias("source"), F.col("id").cast("string").alias("_id"),
+                                   F.concat_ws(" ", *(F.sha2(F.concat(F.lit(f"{i}-"), F.col("id")), 256) for i in range(8))).alias("title"),
+                                   F.array(F.lit("common")).alias("ingredient"))
+    met = []
+    finish = segments._finish
+    monkeypatch.setattr(segments, "_finish", lambda *a: (met.append(a[4]), finish(*a)))
+    segments.add(docs.repartition(8), str(tmp_path))
+    index = segments.open_segments(spark, str(tmp_path))
+    assert rows(index.term_stats.where("term = 'common'"), "field", "df") == [("ingredient", 400)]
+    assert index.term_stats.count() == index.term_stats.select("term").distinct().count() == 400 * 8 + 1
+    with segments.settings(spark, spark__sql__files__maxPartitionBytes="20000"):
+        assert met[0].rdd.getNumPartitions() > 8
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "134217728b"

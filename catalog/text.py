@@ -10,7 +10,7 @@ from catalog.stems import sql_porter
 from ladle.functions.analysis import ANALYZERS, LIGHT_ENGLISH, Analyzer
 from ladle.operators import segments
 from ladle.operators.batching import batches
-from ladle.operators.index import field_tokens, index_view, posting_rows
+from ladle.operators.index import field_tokens, index_view, term_totals
 from ladle.operators.roots import validated_analyzer, validated_roots
 from ladle.operators.search import (no_results, query_terms, result_lines, scores, search,
                                     with_documents)
@@ -110,8 +110,7 @@ def token_counts(spark, sf_dir):
 
 
 def _term_counts(spark, sf_dir, analyzer):
-    rows = posting_rows(recipes(spark, sf_dir), analyzer, doc_rows=False)
-    return rows.groupBy("field", "term").agg(F.sum("tf").alias("n"))
+    return term_totals(recipes(spark, sf_dir), analyzer)
 
 
 def analyzed_terms(spark, sf_dir):

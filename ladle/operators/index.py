@@ -19,7 +19,7 @@ from ladle.functions.analysis import LIGHT_ENGLISH, Analyzer, bag_tokens, tokens
 from ladle.functions.values import index_name, matches_pattern
 from ladle.operators.counting import postings_of, term_lists, token_lists
 from ladle.operators.placed import Placed, open_placed, place, unplace
-from ladle.operators.sizing import pieces, small, spread
+from ladle.operators.sizing import piece_count, pieces, small, spread
 from ladle.operators.upsert import bucket_count, has_table
 from ladle.session import settle
 
@@ -61,16 +61,33 @@ def posting_rows(recipes: DataFrame, analyzer: Analyzer = LIGHT_ENGLISH,
     return postings_of(lists, "source", "field", "term").select("source", "_id", "field", "dl", "term", "tf")
 
 
+def term_totals(recipes: DataFrame, analyzer: Analyzer = LIGHT_ENGLISH, fields: tuple[str, ...] = FIELDS) -> DataFrame:
+    """`field, term, n` over all documents.
+
+    A list is summed where it was made. The sums meet in as many tasks as the text has pieces, so a task holds the terms
+    of a piece's share; a number left to Spark would let it hold more the larger the input is.
+    """
+    parts = piece_count(recipes.select("source", "_id", *fields))
+    lists = posting_lists(recipes, analyzer, fields, doc_rows=False, parts=parts)
+    sums = lists.select("field", "term", F.aggregate("tfs", F.lit(0).cast("bigint"), lambda t, n: t + n).alias("n"))
+    return sums.repartition(parts, "field", "term").groupBy("field", "term").agg(F.sum("n").alias("n"))
+
+
 def posting_lists(recipes: DataFrame, analyzer: Analyzer = LIGHT_ENGLISH,
-                  fields: tuple[str, ...] = FIELDS, doc_rows: bool = True, placing: bool = True) -> DataFrame:
+                  fields: tuple[str, ...] = FIELDS, doc_rows: bool = True, placing: bool = True,
+                  parts: int | None = None) -> DataFrame:
     """The same as lists: `source, field, term, ids, tfs, dls`, one or more rows for a term of a field in a source.
 
     The short text is placed by document once, in pieces of one size however large the input is; a batch of documents
     is then tokenised, counted and analysed in its task, its distinct tokens once each. `placing=False` leaves documents
-    in the tasks that read them: enough where what follows keeps no more than a batch.
+    in the tasks that read them: enough where what follows keeps no more than a batch. `parts` is the number of pieces, if
+    it has been measured.
     """
     text = recipes.select("source", "_id", *fields)
-    placed = pieces(text, "source", "_id") if placing else spread(text)
+    if placing:
+        placed = text.repartition(parts, "source", "_id") if parts else pieces(text, "source", "_id")
+    else:
+        placed = spread(text)
     if analyzer.lexicon is not None:  # its join may exchange the tokens
         return _lists_by_rows(placed, analyzer, fields, doc_rows)
     bags = placed.select(F.col("source").cast("string").alias("source"), F.col("_id").cast("string").alias("_id"),

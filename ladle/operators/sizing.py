@@ -81,11 +81,8 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def pieces(df: DataFrame, *keys: str, size: int = PIECE_BYTES) -> DataFrame:
-    """Rows placed by `keys` in pieces of about `size` bytes of text: one pass counts the bytes.
-
-    A number left to Spark follows the cores and the compressed bytes, so that pieces would grow with the input.
-    """
+def piece_count(df: DataFrame, size: int = PIECE_BYTES) -> int:
+    """Pieces of about `size` bytes of text, and as many as there are cores at least: one pass counts the bytes."""
     kinds = dict(df.dtypes)
     width = F.lit(16 * len(kinds)).cast("bigint")
     for name, kind in kinds.items():
@@ -93,4 +90,12 @@ def pieces(df: DataFrame, *keys: str, size: int = PIECE_BYTES) -> DataFrame:
             text = F.col(f"`{name}`") if kind == "string" else F.array_join(f"`{name}`", "\n")
             width = width + F.coalesce(F.octet_length(text), F.lit(0))
     total = df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
-    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-total // size)), *keys)
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-total // size))
+
+
+def pieces(df: DataFrame, *keys: str, size: int = PIECE_BYTES) -> DataFrame:
+    """Rows placed by `keys` in pieces of about `size` bytes of text.
+
+    A number left to Spark follows the cores and the compressed bytes, so that pieces would grow with the input.
+    """
+    return df.repartition(piece_count(df, size), *keys)

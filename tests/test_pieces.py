@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ladle.functions.analysis import Analyzer
 from ladle.operators import placed
-from ladle.operators.index import build_index, place_index, posting_rows
+from ladle.operators.index import build_index, place_index, posting_rows, term_totals
 from ladle.operators.sizing import PIECE_BYTES, pieces
 
 SCHEMA = "source string, _id string, title string, ingredient array<string>"
@@ -47,3 +47,14 @@ def test_shards_follow_words(spark, rows, tmp_path, monkeypatch):
     assert spark.read.parquet(f"{tmp_path}/placed_shape").first()["shards"] == -(-80 * 64 // 500)
     entries = blocks.select("source", "field", "term", F.inline(F.arrays_zip("tfs", "dls")))
     assert rows(entries) == postings
+
+
+def test_terms_of_a_larger_input_meet_in_more_tasks(spark, rows):
+    # Their number followed the shuffle partitions, so a task held more of them the larger the input was.
+    def text(pieces_):
+        return spark.range(60).select(F.lit("s").alias("source"), F.col("id").cast("string").alias("_id"),
+                                      F.repeat(F.concat(F.lit("word x"), F.col("id"), F.lit(" ")), pieces_ * PIECE_BYTES // 60 // 8).alias("title"),
+                                      F.array().cast("array<string>").alias("ingredient"))
+    assert term_totals(text(3)).rdd.getNumPartitions() < term_totals(text(9)).rdd.getNumPartitions() >= 9
+    some = spark.createDataFrame([("a", "1", "berries berry", ["x"]), ("b", "2", "berry x", None)], SCHEMA)
+    assert rows(term_totals(some), "field", "term", "n") == [("ingredient", "x", 1), ("title", "berry", 3), ("title", "x", 1)]

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -31,9 +32,9 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from ladle.llm.mapping import map_texts
 from ladle.session import settle
 
-#: Distinct words, and parts of words, that a worker keeps; beyond it the memory starts anew.
+#: Distinct parts of texts that a worker keeps; beyond it the memory starts anew.
 REMEMBERED = 400_000
-#: Longer words are encoded but not kept.
+#: Longer ones are encoded but not kept.
 KEPT_LENGTH = 48
 
 
@@ -46,73 +47,144 @@ class Capacity(NamedTuple):
     weights: tuple[float, float, float] = (1.0, 0.01, 0.01)
 
 
+#: Kinds of characters to the pre-tokeniser, whose pattern is fixed by the vocabulary file: 's|'t|'re|'ve|'m|'ll|'d,
+#: letters, one number, or signs. Those beyond Latin-1 are foreign.
+SPACE, SIGN, LETTER, NUMBER, FOREIGN = range(5)
+
+
+def _kind(char: str) -> int:
+    """Of a Latin-1 character; there the numbers that are not digits are six."""
+    if not Tokens._WORD.match(char):
+        return SPACE
+    if re.match(r"[\d²³¹¼½¾]", char):
+        return NUMBER
+    return LETTER if re.match(r"[^\W_]", char) else SIGN
+
+
 class Tokens:
-    """Ids of texts by `tokenizers`, each distinct word encoded once as long as a bounded memory holds it.
+    """Ids of texts by `tokenizers`; a part of a text is merged once as long as a bounded memory holds it.
 
     The pre-tokeniser never joins what white space separates, and normalisation does not act across it,
     so the ids of a text are those of its words in turn. Words of Latin-1 letters, which normalisation
-    only lower-cases, are taken apart further by the pre-tokeniser's own pattern; their parts are merged
-    independently and each ends in a token that is marked as the end of a word.
+    only lower-cases, are taken apart further, as the pre-tokeniser does, into parts that are merged
+    independently; other words are encoded whole. Texts are taken apart side by side: characters by their
+    kind, distinct parts by dictionary encoding, ids by one gather.
     """
 
     # What str.split() takes for white space and the library does not.
     _CONTROLS = "\x1c\x1d\x1e\x1f"
     _WORD = re.compile("[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-    # Fixed by the vocabulary file; in Latin-1 the numbers that are not digits are these six.
-    _PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[\d²³¹¼½¾]|(?:[^\w\s]|_)+")
-    _END = "</w>"
+    _FAR_SPACES = np.array([0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000], np.uint32)
+    _LOWER = np.array([ord(chr(c).lower()) for c in range(256)] + [0], np.uint8)
 
     def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.model = Tokenizer.from_file(path)
         self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
-        vocabulary = self.model.get_vocab(with_added_tokens=False)
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for t, i in vocabulary.items() if t.endswith(self._END)]] = True
-        self.words: dict[str, bytes] = {}
+        self.merge = self.model.model.tokenize
+        # Merges act on bytes, each written as a character of its own.
+        written = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.written = {b: w for c in map(chr, range(256)) for b, w in zip(c.encode(), written(c)[0][0], strict=True)}
+        self.kinds = np.array([_kind(chr(c)) for c in range(256)] + [FOREIGN], np.uint8)
         self.parts: dict[str, bytes] = {}
 
     def _encode(self, units: list[str]) -> list[bytes]:
         found = self.model.encode_batch_fast(units, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _merge(self, parts: list[str]) -> dict[str, bytes]:
-        """Ids of parts, encoded side by side and cut where a word ends."""
-        raw, = self._encode([" ".join(parts)])
-        cuts = [0, *((np.flatnonzero(self.ends[np.frombuffer(raw, "<u4")]) + 1) * 4).tolist()]
-        return {p: raw[a:b] for p, a, b in zip(parts, cuts[:-1], cuts[1:], strict=True)}
-
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        plain = {w: self._PART.findall(w.lower()) for w in words if max(w) < "\u0100"}
-        seen = {p: self.parts.get(p) for ps in plain.values() for p in ps}
-        new = [p for p, ids in seen.items() if ids is None]
-        fresh = self._merge(new) if new else {}
-        seen |= fresh
-        learnt = {w: b"".join([seen[p] for p in ps]) for w, ps in plain.items()}
-        if other := [w for w in words if w not in plain]:
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _learn(self, parts: list[str]) -> dict[str, bytes]:
+        learnt = {}
+        if plain := [p for p in parts if p.isascii() or max(p) < "\u0100"]:
+            written = " ".join(plain).encode().decode("latin-1").translate(self.written)
+            learnt = {p: array("I", [t.id for t in self.merge(w)]).tobytes()
+                      for p, w in zip(plain, written.split(self.written[ord(" ")]), strict=True)}
+        if other := [p for p in parts if p not in learnt]:
             learnt |= zip(other, self._encode(other), strict=True)
-        for memory, found in ((self.parts, fresh), (self.words, learnt)):
-            if len(memory) + len(found) > REMEMBERED:
-                memory.clear()
-            memory.update((w, ids) for w, ids in found.items() if len(w) <= KEPT_LENGTH)
+        if len(self.parts) + len(learnt) > REMEMBERED:
+            self.parts.clear()
+        self.parts.update((p, ids) for p, ids in learnt.items() if len(p) <= KEPT_LENGTH)
         return learnt
 
+    def _cut(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Characters without white space, lower-cased where words are of Latin-1; where their parts begin
+        among them; and how many of them stand before each character given. `codes` ends in a space."""
+        small = codes if codes.itemsize == 1 else np.minimum(codes, 256)
+        kinds, lower = self.kinds[small], self._LOWER[small]
+        far = np.flatnonzero(kinds == FOREIGN)
+        if len(far):
+            kinds[far[np.isin(codes[far], self._FAR_SPACES)]] = SPACE
+            far = far[kinds[far] == FOREIGN]
+        if len(far):  # their words stay whole
+            spaces = np.flatnonzero(kinds == SPACE)
+            after = np.unique(np.searchsorted(spaces, far))
+            begin = np.where(after > 0, spaces[after - 1] + 1, 0)
+            size = spaces[after] - begin
+            kinds[np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())] = FOREIGN
+            lower = np.where(kinds == FOREIGN, codes, lower)
+        begins = np.ones(len(codes), bool)
+        np.not_equal(kinds[1:], kinds[:-1], out=begins[1:])
+        begins |= kinds == NUMBER
+        # An apostrophe that is a run of its own, with letters behind it that may be an ending.
+        at = np.flatnonzero((lower == ord("'")) & begins & (kinds == SIGN))
+        at = at[kinds[at + 1] == LETTER]
+        first, second = lower[at + 1], lower[np.minimum(at + 2, len(lower) - 1)]
+        one = np.isin(first, np.frombuffer(b"stmd", np.uint8))
+        two = (((first == ord("r")) | (first == ord("v"))) & (second == ord("e"))
+               | (first == ord("l")) & (second == ord("l")))
+        ending = one | two
+        begins[at[ending] + 1] = False
+        begins[(at + np.where(one, 2, 3))[ending]] = True
+        held = kinds != SPACE
+        before = np.cumsum(held)
+        before -= held
+        return lower[held], before[begins & held], before
+
+    def batch(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        if not texts:
+            return []
+        joined = " ".join(texts) + " "
+        if any(s in joined for s in (*self.special, *self._CONTROLS)):
+            odd = [any(s in t for s in (*self.special, *self._CONTROLS)) for t in texts]
+            if any(odd):
+                plain = iter(self.batch([t for t, o in zip(texts, odd, strict=True) if not o]))
+                return [self._odd(t) if o else next(plain) for t, o in zip(texts, odd, strict=True)]
+        try:
+            codes = np.frombuffer(joined.encode("latin-1"), np.uint8)
+        except UnicodeEncodeError:
+            codes = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        lower, begins, before = self._cut(codes)
+        codec = "latin-1" if lower.itemsize == 1 else "utf-32-le"
+        offsets = np.append(begins, len(lower)) * lower.itemsize
+        found = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(begins), [None, pa.py_buffer(offsets), pa.py_buffer(lower)]
+        ).dictionary_encode()
+        parts = [p.decode(codec) for p in found.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        known = [self.parts.get(p) for p in parts]
+        new = [p for p, ids in zip(parts, known, strict=True) if ids is None]
+        learnt = self._learn(new) if new else {}
+        known = [learnt[p] if ids is None else ids for p, ids in zip(parts, known, strict=True)]
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        flat = np.frombuffer(b"".join(known), "<u4")
+        which = found.indices.to_numpy()
+        size = sizes[which]
+        ends = np.cumsum(size)
+        ids = flat[np.repeat((np.cumsum(sizes) - sizes)[which] - ends + size, size) + np.arange(size.sum())]
+        at = np.cumsum([len(t) + 1 for t in texts])[:-1]  # where the next text begins
+        return np.split(ids, np.append(0, ends)[np.searchsorted(begins, before[at])])
+
+    def _odd(self, text: str) -> np.ndarray:
+        """Ids of a text that holds special tokens or controls."""
+        units = [text] if any(s in text for s in self.special) else self._WORD.findall(text)
+        return np.frombuffer(b"".join(self._encode(units)), "<u4")
+
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        if any(s in text for s in self.special):
-            return self._encode([text])[0]
-        if any(c in text for c in self._CONTROLS):
-            return b"".join(self._encode(self._WORD.findall(text)))
-        words = text.split()
-        seen = {w: self.words.get(w) for w in set(words)}
-        new = [w for w, ids in seen.items() if ids is None]
-        if new:
-            seen |= self._learn(new)
-        return b"".join([seen[w] for w in words])
+        return self.batch([text])[0].tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -131,8 +203,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, size: int, text: s
     def kernel(ids: list, texts: list) -> list:
         of, rows = tokens(tokenizer_path), []
         end = np.array([end_id], "<u4").tobytes()
-        for doc, t in zip(ids, texts, strict=True):
-            raw = of.ids(t or "") + end
+        for doc, found in zip(ids, of.batch([t or "" for t in texts]), strict=True):
+            raw = found.tobytes() + end
             for n, at in enumerate(range(0, len(raw), 4 * size)):
                 part = raw[at:at + 4 * size]
                 rows.append((doc, n, at // 4, len(part) // 4, zlib.crc32(part)))

@@ -24,6 +24,25 @@ def test_ids_equal_the_library(monkeypatch):
         assert np.frombuffer(tokens.ids(text), "<u4").tolist() == want, text
 
 
+def test_ids_of_many_texts_equal_the_library(monkeypatch):
+    monkeypatch.setattr(p, "REMEMBERED", 50)
+    library, tokens, rnd = Tokenizer.from_file(PATH), p.Tokens(PATH), random.Random(4)
+    near = ["'", "'S", "'re", "''ve", "'l", "'LL", "s", "E", "É", "ß", "×", "²", "7", "_", "!", ".", " ", "\xa0", "\n", "\0"]
+    for some in [near, near + ["\u2003", "日", "—", "Σ"], near + TEXTS] * 40:
+        texts = ["".join(rnd.choice(some) for _ in range(rnd.randint(0, 14))) for _ in range(50)] + [""]
+        for text, got in zip(texts, tokens.batch(texts), strict=True):
+            assert got.tolist() == library.encode(text, add_special_tokens=False).ids, text
+    assert tokens.batch([]) == []
+
+
+def test_a_part_is_merged_once_for_many_texts(monkeypatch):
+    tokens, learnt, learn = p.Tokens(PATH), [], p.Tokens._learn
+    monkeypatch.setattr(p.Tokens, "_learn", lambda self, parts: learnt.append(sorted(parts)) or learn(self, parts))
+    texts = [f"{word}{sign}" for word in ("Stone", "STONE", "stone's") for sign in (".", ",", "!", "") * 20]
+    tokens.batch(texts)
+    assert learnt == [["!", "'s", ",", ".", "stone"]]
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 @pytest.mark.parametrize("capacity", [p.Capacity(100, 100, 10_000), p.Capacity(100, 3, 10_000), p.Capacity(100, 9, 4_000)])
 def test_every_capacity_holds(rule, capacity):

@@ -19,9 +19,9 @@ from ladle.functions.analysis import LIGHT_ENGLISH, Analyzer, bag_tokens, tokens
 from ladle.functions.values import index_name, matches_pattern
 from ladle.operators.counting import postings_of, term_lists, token_lists
 from ladle.operators.placed import Placed, open_placed, place, unplace
-from ladle.operators.sizing import piece_count, pieces, small, spread
+from ladle.operators.sizing import IN_PIECES, PIECE_BYTES, piece_count, pieces, small, spread
 from ladle.operators.upsert import bucket_count, has_table
-from ladle.session import settle
+from ladle.session import passing, settings, settle
 
 FIELDS = ("title", "ingredient")
 ALL_INDEXES = "recipes-from-*"
@@ -141,11 +141,13 @@ def index_view(docs: DataFrame, pattern: str = ALL_INDEXES, name: str | None = N
 def _write(df: DataFrame, path: str, partition: list[str], order: list[str], replace_all: bool) -> None:
     """Rebalance splits a hot source over many tasks and merges small ones; rows are sorted by
     term inside every file so that row groups and pages of other terms are skipped."""
-    (df.hint("rebalance", *partition)
-       .sortWithinPartitions(*partition, *order)
-       .write.mode("overwrite")
-       .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
-       .partitionBy(*partition).parquet(path))
+    with passing(df.sparkSession, **IN_PIECES):
+        (df.hint("rebalance", *partition)
+           .sortWithinPartitions(*partition, *order)
+           .write.mode("overwrite")
+           .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
+           .option("compression", "zstd").option("parquet.block.size", str(PIECE_BYTES))
+           .partitionBy(*partition).parquet(path))
 
 
 def build_index(recipes: DataFrame, path: str, analyzer: Analyzer = LIGHT_ENGLISH,
@@ -153,7 +155,7 @@ def build_index(recipes: DataFrame, path: str, analyzer: Analyzer = LIGHT_ENGLIS
     """Index all of `recipes` (one row per document) at `path`, replacing what is there."""
     if buckets is None:
         buckets = bucket_count(recipes.count(), DOCS_PER_BUCKET, 4)
-    rows = _bucketed(posting_lists(recipes, analyzer, fields), buckets)
+    rows = _bucketed(_lists_as_read(recipes, analyzer, fields), buckets)
     _write_tables(recipes.sparkSession, rows, path, buckets, None)
     _write_catalogue(recipes, path, None)
     return open_index(recipes.sparkSession, path)
@@ -166,12 +168,19 @@ def refresh_index(recipes: DataFrame, path: str, sources: DataFrame,
     buckets = open_index(spark, path).buckets
     touched = settle(sources.select("source").distinct(), "refresh")
     changed = recipes.join(small(touched), "source", "left_semi")
-    rows = _bucketed(posting_lists(changed, analyzer, fields), buckets)
+    rows = _bucketed(_lists_as_read(changed, analyzer, fields), buckets)
     _write_tables(spark, rows, path, buckets, touched)
     _write_catalogue(changed, path, touched)
     return open_index(spark, path)
 
 
+def _lists_as_read(recipes: DataFrame, analyzer: Analyzer, fields: tuple[str, ...]) -> DataFrame:
+    """Lists of batches of `PIECE_BYTES`, counted where they are read: the text is not exchanged, and a table that lies by
+    source gives batches of one source, hence a term a few long lists in place of many short ones."""
+    with settings(recipes.sparkSession, **IN_PIECES):
+        return posting_lists(recipes, analyzer, fields, placing=analyzer.lexicon is not None)
+
+
 def _bucketed(rows: DataFrame, buckets: int) -> DataFrame:
     return rows.withColumn("bucket", F.when(F.col("term") == "", DOC_BUCKET)
                                       .otherwise(term_bucket(F.col("term"), F.lit(buckets))))

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ladle.operators.upsert import has_table
-from ladle.session import ship_package
+from ladle.session import passing, ship_package
 
 #: Documents of a shard, on average; and of the ordinal range of a block.
 DOCS_PER_SHARD, BLOCK = 50_000, 1024
@@ -57,8 +57,9 @@ def _write(df: DataFrame, path: str, part: str, shards: int, order: list[str]) -
     """Write rows whose partitions are whole shards."""
     name = _table(path, part)
     df.sparkSession.sql(f"drop table if exists {name}")
-    (df.write.mode("overwrite").option("path", f"{path}/{part}")
-       .bucketBy(shards, "shard").sortBy(*order).saveAsTable(name))
+    with passing(df.sparkSession):
+        (df.write.mode("overwrite").option("path", f"{path}/{part}").option("compression", "zstd")
+           .bucketBy(shards, "shard").sortBy(*order).saveAsTable(name))
 
 
 def _numbers(spark: SparkSession, shards: int) -> Column:

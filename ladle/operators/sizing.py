@@ -9,6 +9,10 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_ROWS = 1_000_000
 #: Text of one piece, where the work on it needs many times its memory.
 PIECE_BYTES = 8 * 1024 * 1024
+#: What the tasks of a write read of tables and of exchanges, and what Python gets at once: of one size, however large the
+#: input is. (Tables that are read so are written in row groups of `PIECE_BYTES`, which no split divides.)
+IN_PIECES = {"spark__sql__files__maxPartitionBytes": str(PIECE_BYTES), "spark__sql__adaptive__advisoryPartitionSizeInBytes": str(PIECE_BYTES),
+             "spark__sql__execution__arrow__maxBytesPerBatch": str(PIECE_BYTES)}
 
 
 def measure(df: DataFrame) -> tuple[int, int]:

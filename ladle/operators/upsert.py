@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ladle.functions.values import index_name
-from ladle.operators.sizing import fits_broadcast, small, without
+from ladle.operators.sizing import PIECE_BYTES, fits_broadcast, small, without
 from ladle.schemas import RECIPE
-from ladle.session import settle
+from ladle.session import passing, settle
 
 KEY = ("source", "_id")
 # Documents per id bucket of one table: an upsert rewrites whole buckets.
@@ -60,10 +60,11 @@ def _write_documents(docs: DataFrame, path: str, replace_all: bool) -> None:
     """Rows of few folders are written by the tasks that read them, so that no text is exchanged; those of many meet first."""
     if docs.select("source", "id_bucket").distinct().limit(FEW_FOLDERS + 1).count() > FEW_FOLDERS:
         docs = docs.hint("rebalance", "source", "id_bucket")
-    (docs.sortWithinPartitions("source", "id_bucket", "_id")
-         .write.mode("overwrite").option("partitionOverwriteMode", "static" if replace_all else "dynamic")
-         .option("compression", "zstd")
-         .partitionBy("source", "id_bucket").parquet(path))
+    with passing(docs.sparkSession):
+        (docs.sortWithinPartitions("source", "id_bucket", "_id")
+             .write.mode("overwrite").option("partitionOverwriteMode", "static" if replace_all else "dynamic")
+             .option("compression", "zstd").option("parquet.block.size", str(PIECE_BYTES))
+             .partitionBy("source", "id_bucket").parquet(path))
 
 
 def has_table(spark: SparkSession, path: str) -> bool:

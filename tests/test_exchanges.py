@@ -1,15 +1,19 @@
 """Text and postings are exchanged only where rows must meet."""
 
+import os
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.operators import segments, sizing
+from ladle.operators import index, segments, sizing
 from ladle.operators.batching import batches
 from ladle.operators.sizing import within, without
 from ladle.operators.upsert import documents, latest, latest_settled
 from ladle.plans import jobs
 from ladle.plans.jobs import index_new
 from ladle.schemas import RECIPE
+from ladle.session import settle
 from ladle.sources.batches import write_batches
 
 SCHEMA = "source string, _id string, version int, title string"
@@ -81,3 +85,34 @@ def test_tasks_that_count_terms_are_of_one_size(spark, rows, tmp_path, monkeypat
     with segments.settings(spark, spark__sql__files__maxPartitionBytes="20000"):
         assert met[0].rdd.getNumPartitions() > 8
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "134217728b"
+
+
+def test_exchanged_rows_go_when_they_are_written(spark):
+    # They stayed until the driver collected its garbage, so the disks held the exchanges of all steps of a job.
+    folders = [d.getPath() for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    held = lambda: {f for top in folders for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_")}
+    before = held()
+    got = settle(spark.range(1000).repartition(7, "id"))
+    for _ in range(50):
+        if held() <= before:
+            break
+        time.sleep(0.2)
+    assert held() <= before and got.count() == 1000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_index_is_built_where_documents_are_read(spark, rows, tmp_path, monkeypatch):
+    # The text was exchanged, which dealt the documents of a source over all tasks: a term had one short list in each.
+    text = spark.range(1200).select(F.col("id").cast("string").alias("_id"), F.lit("common").alias("title"),
+                                    F.array(F.concat(F.lit("w"), F.col("id"))).alias("ingredient"), F.concat(F.lit("s"), F.col("id") % 3).alias("source"))
+    text.repartition(12, "source").write.partitionBy("source").parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs").repartition(4, "source").sortWithinPartitions("source")
+    met, write = [], index._write
+    monkeypatch.setattr(index, "_write", lambda df, path, *a: (met.append(df) if path.endswith("postings") else None, write(df, path, *a)))
+    built = index.build_index(docs, f"{tmp_path}/index", buckets=2)
+    # One exchange is that of `docs` itself.
+    assert met[0]._jdf.queryExecution().optimizedPlan().toString().count("Repartition") == 1
+    lists = spark.read.parquet(f"{tmp_path}/index/postings").where("term = 'common'")
+    assert lists.count() == 3
+    assert rows(built.term_stats.where("term = 'common'"), "source", "df") == [("s0", 400), ("s1", 400), ("s2", 400)]
+    assert built.postings.count() == 2400

@@ -36,6 +36,7 @@ _BLOCKS = ("shard int, source string, field string, term string, block int, ords
            "dls array<int>, max_tf int, min_dl int")
 _DOCS = "shard int, ord int, source string, _id string"
 _HITS = "asked long, shard int, ord int, score double"
+_MATCHES = "asked long, source string, _id string, score double"
 
 # Scores are rounded to six digits before they are ranked; bounds allow for that.
 _DIGITS, _SLACK = 1e6, 2e-6
@@ -165,6 +166,35 @@ def best(placed: Placed, gains: DataFrame, key: list[str], queries: list[dict[st
     return few.join(placed.docs, ["shard", "ord"]).select("asked", "source", "_id", "score")
 
 
+def every(placed: Placed, gains: DataFrame, key: list[str], queries: list[dict[str, int]], fields: dict[str, float],
+          k1: float, b: float, named: Column) -> DataFrame:
+    """(asked, source, _id, score) of every match, not rounded; otherwise as `best`.
+
+    A shard's documents lie beside its blocks, so a task names and writes its matches itself and none is exchanged. It
+    holds the matches of one shard at a time.
+    """
+    spark = gains.sparkSession
+    ship_package(spark)
+    blocks = (placed.blocks.where(named).join(F.broadcast(gains), key)
+              .select("shard", "field", "term", "ords", "tfs", "dls", "max_tf", "min_dl", "gain", "avgdl"))
+    return blocks.groupBy("shard").cogroup(placed.docs.groupBy("shard")).applyInArrow(_matcher(queries, fields, k1, b), _MATCHES)
+
+
+def _matcher(queries: list[dict[str, int]], fields: dict[str, float], k1: float, b: float) -> Callable:
+    def match(key: tuple, blocks: pa.Table, docs: pa.Table) -> pa.Table:
+        schema = pa.schema([("asked", pa.int64()), ("source", pa.string()), ("_id", pa.string()), ("score", pa.float64())])
+        shard, out = Shard(blocks, k1, b), []
+        docs = docs.take(pa.array(np.argsort(docs["ord"].to_numpy()))).combine_chunks()
+        for q, query in enumerate(queries):
+            ords, scores = shard.every(query, fields)
+            if len(ords):
+                named = docs.select(["source", "_id"]).take(pa.array(ords))
+                out.append(pa.table([pa.array(np.full(len(ords), q)), *named.columns, pa.array(scores)], schema=schema))
+        return pa.concat_tables(out) if out else schema.empty_table()
+
+    return match
+
+
 def _searcher(queries: list[dict[str, int]], fields: dict[str, float], k: int, k1: float, b: float) -> Callable:
     least = [0.0] * len(queries)  # k-th scores over the shards of a task: the function is unpickled once in each
 
@@ -240,6 +270,20 @@ class Shard:
         top = order[np.sort(once)[:k]]
         return docs[top], scores[top]
 
+    def every(self, query: dict[str, int], fields: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
+        """Ordinals and scores of all documents with a term of the query."""
+        top, seen = np.zeros(self.size), np.zeros(self.size, bool)
+        for field in fields:
+            scores = np.zeros(self.size)
+            for term, n in query.items():
+                if (field, term) in self.rows:
+                    ords, parts = self.entries((field, term))
+                    scores[ords] += n * parts
+                    seen[ords] = True
+            np.maximum(top, scores, out=top)
+        docs = np.flatnonzero(seen)
+        return docs, top[docs]
+
     def _field(self, field: str, query: dict[str, int], k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
         lists = sorted((self.most[field, t] * n, n, (field, t)) for t, n in query.items() if (field, t) in self.rows)
         below = np.cumsum([0.0] + [bound for bound, *_ in lists])  # bounds of the lists before each

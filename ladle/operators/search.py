@@ -11,7 +11,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from ladle.functions.analysis import LIGHT_ENGLISH, Analyzer, tokens
 from ladle.functions.values import index_name, matches_pattern
 from ladle.operators.index import ALL_INDEXES, Index, term_bucket
-from ladle.operators.placed import best
+from ladle.operators.placed import best, every
 from ladle.operators.sizing import BROADCAST_ROWS, fits, fits_broadcast, measure, small
 from ladle.operators.upsert import id_bucket, id_buckets
 from ladle.session import settle
@@ -99,7 +99,16 @@ def _match(postings: DataFrame, weights: DataFrame, key: list[str], broadcastabl
 def scores(queries: DataFrame, index: Index, fields: dict[str, float] | None = None,
            scope: str = "index", pattern: str = ALL_INDEXES,
            analyzer: Analyzer = LIGHT_ENGLISH) -> DataFrame:
-    """`query_id, source, _id, score` of every matching document."""
+    """`query_id, source, _id, score` of every matching document; of postings placed by document no match is exchanged."""
+    found = _placed_hits(queries, index, fields, None, scope, pattern, analyzer)
+    if found is None:
+        return _scores_by_term(queries, index, fields, scope, pattern, analyzer)
+    return found.withColumn("score", F.round("score", 6))
+
+
+def _scores_by_term(queries: DataFrame, index: Index, fields: dict[str, float] | None, scope: str, pattern: str,
+                    analyzer: Analyzer) -> DataFrame:
+    """The same from postings that lie by term: what matches meets by document."""
     boosts = _checked(fields)
     in_scope = matches_pattern(index_name(F.col("source")), pattern) & F.col("field").isin(*boosts)
     # Analysed once: what follows reads either a few rows that are at hand, or the written terms.
@@ -141,7 +150,7 @@ def search(queries: DataFrame, index: Index, fields: dict[str, float] | None = N
         "query", F.struct("query_id", F.xxhash64("query").alias("text")).alias("query_id"))
     found = _placed_hits(once, index, fields, k, scope, pattern, analyzer)
     if found is None:
-        found = scores(once, index, fields, scope, pattern, analyzer)
+        found = _scores_by_term(once, index, fields, scope, pattern, analyzer)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "source", "_id")
     hits = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     copies = asked.join(small(once.withColumnRenamed("query_id", "_asked_as")), "query").drop("query")
@@ -150,10 +159,10 @@ def search(queries: DataFrame, index: Index, fields: dict[str, float] | None = N
         "query_id", "source", "_id", "score", "rank")
 
 
-def _placed_hits(queries: DataFrame, index: Index, fields: dict[str, float] | None, k: int, scope: str,
+def _placed_hits(queries: DataFrame, index: Index, fields: dict[str, float] | None, k: int | None, scope: str,
                  pattern: str, analyzer: Analyzer) -> DataFrame | None:
-    """`query_id, source, _id, score`, among which are the best `k` of each query; None where postings are not placed
-    by document, or what the queries ask for is too much to send along."""
+    """`query_id, source, _id, score`, among which are the best `k` of each query (all matches if that is None); None where
+    postings are not placed by document, or what the queries ask for is too much to send along."""
     boosts = _checked(fields)
     if index.placed is None:
         return None
@@ -174,7 +183,10 @@ def _placed_hits(queries: DataFrame, index: Index, fields: dict[str, float] | No
     if len(terms) <= FEW_TERMS:
         named = named & F.col("term").isin(terms)
     gains, key = _gains(spark, terms, index, boosts, scope, in_scope, named)
-    hits = best(index.placed, gains, key, list(asked.values()), boosts, k, K1, B, in_scope & named)
+    if k is None:
+        hits = every(index.placed, gains, key, list(asked.values()), boosts, K1, B, in_scope & named)
+    else:
+        hits = best(index.placed, gains, key, list(asked.values()), boosts, k, K1, B, in_scope & named)
     return hits.join(F.broadcast(numbers), "asked").select("query_id", "source", "_id", "score")
 
 

@@ -9,7 +9,7 @@ import pytest
 from ladle.functions.analysis import LIGHT_ENGLISH
 from ladle.operators.index import ALL_INDEXES, build_index, place_index, refresh_index
 from ladle.operators.placed import Shard
-from ladle.operators.search import _placed_hits, search, search_one
+from ladle.operators.search import _placed_hits, _scores_by_term, scores, search, search_one
 
 SCHEMA = "source string, _id string, title string, ingredient array<string>"
 
@@ -98,3 +98,20 @@ def test_blocks_skipped():
     whole = Shard(frame, 1.2, 0.75)
     all_docs, all_scores = whole.best({"rare": 1, "common": 1}, {"title": 1.0}, 10, 0.0)
     assert len(whole.whole) == 2 and all_docs.tolist() == docs.tolist() and all_scores.tolist() == scores.tolist()
+
+
+@pytest.mark.parametrize("options", [
+    {}, {"scope": "global"}, {"fields": {"title": 2.0}}, {"pattern": "recipes-from-s1"}, {"fields": {"title": 0.0, "ingredient": 3.0}}])
+def test_all_matches_without_exchanging_them(indexes, queries, rows, options):
+    # They were summed by query and document after an exchange of every match, also where postings are placed by document.
+    plain, placed = indexes
+    found = scores(queries, placed, **options)
+    assert rows(found) == rows(scores(queries, plain, **options)) != []
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan.split("BroadcastExchange")[0] and plan.count("Bucketed: true") == 2
+    asked = {"fields": None, "scope": "index", "pattern": ALL_INDEXES, "analyzer": LIGHT_ENGLISH} | options
+    assert rows(found) == rows(_scores_by_term(queries, placed, **asked))
+
+
+def test_no_query_has_no_match(indexes, queries):
+    assert scores(queries.where("query_id > 1000"), indexes[1]).collect() == []

@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 
 from ladle.functions.analysis import LIGHT_ENGLISH, Analyzer
 from ladle.operators.index import FIELDS, Index, posting_rows
-from ladle.operators.sizing import key_parts, within
+from ladle.operators.sizing import IN_PIECES, key_parts, within
 from ladle.operators.upsert import FEW_FOLDERS, bucket_count, has_table, id_bucket
-from ladle.session import settings, settle
+from ladle.session import passing, settings, settle
 
 #: Segments of one tier that are merged; a tier holds segments up to `FAN` times as large as the one before.
 FAN = 4
@@ -108,7 +108,7 @@ def _write_segment(rows: DataFrame, docs: DataFrame, path: str, number: int, doc
     if not sorted_runs:
         rows = rows.hint("rebalance", "id_bucket").sortWithinPartitions("id_bucket", "source", "field", "term")
     # Without open files for all folders, the writer sorts by folder.
-    with settings(rows.sparkSession, spark__sql__maxConcurrentOutputFileWriters=str(FEW_FOLDERS if sorted_runs else 0)):
+    with passing(rows.sparkSession, spark__sql__maxConcurrentOutputFileWriters=str(FEW_FOLDERS if sorted_runs else 0), **IN_PIECES):
         (rows.write.partitionBy("id_bucket").mode("overwrite").option("compression", "zstd")
              .option("parquet.block.size", str(COUNTED_BYTES)).parquet(_folder(path, "segment", number)))
     docs.select("source", "_id").write.mode("overwrite").parquet(_folder(path, "documents", number))
@@ -151,7 +151,9 @@ def add(recipes: DataFrame, path: str, analyzer: Analyzer = LIGHT_ENGLISH, field
     docs = settle(recipes.select("source", F.col("_id").cast("string").alias("_id")), "added")
     documents = docs.count()
     few = bucket_count(documents, DOCS_PER_BUCKET, 1) <= FEW_FOLDERS and analyzer.lexicon is None
-    segment = _write_segment(posting_rows(recipes, analyzer, fields, placing=not few), docs, path, number, documents, few)
+    with settings(spark, **IN_PIECES):
+        counted = posting_rows(recipes, analyzer, fields, placing=not few)
+    segment = _write_segment(counted, docs, path, number, documents, few)
     rows = spark.read.schema(_POSTINGS).parquet(_folder(path, "segment", number))
     deltas, ended = _deltas(rows, docs, 1), None
     if parts:
@@ -171,11 +173,7 @@ def delete(keys: DataFrame, path: str) -> int:
 
 
 def _finish(spark: SparkSession, path: str, number: int, parts: list[Part], deltas: DataFrame, ended: DataFrame | None) -> None:
-    # Tasks of one size, however large the segment is: the default follows the input up to 128 MB.
-    with settings(spark, spark__sql__files__maxPartitionBytes=str(COUNTED_BYTES)):
-        (deltas.groupBy("source", "field", "term").agg(*(F.sum(c).alias(c) for c in ("df", "total_len", "documents")))
-               .where("df <> 0 or total_len <> 0 or documents <> 0")
-               .write.mode("overwrite").parquet(_folder(path, "deltas", number)))
+    _write_deltas(deltas, path, number)
     parts = [*parts, Part(number, "deltas")]
     if ended is not None and not ended.isEmpty():
         ended.write.mode("overwrite").parquet(_folder(path, "dead", number))
@@ -183,6 +181,14 @@ def _finish(spark: SparkSession, path: str, number: int, parts: list[Part], delt
     _commit(spark, path, number, parts)
 
 
+def _write_deltas(deltas: DataFrame, path: str, number: int) -> None:
+    # Tasks of one size, however large the segment is: the default follows the input up to 128 MB.
+    with passing(deltas.sparkSession, **IN_PIECES | {"spark__sql__files__maxPartitionBytes": str(COUNTED_BYTES)}):
+        (deltas.groupBy("source", "field", "term").agg(*(F.sum(c).alias(c) for c in ("df", "total_len", "documents")))
+               .where("df <> 0 or total_len <> 0 or documents <> 0")
+               .write.mode("overwrite").parquet(_folder(path, "deltas", number)))
+
+
 def _tier(documents: int) -> int:
     return int(math.log(max(documents, 1), FAN))
 

@@ -4,8 +4,9 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from ladle.operators import segments
+from ladle.operators import segments, sizing
 from ladle.operators.index import build_index
 from ladle.operators.search import search
 
@@ -89,3 +90,18 @@ def test_everything_deleted(spark, tmp_path):
     segments.merge(spark, path, everything=True)
     index = segments.open_segments(spark, path)
     assert index.sources == 0 and index.postings.count() == 0 and index.catalogue.count() == 0
+
+
+def test_documents_are_counted_in_batches_of_bytes(spark, tmp_path, monkeypatch):
+    # A batch was 10,000 documents however long they were, and a task held it in Python twice and in the JVM.
+    monkeypatch.setitem(sizing.IN_PIECES, "spark__sql__execution__arrow__maxBytesPerBatch", "20000")
+    text = spark.range(400).select(F.lit("s").alias("source"), F.col("id").cast("string").alias("_id"),
+                                   F.concat_ws(" ", *(F.sha2(F.concat(F.lit(f"{i}-"), F.col("id")), 256) for i in range(8))).alias("title"),
+                                   F.array(F.lit("common")).alias("ingredient"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    segments.add(text, str(tmp_path))
+    held = spark.read.parquet(f"{tmp_path}/segment").where("term = 'common'")
+    places = sorted(tuple(r) for r in held.select("_metadata.file_path", "_metadata.row_index").collect())
+    runs = sum((f, i - 1) not in set(places) for f, i in places)
+    assert len(places) == 400 and runs >= 10  # four tasks, so four runs if a batch were a task's documents
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before

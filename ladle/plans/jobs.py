@@ -11,7 +11,7 @@ from ladle.operators.batching import batches
 from ladle.operators.extract import RECIPE_SITE, Layout, extract_range
 from ladle.operators.index import Index, ensure_index, open_index, place_index, refresh_index
 from ladle.operators.search import TOP, search, with_documents
-from ladle.operators.sizing import spread
+from ladle.operators.sizing import PIECE_BYTES, spread
 from ladle.operators.upsert import documents, has_table, latest_settled, outcome, upsert
 from ladle.session import settle
 from ladle.sources.batches import (batch_results, parse_batches, quarantine, scan_text, successes,
@@ -64,8 +64,9 @@ def index_new(spark: SparkSession, landed: str, base: str, analyzer: Analyzer =
     ledger = f"{base}/ledger"
     files = settle(new_files(spark, landed, ledger), "new-files")
     parsed = parse_batches(scan_text(spark, landed, whole_files, files))
-    # Of a body that was read, nobody needs the text again.
-    parsed = settle(parsed.withColumn("body", F.when(F.col("results").isNull(), F.col("body"))), "parsed", compression="zstd")
+    # Of a body that was read, nobody needs the text again. A row holds a batch of records, and rows of a group are read together.
+    parsed = settle(parsed.withColumn("body", F.when(F.col("results").isNull(), F.col("body"))), "parsed", compression="zstd",
+                    **{"parquet.block.size": str(PIECE_BYTES)})
     quarantine(parsed).write.mode("append").parquet(f"{base}/quarantine")
     results = batch_results(parsed)
     report = settle(outcome(results), "outcome")

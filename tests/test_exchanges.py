@@ -3,6 +3,7 @@
 import os
 import time
 
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -116,3 +117,25 @@ def test_index_is_built_where_documents_are_read(spark, rows, tmp_path, monkeypa
     assert lists.count() == 3
     assert rows(built.term_stats.where("term = 'common'"), "source", "df") == [("s0", 400), ("s1", 400), ("s2", 400)]
     assert built.postings.count() == 2400
+
+
+def test_parsed_batches_are_read_in_groups_of_one_size(spark, tmp_path, monkeypatch):
+    # A row holds a batch of records, and the default group of 128 MB was read at once.
+    recipe = F.struct(*(F.col(f) for f in RECIPE.fieldNames()))
+    docs = spark.range(300).select(F.col("id").cast("string").alias("_id"), F.sha2(F.col("id").cast("string"), 512).alias("title"), F.lit("s").alias("summary"),
+                                   F.array(F.lit("a")).alias("ingredient"), F.array().cast("array<string>").alias("steps"), F.array().cast("array<string>").alias("images"))
+    results = docs.select((F.col("_id").cast("int") + 1).alias("id"), F.lit("u").alias("source"), F.lit("success").alias("status"),
+                          F.lit(None).cast("string").alias("html"), recipe.alias("recipe"))
+    write_batches(batches(results, 1).coalesce(1), f"{tmp_path}/landed", "all-recipes")
+    monkeypatch.setattr(jobs, "PIECE_BYTES", 10_000)
+    found, kept = [], jobs.settle
+
+    def watched(df, label, **options):
+        out = kept(df, label, **options)
+        if label == "parsed":
+            found.extend(pq.ParquetFile(f.removeprefix("file:")).num_row_groups for f in out.inputFiles())
+        return out
+
+    monkeypatch.setattr(jobs, "settle", watched)
+    index_new(spark, f"{tmp_path}/landed", f"{tmp_path}/base")
+    assert max(found) > 1 and documents(spark, f"{tmp_path}/base/documents").count() == 300

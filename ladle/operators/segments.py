@@ -216,9 +216,7 @@ def merge(spark: SparkSession, path: str, everything: bool = False) -> int:
         # Tombstones that no older segment is left for, and deltas one by one, are not needed any more.
         oldest = min(p.segment for p in segments)
         kept = [p for p in dead if p.segment > oldest]
-        total = _read(spark, path, "deltas", parts, _DELTAS)
-        (total.groupBy("source", "field", "term").agg(*(F.sum(c).alias(c) for c in ("df", "total_len", "documents")))
-              .where("df <> 0 or total_len <> 0 or documents <> 0").write.mode("overwrite").parquet(_folder(path, "deltas", number)))
+        _write_deltas(_read(spark, path, "deltas", parts, _DELTAS), path, number)
         parts = [*segments, *kept, Part(number, "deltas")]
         _commit(spark, path, number, parts)
         last = number

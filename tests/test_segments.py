@@ -105,3 +105,16 @@ def test_documents_are_counted_in_batches_of_bytes(spark, tmp_path, monkeypatch)
     runs = sum((f, i - 1) not in set(places) for f, i in places)
     assert len(places) == 400 and runs >= 10  # four tasks, so four runs if a batch were a task's documents
     assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
+def test_a_merge_sorts_and_sums_in_pieces_of_one_size(spark, tmp_path, rows, monkeypatch):
+    # What a task sorted followed the partitions that Spark made of an exchange, and sums followed the splits of a scan.
+    rng, path, met = random.Random(8), str(tmp_path / "segments"), []
+    held = [doc(rng, i) for i in range(6)]
+    for some in (held[:3], held[3:]):
+        segments.add(spark.createDataFrame(some, SCHEMA), path)
+    passing = segments.passing
+    monkeypatch.setattr(segments, "passing", lambda spark, **conf: met.append(conf) or passing(spark, **conf))
+    segments.merge(spark, path, everything=True)
+    assert len(met) == 2 and all(sizing.IN_PIECES.keys() <= conf.keys() for conf in met)
+    same(spark, rows, path, held, tmp_path, "pieces")

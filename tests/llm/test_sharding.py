@@ -46,3 +46,22 @@ def test_tolerance_bounds_the_excess(table):
 
 def test_empty_table(table):
     assert s.shard_by_bytes(table([])).collect() == []
+
+
+def test_whole_rows_reach_their_shards(table, rows_of):
+    # Only digests were dealt; the texts stayed where they were read.
+    rows = [(i * 7 % 50, "t%d " % i * (i % 9)) for i in range(60)] + HARD
+    docs = table(rows, extra=True)
+    got = s.shard_rows(docs, 4)
+    assert rows_of(got.select("row.*")) == rows_of(docs)
+    held = got.collect()
+    told = s.shard_by_bytes(docs, 4).collect()
+    digest = lambda t: (len((t or "").encode()) + 1, zlib.crc32((t or "").encode()))
+    assert sorted(((r["row"]["doc_id"], *digest(r["row"]["text"]), r["shard"], r["slot"]) for r in held), key=repr) == sorted(
+        ((r["doc_id"], r["size"], r["text_crc32"], r["shard"], r["slot"]) for r in told), key=repr)
+
+
+def test_digests_are_taken_after_the_exchange(table):
+    plan = s.shard_by_bytes(table([(i, "x" * i) for i in range(40)]), 4)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("crc32") < plan.index("Window")
+    assert "crc32" not in plan[plan.index("Window"):]
